@@ -1,4 +1,4 @@
 """All registered queries; importing this package fills the registry."""
 
-from scorewright.catalog import sources, transforms, validation  # noqa: F401
+from scorewright.catalog import aggregates, evaluation, sources, transforms, validation  # noqa: F401
 from scorewright.catalog.base import ORACLES, QUERIES  # noqa: F401

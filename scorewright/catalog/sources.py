@@ -70,21 +70,10 @@ def scan_jsonl_recursive(spark, sf):
     events = table(spark, sf, "events").select(
         F.explode(F.array(cut, F.lit(""))).alias("value"), F.col("event_type").alias("part")
     )
-    events.write.partitionBy("part").text(root + "/raw", lineSep="\n")
-    return _count_jsonl(spark, root)
-
-
-def _count_jsonl(spark, root):
-    schema = EVENT_LINE
-    rows = (
-        spark.read.schema(readers._with_corrupt(schema))
-        .option("recursiveFileLookup", True)
-        .option("columnNameOfCorruptRecord", readers.CORRUPT)
-        .json(root)
-    )
-    return rows.groupBy(
-        F.when(F.col(readers.CORRUPT).isNull(), "good").otherwise("quarantined").alias("status")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    events.write.partitionBy("part").text(root)
+    good, bad = readers.read_jsonl(spark, root, EVENT_LINE, "*.txt")
+    both = good.select(F.lit("good").alias("status")).unionByName(bad.select(F.lit("quarantined").alias("status")))
+    return both.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

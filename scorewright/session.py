@@ -23,6 +23,7 @@ def local_session(cores: str | int = 8, app: str = "scorewright", **conf: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )

@@ -9,44 +9,57 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 CORRUPT = "_corrupt"
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _parted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        df.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-        df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), "source_file"),
-    )
-
-
 def read_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows tagged with ``source_file``, quarantined lines) of header CSV files."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     rows = (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt(text))
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
         .csv(paths if isinstance(paths, str) else list(paths))
         .select("*", F.col("_metadata.file_path").alias("source_file"))
     )
-    return _parted(rows)
+    # The scan converts only the columns a query selects, so types are cast here: a line is
+    # judged on all its columns, whatever is selected later.
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    broken = F.col(CORRUPT).isNotNull()
+    for name, value in typed.items():
+        broken = broken | (F.col(name).isNotNull() & value.isNull())
+    good = rows.where(~broken).select(*[v.alias(n) for n, v in typed.items()], "source_file")
+    line = F.coalesce(CORRUPT, F.to_csv(F.struct(*typed)))
+    return good, rows.where(broken).select(line.alias("line"), "source_file")
+
+
+def parse_json_lines(lines: DataFrame, schema: T.StructType, keep: Sequence[str] = ()):
+    """(good rows, quarantined lines) of a text column ``value``; blank lines are skipped."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.where(F.trim("value") != "").select(
+        "value", *keep, F.from_json("value", with_corrupt(schema), options).alias("r")
+    )
+    broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    good = parsed.where(~broken).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], *keep)
+    return good, parsed.where(broken).select(F.col("value").alias("line"), *keep)
 
 
-def read_jsonl(spark: SparkSession, root: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined lines) of every ``*.jsonl`` below ``root``; blank lines skipped."""
-    rows = (
-        spark.read.schema(_with_corrupt(schema))
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
+def read_jsonl(
+    spark: SparkSession, root: str, schema: T.StructType, pattern: str = "*.jsonl"
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined lines) of every matching file below ``root``."""
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .text(root)
+        .select("value", F.col("_metadata.file_path").alias("source_file"))
     )
-    return _parted(rows)
+    return parse_json_lines(lines, schema, ["source_file"])
 
 
 # One request/response log line.

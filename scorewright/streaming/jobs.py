@@ -7,25 +7,26 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorewright.operators.model import LogisticModel, score
-from scorewright.sources.readers import CORRUPT, flatten_requests
+from scorewright.sources.readers import flatten_requests, parse_json_lines
 
 
 def ingest_requests(
-    spark: SparkSession, root: str, schema: T.StructType, inputs: Sequence[str], header: str = "deployment"
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    inputs: Sequence[str],
+    header: str = "deployment",
+    keep: Sequence[str] = (),
+    pattern: str = "*.jsonl",
 ) -> tuple[DataFrame, DataFrame]:
     """(flattened rows, quarantined lines) as streams over new ``*.jsonl`` files."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     lines = (
-        spark.readStream.schema(full)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .text(root)
     )
-    good = lines.where(F.col(CORRUPT).isNull())
-    bad = lines.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
-    return flatten_requests(good, inputs, header), bad
+    good, bad = parse_json_lines(lines, schema)
+    return flatten_requests(good, inputs, header, keep), bad
 
 
 def score_stream(rows: DataFrame, model: LogisticModel, **names) -> DataFrame:
