@@ -1,4 +1,12 @@
 """All registered queries; importing this package fills the registry."""
 
-from scorewright.catalog import aggregates, evaluation, sources, transforms, validation  # noqa: F401
+from scorewright.catalog import (  # noqa: F401
+    aggregates,
+    evaluation,
+    monitoring,
+    sources,
+    streams,
+    transforms,
+    validation,
+)
 from scorewright.catalog.base import ORACLES, QUERIES  # noqa: F401

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    ARRIVALS_SQL, CUT, KEY_SQL, LOG_SQL, RAW_SQL, SCORED, late_label_rows, prediction_log, query, raw_lines,
+    ARRIVALS_SQL, LOG_SQL, RAW_SQL, SCORED, late_label_rows, prediction_log, query, raw_lines,
     scored_lines, table,
 )
 from scorewright.functions.columns import extract_first
+from scorewright.operators import drift as DR
 from scorewright.operators import feedback as FB
 from scorewright.operators import profile as P
 from scorewright.operators.joins import lookup_join
@@ -262,11 +263,11 @@ def unseen_categories(spark, sf):
 
 @query(
     "shared_categories",
-    f"SELECT DISTINCT {TITLE} AS value FROM documents WHERE lang = 'fr' AND {TITLE} IS NOT NULL "
-    f"INTERSECT SELECT {TITLE} FROM documents WHERE lang = 'de'",
+    f"SELECT DISTINCT {TITLE} AS value FROM documents WHERE n_chars < 1000 AND {TITLE} IS NOT NULL "
+    f"INTERSECT SELECT {TITLE} FROM documents WHERE n_chars >= 1000",
 )
 def shared_categories(spark, sf):
-    return _titles(spark, sf, "lang = 'fr'").intersect(_titles(spark, sf, "lang = 'de'"))
+    return _titles(spark, sf, "n_chars < 1000").intersect(_titles(spark, sf, "n_chars >= 1000"))
 
 
 @query(
@@ -278,11 +279,9 @@ def shared_categories(spark, sf):
             AS rolling_mean FROM runs WINDOW w AS (PARTITION BY l_linestatus ORDER BY run)""",
 )
 def metric_trend(spark, sf):
-    from scorewright.operators.drift import metric_trend as trend
-
     run = F.month("l_shipdate") + 12 * F.year("l_shipdate")
     runs = table(spark, sf, "lineitem").groupBy("l_linestatus", run.alias("run")).agg(
         F.round(F.avg("l_discount"), 8).alias("metric")
     )
-    rows = trend(runs, "metric", "run", ["l_linestatus"])
+    rows = DR.metric_trend(runs, "metric", "run", ["l_linestatus"])
     return rows.withColumns({c: F.round(c, 8) for c in ("change", "rolling_mean")})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    CHALLENGER, CHAMPION, KEY_SQL, ROW_KEY, SCORED, Y_SQL, probability_sql, query, scored_lines, scored_sql, table,
+    CHALLENGER, CHAMPION, KEY_SQL, ROW_KEY, SCORED, Y_SQL, key_column, planted_label, probability_sql, query,
+    raw_lines, scored_lines, scored_sql, table,
 )
 from scorewright.catalog.transforms import CHAIN_FEATURES, chained, line_spec
 from scorewright.functions.columns import sigmoid
@@ -13,6 +14,9 @@ from scorewright.operators import explain as E
 from scorewright.operators import metrics as M
 from scorewright.operators import model as ML
 from scorewright.operators import splits as S
+from scorewright.operators.features import fit_impute, impute
+from scorewright.operators.validation import Field, Schema, at_least, at_most, isin, quarantine
+from scorewright.plans.training import train
 
 CONF = """count(*) FILTER (y = 0 AND prediction = 0) AS tn, count(*) FILTER (y = 0 AND prediction = 1) AS fp,
     count(*) FILTER (y = 1 AND prediction = 0) AS fn, count(*) FILTER (y = 1 AND prediction = 1) AS tp"""
@@ -200,21 +204,16 @@ def promotion_decision(spark, sf):
 @query(
     "lifecycle",
     f"""WITH lines AS (
-            SELECT l_linestatus, l_quantity, coalesce(NULLIF(l_discount, 0::DOUBLE), (SELECT quantile_cont(d, 0.5)
-                FROM (SELECT NULLIF(l_discount, 0::DOUBLE) AS d FROM lineitem))) AS l_discount, l_tax, {Y_SQL.replace('l_discount', 'l_discount')} AS y
-            FROM lineitem WHERE l_linenumber IN (1, 2, 3, 4, 5, 6, 7) AND l_quantity BETWEEN 1 AND 50),
-        scored AS (SELECT *, (p > 0.5)::INT AS prediction FROM (SELECT *, round({probability_sql(CHAMPION)}, 6) AS p FROM lines)),
+            SELECT *, {Y_SQL} AS y, NULLIF(l_discount, 0::DOUBLE) AS d FROM lineitem
+            WHERE l_linenumber BETWEEN 1 AND 7 AND l_quantity BETWEEN 1 AND 50),
+        filled AS (SELECT * REPLACE (coalesce(d, (SELECT quantile_cont(d, 0.5) FROM lines)) AS l_discount) FROM lines),
+        scored AS (SELECT *, (p > 0.5)::INT AS prediction FROM (
+            SELECT *, round({probability_sql(CHAMPION)}, 6) AS p FROM filled)),
         c AS (SELECT l_linestatus, {CONF} FROM scored GROUP BY 1)
         SELECT l_linestatus, tn, fp, fn, tp, tn + fp + fn + tp AS support, {METRICS}, roc_auc
-        FROM c JOIN {auc_sql('l_linestatus')} USING (l_linestatus)""".replace(
-        f"{Y_SQL} AS y", f"{Y_SQL.replace('l_discount', 'lineitem.l_discount').replace('l_quantity', 'lineitem.l_quantity')} AS y"
-    ),
+        FROM c JOIN {auc_sql('l_linestatus')} USING (l_linestatus)""",
 )
 def lifecycle(spark, sf):
-    from scorewright.catalog.base import planted_label
-    from scorewright.operators.features import fit_impute, impute
-    from scorewright.operators.validation import Field, Schema, at_least, at_most, isin, quarantine
-
     schema = Schema(
         "lines",
         (
@@ -253,11 +252,6 @@ def logreg_fit_unweighted(spark, sf):
 
 @query("coef_importance")
 def coef_importance(spark, sf):
-    from scorewright.plans.training import train
-
-    rows = table(spark, sf, "lineitem")
-    from scorewright.catalog.base import planted_label, raw_lines
-
     done = train(raw_lines(spark, sf).withColumn("y", planted_label()), line_spec(), "y", ["row_key"])
     return done.importance.orderBy(F.desc("importance"))
 
@@ -300,16 +294,14 @@ phi AS ({' UNION ALL '.join(PHI_PARTS)})"""
 
 
 def _keyed(spark, sf):
-    from scorewright.catalog.base import key_column
-
     rows = table(spark, sf, "lineitem").withColumn("row_key", key_column())
     return rows, E.background_means(rows, CHAMPION.features)
 
 
-@query("linear_shap", f"WITH {PHI_SQL} SELECT row_key, feature, value, round(phi, 6) AS phi FROM phi")
+@query("linear_shap", f"WITH {PHI_SQL} SELECT row_key, feature, value, round(phi, 8) AS phi FROM phi")
 def linear_shap(spark, sf):
     rows, means = _keyed(spark, sf)
-    return E.contributions(rows, CHAMPION, means, ["row_key"]).withColumn("phi", F.round("phi", 6))
+    return E.contributions(rows, CHAMPION, means, ["row_key"]).withColumn("phi", F.round("phi", 8))
 
 
 @query(
@@ -350,22 +342,23 @@ def contribution_rank(spark, sf):
 
 @query(
     "topk_per_row",
-    f"WITH {LOCAL_SQL} SELECT row_key, feature, rank, round(phi, 6) AS phi FROM ranked WHERE rank <= 2",
+    f"WITH {LOCAL_SQL} SELECT row_key, feature, rank, round(phi, 8) AS phi FROM ranked WHERE rank <= 2",
 )
 def topk_per_row(spark, sf):
     rows, means = _keyed(spark, sf)
     out = E.explain_rows(rows, CHAMPION, means, ["row_key"], 2)
-    return out.select("row_key", "feature", "rank", F.round("phi", 6).alias("phi"))
+    return out.select("row_key", "feature", "rank", F.round("phi", 8).alias("phi"))
 
 
 @query(
     "shap_local",
     f"""WITH {LOCAL_SQL} SELECT row_key, (p > 0.5)::INT AS prediction, round(p, 6) AS probability, rank, feature, value,
-        round(phi, 6) AS phi, CASE WHEN phi >= 0 THEN '+' ELSE '-' END AS sign FROM ranked WHERE rank <= 8""",
+        round(phi, 8) AS phi, CASE WHEN phi >= 0 THEN '+' ELSE '-' END AS sign FROM ranked WHERE rank <= 8""",
 )
 def shap_local(spark, sf):
     rows, means = _keyed(spark, sf)
-    return rounded(E.explain_rows(rows, CHAMPION, means, ["row_key"]), ["phi", "probability"])
+    out = E.explain_rows(rows, CHAMPION, means, ["row_key"])
+    return out.withColumns({"phi": F.round("phi", 8), "probability": F.round("probability", 6)})
 
 
 @query(

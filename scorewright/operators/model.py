@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scorewright.functions.columns import label_text, linear, sigmoid
 from scorewright.operators.metrics import metrics
+from scorewright.session import stage
 
 # The search space of the parameter search.
 SOLVER_PENALTIES = [
@@ -183,6 +184,8 @@ def search(
     """Trial table with validation AUC and F1; fits run in parallel, all trials are
     evaluated in one keyed job."""
     spark = train.sparkSession
+    # every trial reads the same staged rows instead of recomputing the feature chain
+    train, valid = (stage(part.select(*features, label)) for part in (train, valid))
     trials = draw_trials(n_trials, seed)
 
     def default_fit(rows: DataFrame, t: Trial) -> LogisticModel:
