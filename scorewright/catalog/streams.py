@@ -24,9 +24,13 @@ def table_stream(spark, sf, name):
 
 
 def closing_rows(spark, like):
-    """A stream of one row, all null except its event time."""
+    """A stream of one row with event id -1 and no other value but its event time.
+
+    The id must not be null: joins drop null keys before the watermark sees their row.
+    """
     path = fresh_dir(spark, "closing")
-    row = [F.lit(CLOSING if f.name == "ts" else None).cast(f.dataType).alias(f.name) for f in like.schema.fields]
+    values = {"ts": CLOSING, "event_id": -1}
+    row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in like.schema.fields]
     spark.range(1).select(*row).write.parquet(path)
     return spark.readStream.schema(like.schema).parquet(path)
 
@@ -37,8 +41,14 @@ def finish(spark, stream, name, mode="append"):
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
+def instant(ts="ts"):
+    """The tables store UTC wall-clock times; event time needs instants in any session zone."""
+    return F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def events_stream(spark, sf):
-    return table_stream(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    rows = table_stream(spark, sf, "events")
+    return rows.select("event_id", instant().alias("ts"), "event_type", "value")
 
 
 @query(
@@ -78,14 +88,15 @@ def stream_score(spark, sf):
 
 @query(
     "stream_daily_window",
-    """SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, round(sum(value), 4) AS total,
+    """SELECT ts::DATE AS day, event_type, count(*) AS n, round(sum(value), 4) AS total,
         round(avg(value), 6) AS mean FROM events GROUP BY 1, 2""",
 )
 def stream_daily_window(spark, sf):
     rows = events_stream(spark, sf)
     windows = J.daily_window(rows.unionByName(closing_rows(spark, rows)), "ts", ["event_type"], "value")
-    done = finish(spark, windows, "daily").where(F.col("day") < F.lit(CLOSING).cast("timestamp_ntz"))
-    return done.withColumns({"total": F.round("total", 4), "mean": F.round("mean", 6)})
+    done = finish(spark, windows, "daily").where("event_type IS NOT NULL")
+    day = F.date_from_unix_date((F.unix_seconds("day") / 86400).cast("int"))
+    return done.withColumn("day", day).withColumns({"total": F.round("total", 4), "mean": F.round("mean", 6)})
 
 
 @query(
@@ -102,7 +113,7 @@ def stream_label_join(spark, sf):
         F.col("event_type").alias("label"),
     )
     joined = J.late_labels(preds, labels, "event_id", "pred_ts", "label_id", "label_ts")
-    return finish(spark, joined.select("event_id", "value", "label"), "labelled").where("event_id IS NOT NULL")
+    return finish(spark, joined.select("event_id", "value", "label"), "labelled").where("event_id >= 0")
 
 
 @query("stream_dedupe", "SELECT event_id, event_type, value FROM events")
@@ -121,7 +132,7 @@ def stream_dedupe(spark, sf):
 def stream_drift_monitor(spark, sf):
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
     ref = table(spark, sf, "events").where(F.col("ts") < cut)
-    arriving = events_stream(spark, sf).where(F.col("ts") >= cut).withColumn("value", F.col("value") * F.lit(1.2))
+    arriving = table_stream(spark, sf, "events").where(F.col("ts") >= cut).withColumn("value", F.col("value") * F.lit(1.2))
     root = fresh_dir(spark, "drift-monitor")
 
     def report(batch):
@@ -138,8 +149,8 @@ def stream_drift_monitor(spark, sf):
        FROM events""",
 )
 def stream_late_data(spark, sf):
-    root, cut = fresh_dir(spark, "late"), F.lit("2024-01-15").cast("timestamp_ntz")
-    events = table(spark, sf, "events").select("event_id", "ts")
+    root, cut = fresh_dir(spark, "late"), F.lit("2024-01-15T00:00:00Z").cast("timestamp")
+    events = table(spark, sf, "events").select("event_id", instant().alias("ts"))
     dropped = 0
     for late in (False, True):  # the older half arrives after the watermark has passed it
         events.where((F.col("ts") < cut) if late else (F.col("ts") >= cut)).write.mode("append").parquet(f"{root}/in")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scorewright.functions import columns as C
-from scorewright.operators.joins import lookup_join
+from scorewright.operators.joins import collect_bounded, lookup_join
 from scorewright.operators.ordered import long_form, modes, prefix_sum, quantiles
 
 
@@ -124,7 +124,11 @@ def fit(df: DataFrame, spec: FeatureSpec) -> FeatureState:
     derived = impute(df.drop(*spec.drop), medians, most)
     for name, expr in spec.derive.items():
         derived = derived.withColumn(name, expr)
-    vocab = fit_vocab(derived, spec.encode) if spec.encode else None
+    vocab = None
+    if spec.encode:
+        vocab = fit_vocab(derived, spec.encode)
+        small = collect_bounded(vocab)
+        vocab = vocab if small is None else small
     state = FeatureState(medians, most, vocab)
     state.means, state.stds = fit_scale(prepare(df, spec, state), spec.select)
     return state
