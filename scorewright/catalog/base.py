@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.functions.columns import hash_uniform, linear, sigmoid
+from scorewright.functions.columns import linear, sigmoid
 from scorewright.operators.model import LogisticModel
 from scorewright.session import stage_root
 
@@ -60,17 +60,16 @@ def probability_sql(m: LogisticModel) -> str:
     return f"(1::DOUBLE / (1::DOUBLE + exp(-({margin_sql(m)}))))"
 
 
-def uniform_sql(key: str, seed: str) -> str:
-    return f"(('0x' || substr(md5({key} || '-{seed}'), 1, 8))::BIGINT / 4294967296::DOUBLE)"
-
-
-NOISE_SQL = uniform_sql(KEY_SQL, "noise")
-Y_SQL = f"(l_quantity/50::DOUBLE + l_discount*8::DOUBLE + {NOISE_SQL} > 1.4::DOUBLE)::INT"
+# The planted label: a linear signal plus deterministic noise in [0, 1).
+NOISE_PRIME = 1009
+Y_SQL = f"""(l_quantity/50::DOUBLE + l_discount*8::DOUBLE + (l_orderkey*7919 + l_partkey*104729 + l_suppkey*31
+    + l_linenumber) % {NOISE_PRIME} / {NOISE_PRIME}::DOUBLE > 1.4::DOUBLE)::INT"""
 
 
 def planted_label():
     signal = F.col("l_quantity") / F.lit(50.0) + F.col("l_discount") * F.lit(8.0)
-    return (signal + hash_uniform(ROW_KEY, "noise") > 1.4).cast("int")
+    mix = F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31 + F.col("l_linenumber")
+    return (signal + mix % NOISE_PRIME / F.lit(float(NOISE_PRIME)) > 1.4).cast("int")
 
 
 def scored_lines(spark: SparkSession, sf: str, model: LogisticModel = CHAMPION) -> DataFrame:

@@ -22,11 +22,16 @@ def confusion(df: DataFrame, y: str, pred: str, keys: Sequence[str] = ()) -> Dat
 
 
 def score_counts(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows (keys, score, pos, neg): all a ranking metric needs; ties are merged."""
+    """Rows (keys, score, pos, neg): all a ranking metric needs; ties are merged.
+
+    Rows without a label fall out after the counts, because a filter on the label would be
+    pushed below it and compute a derived label twice.
+    """
     return (
-        df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
+        df.where(F.col(score).isNotNull())
         .groupBy(*keys, F.col(score).alias("score"))
         .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+        .where(F.col("pos") + F.col("neg") > 0)
     )
 
 
