@@ -10,7 +10,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.columns import label_text, linear, sigmoid
 from scorewright.operators.metrics import metrics
@@ -43,10 +43,9 @@ class LogisticModel:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (k * n_class) per class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    # one row per class
-    totals = counts.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    n, k = totals["n"] or 0, totals["k"] or 1
-    return counts.withColumn("weight", F.lit(float(n)) / (F.lit(float(k)) * F.col("n_class")))
+    classes = Window.partitionBy(F.lit(1))  # one row per class
+    n, k = F.sum("n_class").over(classes), F.count(F.lit(1)).over(classes)
+    return counts.withColumn("weight", n.cast("double") / (k * F.col("n_class")))
 
 
 def weight_column(df: DataFrame, label: str) -> tuple[Column, float]:
@@ -66,7 +65,7 @@ def fit_logreg(
     penalty: str | None = "l2",
     balanced: bool = True,
     max_iter: int = 1000,
-    tol: float = 1e-10,
+    tol: float = 1e-8,
 ) -> LogisticModel:
     """Penalty strength follows the 0.5|w|^2 + C * sum(loss) convention, intercept free."""
     if balanced:

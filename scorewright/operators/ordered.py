@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from scorewright.operators.joins import collect_bounded, lookup_join
+from scorewright.operators.joins import lookup_join
 from scorewright.session import stage
 
 SMALL_ROWS = 500_000
@@ -112,11 +112,22 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows (keys, feature, median, p25, ...).
 
-    One sketch pass counts every group and brackets each quantile. Groups whose values
-    fit an aggregation buffer use the built-in ``percentile``; otherwise only values
-    inside a bracket are kept apart, everything else is counted per gap.
+    A counting pass sizes the groups. Groups whose values fit an aggregation buffer use the
+    built-in ``percentile``; otherwise a sketch brackets each quantile, only values inside a
+    bracket are kept apart, and everything else is counted per gap.
     """
-    keys, qs = list(keys), list(qs)
+    keys, qs, columns = list(keys), list(qs), list(columns)
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
+    sizes = df.groupBy(*keys).agg(*[F.count(v).alias(c) for c, v in value.items()])
+    biggest = sizes.agg(F.max(F.greatest(*columns, F.lit(0)))).first()[0] or 0
+    if biggest <= buffer_rows:
+        wide = df.groupBy(*keys).agg(*[F.percentile(v, F.lit(qs)).alias(c) for c, v in value.items()])
+        pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in columns]
+        return (
+            wide.select(*keys, F.inline(F.array(*pairs)))
+            .where("q IS NOT NULL")
+            .select(*keys, "feature", *[F.col("q")[i].alias(quantile_name(q)) for i, q in enumerate(qs)])
+        )
     group = [*keys, "feature"]
     long = long_form(df, columns, keys).where("value IS NOT NULL AND NOT isnan(value)")
     margin = 2.0 / SKETCH_ACCURACY
@@ -125,13 +136,6 @@ def quantiles(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("value", points, SKETCH_ACCURACY).alias("_cut"),
     )
-    small = collect_bounded(sketch)
-    if small is not None:
-        biggest = small.agg(F.max("_n").alias("n")).first()["n"] or 0
-        if biggest <= buffer_rows:
-            return long.groupBy(*group).agg(
-                *[F.percentile("value", q).alias(quantile_name(q)) for q in qs]
-            )
     return bracket_quantiles(long, sketch, group, qs)
 
 
