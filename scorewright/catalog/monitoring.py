@@ -236,7 +236,7 @@ def concept_drift(spark, sf):
         c AS (SELECT NULLIF(l_discount, 0::DOUBLE) AS d, l_extendedprice AS e, CASE WHEN l_quantity = 50 THEN 'X' ELSE NULLIF(l_returnflag, 'A') END AS f FROM cur),
         s AS (SELECT round(1 - count(d) / count(*), 4) AS d, round(1 - count(f) / count(*), 4) AS f FROM r),
         t AS (SELECT round(1 - count(d) / count(*), 4) AS d, round(1 - count(f) / count(*), 4) AS f FROM c)
-        SELECT 'discount' AS "column", s.d AS reference_missing_rate, t.d AS current_missing_rate, false AS out_of_range, 0 AS new_values,
+        SELECT 'discount' AS "column", s.d AS reference_missing_rate, t.d AS current_missing_rate, false AS out_of_range, 0::BIGINT AS new_values,
             round(t.d - s.d, 6) AS missing_rate_change FROM s, t
         UNION ALL SELECT 'l_extendedprice', 0, 0, (SELECT min(e) FROM c) < (SELECT min(e) FROM r) OR (SELECT max(e) FROM c) > (SELECT max(e) FROM r), 0, 0
         UNION ALL SELECT 'flag', s.f, t.f, false, 1, round(t.f - s.f, 6) FROM s, t""",

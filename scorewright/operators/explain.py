@@ -185,4 +185,5 @@ def local_surrogate(
         F.posexplode(F.slice("fit", 2, d - 1)).alias("j", "weight"),
     )
     names = F.array(*[F.lit(c) for c in features])
-    return out.where(~F.isnan("weight")).select(*row_key, names[F.col("j")].alias("feature"), "weight", "intercept")
+    # features outside the top have no weight: NaN arrives as null from Arrow
+    return out.where(F.col("weight").isNotNull()).select(*row_key, names[F.col("j")].alias("feature"), "weight", "intercept")

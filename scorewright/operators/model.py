@@ -65,7 +65,7 @@ def fit_logreg(
     penalty: str | None = "l2",
     balanced: bool = True,
     max_iter: int = 1000,
-    tol: float = 1e-8,
+    tol: float = 1e-7,
 ) -> LogisticModel:
     """Penalty strength follows the 0.5|w|^2 + C * sum(loss) convention, intercept free."""
     if balanced:
