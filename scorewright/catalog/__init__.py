@@ -4,6 +4,7 @@ from scorewright.catalog import (  # noqa: F401
     aggregates,
     evaluation,
     monitoring,
+    plugins,
     sources,
     streams,
     transforms,

@@ -142,11 +142,11 @@ def scoring_summary(spark, sf):
 
 
 @query(
-    "batch_positive_rate",
+    "batch_survival_rate",
     f"""WITH {SCORED} SELECT l_orderkey, count(*) AS total, count(*) FILTER (prediction = 1) AS positive_count,
         round(count(*) FILTER (prediction = 1) / count(*), 4) AS positive_rate FROM scored GROUP BY 1""",
 )
-def batch_positive_rate(spark, sf):
+def batch_survival_rate(spark, sf):
     return P.batch_rate(scored_lines(spark, sf), ["l_orderkey"])
 
 

@@ -10,6 +10,7 @@ from scorewright.catalog.base import (
 from scorewright.functions.columns import sigmoid
 from scorewright.operators import features as X
 from scorewright.operators.feedback import append_logs
+from scorewright.operators.joins import lookup_join
 from scorewright.operators.profile import baseline_stats
 from scorewright.sources import readers, writers
 
@@ -33,18 +34,22 @@ def scan_csv(spark, sf):
     return good.drop("source_file")
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
 @query(
     "scan_file_list",
-    "SELECT c_mktsegment AS segment, count(*) AS n_rows, 1::BIGINT AS n_files FROM customer GROUP BY 1",
+    "SELECT c_mktsegment AS segment, count(*) AS n_rows, 1::BIGINT AS n_folders FROM customer GROUP BY 1",
 )
 def scan_file_list(spark, sf):
     root = fresh_dir(spark, "customer-files")
     rows = table(spark, sf, "customer").withColumn("segment", F.col("c_mktsegment"))
-    rows.repartition("segment").write.partitionBy("segment").option("header", True).csv(root)
-    segments = [r["segment"] for r in rows.select("segment").distinct().limit(100).collect()]
-    good, _ = readers.read_csv(spark, [f"{root}/segment={s}" for s in segments], CUSTOMER)
+    rows.hint("rebalance", F.col("segment")).write.partitionBy("segment").option("header", True).csv(root)
+    folders = [f"{root}/segment={s}" for s in SEGMENTS]
+    good, _ = readers.read_csv(spark, folders, CUSTOMER)
     return good.groupBy(F.col("c_mktsegment").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("source_file").alias("n_files")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(F.regexp_extract("source_file", "segment=([^/]*)/", 1)).alias("n_folders"),
     )
 
 
@@ -83,9 +88,7 @@ def scan_jsonl_recursive(spark, sf):
 )
 def scan_date_partition(spark, sf):
     path = fresh_dir(spark, "events-by-date")
-    # one file per day and writer would be many small files; shuffle by day first
-    events = table(spark, sf, "events")
-    writers.write_by_date(events.repartition(F.to_date("ts")), path, "ts")
+    writers.write_by_date(table(spark, sf, "events"), path, "ts")
     dated = spark.read.parquet(path)
     return readers.yesterday(dated, "2024-01-15").select("event_id", "event_type", "value")
 
@@ -121,8 +124,6 @@ def latest_version(spark, sf):
        GROUP BY 1""",
 )
 def latest_version_grouped(spark, sf):
-    from scorewright.operators.joins import lookup_join
-
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     orders = table(spark, sf, "orders").withColumn("version", F.year("o_orderdate").cast("string"))
     tagged = lookup_join(orders.select("o_custkey", "version"), customers, ["o_custkey"], "inner")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    CHAMPION, KEY_SQL, LOG_SQL, RAW_SQL, ROW_KEY, SCORED, Y_SQL, planted_label, prediction_log,
+    CHAMPION, KEY_SQL, LOG_SQL, RAW_SQL, ROW_KEY, SCORED, Y_SQL, fresh_dir, planted_label, prediction_log,
     probability_sql, query, raw_lines, scored_lines, table,
 )
 from scorewright.functions import columns as C
@@ -18,6 +18,7 @@ from scorewright.operators.joins import lookup_join
 from scorewright.operators.validation import Field, RequestField, Schema, at_most, isin
 from scorewright.plans.scoring import score_files, score_requests
 from scorewright.sources.readers import flatten_json_column, flatten_requests
+from scorewright.sources.writers import write_csv
 
 TITLE_SQL = "nullif(regexp_extract(text, ' ([A-Za-z]+)\\.', 1), '')"
 
@@ -300,11 +301,11 @@ def standard_scale(spark, sf):
 
 
 @query(
-    "stats_attach",
+    "stats_cross_join",
     """SELECT c_custkey, c_acctbal - med AS above_median, med AS median FROM customer,
         (SELECT quantile_cont(c_acctbal, 0.5) AS med FROM customer)""",
 )
-def stats_attach(spark, sf):
+def stats_cross_join(spark, sf):
     customers = table(spark, sf, "customer")
     median = X.fit_impute(customers, ["c_acctbal"], [])[0]["c_acctbal"]
     return customers.select("c_custkey", (F.col("c_acctbal") - median).alias("above_median"), F.lit(median).alias("median"))
@@ -506,9 +507,6 @@ def score_request_rejects(spark, sf):
         FROM lineitem WHERE l_quantity = 13""",
 )
 def score_files_query(spark, sf):
-    from scorewright.catalog.base import fresh_dir
-    from scorewright.sources.writers import write_csv
-
     root = fresh_dir(spark, "score-files")
     columns = ["l_orderkey", "l_quantity", "l_discount", "l_tax"]
     rows = raw_lines(spark, sf).withColumn(

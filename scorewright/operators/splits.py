@@ -20,9 +20,10 @@ PREFIX = 4
 def take_threshold(
     df: DataFrame, key: Sequence[str], seed: int | str, size: Column, strata: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (strata, cut, taken): a row is among the first ``size`` iff its hash <= cut.
+    """Rows (strata, cut): a row is among the first ``size`` iff its hash <= cut.
 
-    ``size`` is a Column over the stratum's row count ``n``. ``key`` must be unique.
+    ``size`` is a Column over the stratum's row count ``n``. The count is exact when ``key``
+    is unique; rows that share a key always stay on the same side.
     """
     strata = list(strata)
     hashed = df.select(*strata, hash_hex(key, seed).alias("h")).withColumn(
@@ -37,13 +38,14 @@ def take_threshold(
         .withColumn("k", size.cast("long"))
         .withColumn("cum", F.sum("c").over(walk))
         .where("cum - c < k AND k <= cum")
-        .select(*strata, "prefix", "k", (F.col("k") - (F.col("cum") - F.col("c"))).alias("need"))
+        .select(*strata, "prefix", (F.col("k") - (F.col("cum") - F.col("c"))).alias("need"))
     )
     inside = lookup_join(hashed, located, [*strata, "prefix"], "inner")
-    ranked = inside.withColumn(
-        "r", F.row_number().over(Window.partitionBy(*strata, "prefix").orderBy("h"))
-    )
-    return ranked.where("r = need").select(*strata, F.col("h").alias("cut"), F.col("k").alias("taken"))
+    # copies of a key collapse before the window, so it sees distinct hashes only
+    distinct = inside.groupBy(*strata, "prefix", "need", "h").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy(*strata, "prefix").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = distinct.withColumn("cum", F.sum("c").over(upto))
+    return ranked.where("cum - c < need AND need <= cum").select(*strata, F.col("h").alias("cut"))
 
 
 def mark_first(
@@ -56,7 +58,7 @@ def mark_first(
 ) -> DataFrame:
     """Add boolean ``into``: the row is among the first ``size`` of its stratum by hash."""
     strata = list(strata)
-    cuts = take_threshold(df, key, seed, size, strata).select(*strata, "cut")
+    cuts = take_threshold(df, key, seed, size, strata)
     if strata:
         joined = lookup_join(df, cuts, strata)
     else:

@@ -32,8 +32,11 @@ def write_snapshot(df: DataFrame, path: str, version: int) -> None:
 
 
 def write_by_date(df: DataFrame, path: str, ts: str, date_column: str = "event_date") -> None:
-    """Lay a log out by day, so a daily read touches one folder."""
-    dated = df.withColumn(date_column, F.to_date(ts))
+    """Lay a log out by day, so a daily read touches one folder.
+
+    The rebalance gathers small days into few files and splits a day that holds most rows.
+    """
+    dated = df.withColumn(date_column, F.to_date(ts)).hint("rebalance", F.col(date_column))
     dated.write.mode("append").partitionBy(date_column).parquet(path)
 
 

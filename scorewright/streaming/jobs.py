@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorewright.operators.model import LogisticModel, score
@@ -68,8 +69,22 @@ def late_labels(
 
 
 def dedupe(rows: DataFrame, key: Sequence[str], ts: str, late: str = "1 hour") -> DataFrame:
-    """Drop repeats of an id that arrive within the watermark."""
-    return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(key))
+    """Drop repeats of an id that arrive within the watermark.
+
+    The stateful step shuffles every row by id and has no partial form, so repeats inside an
+    Arrow batch are dropped first: an id with a huge number of copies stays small. The copy
+    with the newest event time is kept, hence a batch is late only if all its copies are.
+    """
+    key = list(key)
+
+    def newest(batches):
+        for batch in batches:
+            ids = batch.select([*key, ts]).to_pandas()
+            kept = ids.sort_values(ts, kind="stable").drop_duplicates(key, keep="last").index.sort_values()
+            yield batch.take(pa.array(kept))
+
+    thinned = rows.mapInArrow(newest, rows.schema)
+    return thinned.withWatermark(ts, late).dropDuplicatesWithinWatermark(key)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
