@@ -82,63 +82,61 @@ def ecdf_pair(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
     )
 
 
-def numeric_tests(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
-    """Two-sample KS statistic and p, Wasserstein-1 and both means, one pass per feature."""
-    gap = F.abs(F.col("cdf_reference") - F.col("cdf_current"))
-    step = F.col("next.value") - F.col("value")
-    rows = (
-        ecdf_pair(ref, cur, columns, keys, mode)
-        .groupBy(*keys, "feature")
-        .agg(
-            F.max(gap).alias("statistic"),
-            F.coalesce(F.sum(gap * step), F.lit(0.0)).alias("wasserstein"),
-            F.max("total_r").alias("n_reference"),
-            F.max("total_c").alias("n_current"),
-            F.sum(F.col("value") * F.col("r")).alias("_sr"),
-            F.sum(F.col("value") * F.col("c")).alias("_sc"),
-        )
-    )
-    return rows.select(
-        *keys,
-        "feature",
-        F.lit("ks").alias("stattest_name"),
-        "statistic",
-        F.lit(None).cast("int").alias("dof"),
-        F.when(
-            (F.col("n_reference") > 0) & (F.col("n_current") > 0),
-            ks_p_value("statistic", "n_reference", "n_current"),
-        ).alias("drift_score"),
-        F.when((F.col("n_reference") > 0) & (F.col("n_current") > 0), F.col("wasserstein")).alias("wasserstein"),
-        ratio("_sr", "n_reference", None).alias("reference_mean"),
-        ratio("_sc", "n_current", None).alias("current_mean"),
-        "n_reference",
-        "n_current",
+def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
+    """Rows (keys, feature, value, text, r, c): numbers in ``value``, categories in ``text``."""
+    keys = list(keys)
+
+    def entry(name, value, text):
+        return F.struct(F.lit(name).alias("feature"), value.alias("value"), text.alias("text"))
+
+    no_value, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    entries = [entry(c, F.nanvl(F.col(c).cast("double"), no_value), no_text) for c in numeric]
+    entries += [entry(c, no_value, F.col(c).cast("string")) for c in categorical]
+    sides = [
+        side.select(*keys, F.lit(i).alias("side"), F.inline(F.array(*entries)))
+        for i, side in enumerate((ref, cur))
+    ]
+    both = sides[0].unionByName(sides[1]).where("value IS NOT NULL OR text IS NOT NULL")
+    return both.groupBy(*keys, "feature", "value", "text").agg(
+        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")
     )
 
 
-def categorical_tests(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
-    """Chi-square homogeneity test on the 2 x K table of every feature."""
-    counts = paired_counts(ref, cur, columns, keys, "string")
-    walk = prefix_sum(counts, ["value"], ["r", "c"], [*keys, "feature"], mode)
+def feature_tests(ref, cur, numeric=(), categorical=(), keys=(), mode="auto") -> DataFrame:
+    """One row per (keys, feature). Numbers: two-sample KS, Wasserstein-1 and both means;
+    categories: chi-square homogeneity on the 2 x K table. All features share one pass."""
+    walk = prefix_sum(
+        mixed_counts(ref, cur, numeric, categorical, keys), ["value", "text"], ["r", "c"], [*keys, "feature"], mode
+    )
     r, c = F.col("total_r").cast("double"), F.col("total_c").cast("double")
-    cell = (F.col("r") * c - F.col("c") * r) * (F.col("r") * c - F.col("c") * r)
+    gap = F.abs(ratio("cum_r", "total_r", None) - ratio("cum_c", "total_c", None))
+    cross = F.col("r") * c - F.col("c") * r
+    is_number = F.col("_ks").isNotNull()
+    both = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
     rows = walk.groupBy(*keys, "feature").agg(
-        F.sum(F.try_divide(cell, (F.col("r") + F.col("c")) * r * c)).alias("statistic"),
-        (F.count(F.lit(1)) - 1).cast("int").alias("dof"),
+        F.max(F.when(F.col("value").isNotNull(), F.coalesce(gap, F.lit(0.0)))).alias("_ks"),
+        F.sum(gap * (F.col("next.value") - F.col("value"))).alias("_area"),
+        F.sum(F.try_divide(cross * cross, (F.col("r") + F.col("c")) * r * c)).alias("_chi"),
+        (F.count(F.lit(1)) - 1).cast("int").alias("_dof"),
+        F.sum(F.col("value") * F.col("r")).alias("_sr"),
+        F.sum(F.col("value") * F.col("c")).alias("_sc"),
         F.max("total_r").alias("n_reference"),
         F.max("total_c").alias("n_current"),
     )
-    both = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
+    rows = rows.withColumn("statistic", F.when(both, F.when(is_number, F.col("_ks")).otherwise(F.col("_chi"))))
+    p = F.when(is_number, ks_p_value("statistic", "n_reference", "n_current")).otherwise(
+        chi2_p_value("statistic", "_dof")
+    )
     return rows.select(
         *keys,
         "feature",
-        F.lit("chisquare").alias("stattest_name"),
-        F.when(both, F.col("statistic")).alias("statistic"),
-        "dof",
-        F.when(both, chi2_p_value("statistic", "dof")).alias("drift_score"),
-        F.lit(None).cast("double").alias("wasserstein"),
-        F.lit(None).cast("double").alias("reference_mean"),
-        F.lit(None).cast("double").alias("current_mean"),
+        F.when(is_number, "ks").otherwise("chisquare").alias("stattest_name"),
+        "statistic",
+        F.when(~is_number, F.col("_dof")).alias("dof"),
+        F.when(both, p).alias("drift_score"),
+        F.when(both & is_number, F.coalesce("_area", F.lit(0.0))).alias("wasserstein"),
+        ratio("_sr", "n_reference", None).alias("reference_mean"),
+        ratio("_sc", "n_current", None).alias("current_mean"),
         "n_reference",
         "n_current",
     )
@@ -156,12 +154,9 @@ def drift(
 ) -> tuple[DataFrame, DataFrame]:
     """(per-feature rows, one dataset row per group)."""
     shared = common_columns(ref, cur, [*numeric, *categorical])
-    parts = []
-    if nums := [c for c in numeric if c in shared]:
-        parts.append(numeric_tests(ref, cur, nums, keys, mode))
-    if cats := [c for c in categorical if c in shared]:
-        parts.append(categorical_tests(ref, cur, cats, keys, mode))
-    features = flag_features(reduce(DataFrame.unionByName, parts), alpha)
+    nums = [c for c in numeric if c in shared]
+    cats = [c for c in categorical if c in shared]
+    features = flag_features(feature_tests(ref, cur, nums, cats, keys, mode), alpha)
     return features, dataset_drift(features, keys, share)
 
 

@@ -71,18 +71,30 @@ def roc_auc(df: DataFrame, y: str, score: str, keys: Sequence[str] = (), mode: s
 def metrics(
     df: DataFrame, y: str, pred: str, score: str | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Confusion counts, accuracy, precision, recall, f1_score, support (and roc_auc)."""
+    """Confusion counts, accuracy, precision, recall, f1_score, support (and roc_auc).
+
+    With a score, one grouped pass feeds both: confusion counts ride along on the distinct
+    scores that the ranking needs anyway.
+    """
     keys = list(keys)
-    base = confusion(df, y, pred, keys).withColumn(
-        "support", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
-    )
-    base = base.withColumns(metric_columns())
     if score is None:
-        return base
-    auc = roc_auc(df, y, score, keys)
-    if keys:
-        return base.join(auc, keys, "left")
-    return base.withColumn("roc_auc", auc.scalar())
+        base = confusion(df, y, pred, keys)
+    else:
+        cells = {n: c.alias(n) for n, c in confusion_counts(y, pred).items()}
+        ranked = F.col(score).isNotNull()
+        counts = df.groupBy(*keys, F.col(score).alias("score")).agg(
+            F.count_if((F.col(y) == 1) & ranked).alias("pos"),
+            F.count_if((F.col(y) == 0) & ranked).alias("neg"),
+            *cells.values(),
+        )
+        walk = prefix_sum(counts, ["score"], ["pos", "neg"], keys)
+        won = F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)
+        base = walk.groupBy(*keys).agg(
+            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in cells],
+            F.try_divide(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"),
+        )
+    base = base.withColumn("support", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
+    return base.withColumns(metric_columns())
 
 
 def roc(

@@ -109,17 +109,19 @@ def quantiles(
     qs: Sequence[float] = (0.5,),
     keys: Sequence[str] = (),
     buffer_rows: int = EXACT_BUFFER_ROWS,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows (keys, feature, median, p25, ...).
 
-    A counting pass sizes the groups. Groups whose values fit an aggregation buffer use the
+    A counting pass finds the ``biggest`` group unless the caller knows it. Groups whose values fit an aggregation buffer use the
     built-in ``percentile``; otherwise a sketch brackets each quantile, only values inside a
     bracket are kept apart, and everything else is counted per gap.
     """
     keys, qs, columns = list(keys), list(qs), list(columns)
     value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    sizes = df.groupBy(*keys).agg(*[F.count(v).alias(c) for c, v in value.items()])
-    biggest = sizes.agg(F.max(F.greatest(*columns, F.lit(0)))).first()[0] or 0
+    if biggest is None:
+        sizes = df.groupBy(*keys).agg(*[F.count(v).alias(c) for c, v in value.items()])
+        biggest = sizes.agg(F.max(F.greatest(*columns, F.lit(0)))).first()[0] or 0
     if biggest <= buffer_rows:
         wide = df.groupBy(*keys).agg(*[F.percentile(v, F.lit(qs)).alias(c) for c, v in value.items()])
         pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in columns]

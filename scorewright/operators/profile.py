@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.stats import ratio
-from scorewright.operators.joins import lookup_join
+from scorewright.operators.joins import collect_bounded
 from scorewright.operators.ordered import long_form, quantile_name, quantiles
 
 
@@ -25,8 +25,8 @@ def profile_numeric(
 ) -> DataFrame:
     """One row per (keys, column): missing count and rate, mean, sample std, extremes, quantiles.
 
-    Moments of all columns come from one wide aggregate; quantiles are exact unless
-    ``approx``.
+    Moments of all columns come from one wide aggregate, which also sizes the groups for
+    the quantiles; those are exact unless ``approx``.
     """
     keys = list(keys)
     aggs = []
@@ -42,6 +42,12 @@ def profile_numeric(
         if approx:
             aggs.append(F.percentile_approx(v, list(qs)).alias(f"q{i}"))
     wide = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    exact = bool(qs) and not approx
+    small = collect_bounded(wide) if exact else None
+    biggest = None
+    if small is not None:
+        wide = small
+        biggest = small.agg(F.max("n")).first()[0] or 0
     entries = [
         F.struct(
             F.lit(c).alias("column"),
@@ -62,10 +68,11 @@ def profile_numeric(
         for i, c in enumerate(columns)
     ]
     moments = wide.select(*keys, F.inline(F.array(*entries)))
-    if approx or not qs:
+    if not exact:
         return moments
-    exact = quantiles(df, columns, qs, keys).withColumnRenamed("feature", "column")
-    return lookup_join(moments, exact, [*keys, "column"])
+    cuts = quantiles(df, columns, qs, keys, biggest=biggest).withColumnRenamed("feature", "column")
+    # one row per group and column on both sides
+    return moments.join(cuts, [*keys, "column"], "left")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

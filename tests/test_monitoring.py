@@ -24,7 +24,7 @@ def test_numeric_tests_match_brute_force(spark, mode):
     rng = np.random.default_rng(3)
     a, b = np.round(rng.normal(0, 1, 300), 1), np.round(rng.normal(0.3, 1, 200), 1)
     ref, cur = (spark.createDataFrame([(float(v),) for v in x], "x double") for x in (a, b))
-    row = D.numeric_tests(ref, cur, ["x"], mode=mode).first()
+    row = D.feature_tests(ref, cur, ["x"], mode=mode).first()
     d, w = brute_ks(a, b)
     assert row["statistic"] == pytest.approx(d) and row["wasserstein"] == pytest.approx(w)
     assert row["reference_mean"] == pytest.approx(a.mean()) and row["n_current"] == 200
@@ -48,7 +48,7 @@ def test_categories_and_share(many):
 
 def test_one_category_is_no_drift(spark):
     one = spark.createDataFrame([("a",)] * 4, "c string")
-    row = D.categorical_tests(one, one, ["c"]).first()
+    row = D.feature_tests(one, one, [], ["c"]).first()
     assert (row["statistic"], row["dof"], row["drift_score"]) == (0.0, 0, 1.0)
 
 
