@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.columns import truncated_json
 from scorewright.functions.stats import chi2_p_value, ks_p_value, ratio
+from scorewright.operators.joins import keyed_join
 from scorewright.operators.ordered import long_form, prefix_sum
 from scorewright.operators.profile import positive_rate, profile_numeric
 
@@ -196,7 +197,7 @@ def mean_shift(ref, cur, columns, keys=()) -> DataFrame:
         rows = profile_numeric(df, present, keys, ())
         return rows.select(*keys, F.col("column").alias("feature"), F.col("mean").alias(name))
 
-    joined = means(ref, "reference_mean").join(means(cur, "current_mean"), [*keys, "feature"], "full")
+    joined = keyed_join(means(ref, "reference_mean"), means(cur, "current_mean"), [*keys, "feature"], "full")
     return joined.withColumn("shift", F.col("current_mean") - F.col("reference_mean"))
 
 
@@ -207,7 +208,7 @@ def baseline_join(current: DataFrame, baseline: DataFrame, keys: Sequence[str] =
     def named(df, prefix):
         return df.select(*on, *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns if c not in on])
 
-    return named(baseline, "baseline").join(named(current, "current"), on, "full")
+    return keyed_join(named(baseline, "baseline"), named(current, "current"), on, "full")
 
 
 def prediction_drift(
@@ -269,7 +270,7 @@ def quality_compare(
             )
             for side, df in (("reference", ref), ("current", cur))
         ]
-        joined = stats[0].join(stats[1], on, "full")
+        joined = keyed_join(stats[0], stats[1], on, "full")
         outside = (F.col("current_min") < F.col("reference_min")) | (
             F.col("current_max") > F.col("reference_max")
         )
@@ -318,11 +319,9 @@ def monitoring_summary(
         rows = df if keys else df.withColumn("_one", F.lit(1))
         return rows.select(*on, *columns)
 
-    joined = (
-        part(data, ["overall_drift_detected", "drift_percentage"])
-        .join(part(concept, ["concept_drift_detected"]), on, "full")
-        .join(part(prediction, ["prediction_drift_detected"]), on, "full")
-    )
+    joined = part(data, ["overall_drift_detected", "drift_percentage"])
+    joined = keyed_join(joined, part(concept, ["concept_drift_detected"]), on, "full")
+    joined = keyed_join(joined, part(prediction, ["prediction_drift_detected"]), on, "full")
     flags = {
         "data_drift_detected": F.coalesce("overall_drift_detected", F.lit(False)),
         "concept_drift_detected": F.coalesce("concept_drift_detected", F.lit(False)),
@@ -377,7 +376,7 @@ def alert_gate(analysis: DataFrame, raw: DataFrame, keys: Sequence[str]) -> Data
     """
     keys = list(keys)
     graded = analysis.select(*keys, F.col("severity").alias("_severity"), F.col("recommendation").alias("_text"))
-    rows = raw.join(graded, keys, "left").withColumn("severity", F.coalesce("_severity", fallback_severity()))
+    rows = keyed_join(raw, graded, keys).withColumn("severity", F.coalesce("_severity", fallback_severity()))
     return (
         rows.withColumn(
             "recommendation", F.coalesce("_text", F.concat(F.lit("Severity: "), F.col("severity")))

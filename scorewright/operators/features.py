@@ -58,7 +58,7 @@ def impute_grouped(df: DataFrame, median: Sequence[str], keys: Sequence[str]) ->
     wide = fits.groupBy(*keys).agg(
         *[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"_med_{c}") for c in median]
     )
-    joined = lookup_join(df, wide, keys)
+    joined = lookup_join(df, wide, keys, null_safe=True)
     return joined.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), f"_med_{c}") for c in median}
     ).drop(*[f"_med_{c}" for c in median])

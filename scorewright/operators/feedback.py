@@ -92,7 +92,7 @@ def matched(joined: DataFrame, min_coverage: float = 0.0, keys: Sequence[str] =
     share = ratio(F.count_if("feedback_received"), F.greatest(F.count(F.lit(1)), F.lit(1)))
     if keys:
         passing = joined.groupBy(*keys).agg(share.alias("_cov")).where(F.col("_cov") >= min_coverage)
-        return lookup_join(rows, passing.select(*keys), list(keys), "left_semi")
+        return lookup_join(rows, passing.select(*keys), list(keys), "left_semi", null_safe=True)
     got = joined.agg(share.alias("s")).first()["s"]
     return rows if got >= min_coverage else rows.where(F.lit(False))
 

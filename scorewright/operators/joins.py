@@ -7,6 +7,9 @@ the big side are salted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_BROADCAST_ROWS = 100_000
@@ -15,6 +18,18 @@ HOT_SHARE = 0.01
 SALTS = 32
 
 
+def keyed_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on group keys, where null is a group of its own and matches itself."""
+    on = list(on)
+    rest = [F.col(c) for c in other.columns if c not in on]
+    right = other.select(*[F.col(c).alias(f"_right_{c}") for c in on], *rest)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    joined = df.join(right, same, how)
+    if how == "full":
+        joined = joined.withColumns({c: F.coalesce(c, f"_right_{c}") for c in on})
+    return joined.drop(*[f"_right_{c}" for c in on])
+
+
 def collect_bounded(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame | None:
@@ -47,12 +62,18 @@ def spread_salt(df: DataFrame, salts: int) -> Column:
 
 
 def skew_join(
-    df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    df: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "left",
+    salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Shuffled join; hot keys of ``df`` are split over ``salts`` copies of their lookup row."""
+    join = keyed_join if null_safe else DataFrame.join
     hot = hot_keys(df, on)
     if not hot:
-        return df.join(lookup, on, how)
+        return join(df, lookup, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
     left = df.withColumn("_salt", F.when(is_hot, spread_salt(df, salts)).otherwise(F.lit(0)))
     right = lookup.withColumn(
@@ -61,7 +82,7 @@ def skew_join(
             F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         ),
     )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -70,9 +91,15 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join ``df`` to a lookup table with one row per key: inner, left, left_semi or left_anti."""
+    """Join ``df`` to a lookup table with one row per key: inner, left, left_semi or left_anti.
+
+    ``null_safe`` is for group keys: the null group then finds its row.
+    """
     small = collect_bounded(lookup, max_rows)
-    if small is not None:
-        return df.join(F.broadcast(small), on, how)
-    return skew_join(df, lookup, on, how)
+    if small is None:
+        return skew_join(df, lookup, on, how, null_safe=null_safe)
+    if null_safe:
+        return keyed_join(df, F.broadcast(small), on, how)
+    return df.join(F.broadcast(small), on, how)

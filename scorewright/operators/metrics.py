@@ -199,7 +199,7 @@ def side_by_side(runs: DataFrame, on: Sequence[str], role: str = "role") -> Data
         return rows.select(*on, *[F.col(c).alias(f"{name}_{c}") for c in cols])
 
     challenger, champion = part("challenger"), part("champion")
-    return lookup_join(challenger, champion, on)
+    return lookup_join(challenger, champion, on, null_safe=True)
 
 
 def promote(pairs: DataFrame, threshold: float = PROMOTION_THRESHOLD) -> DataFrame:

@@ -66,7 +66,7 @@ def prefix_sum(
             F.lead("_first").over(walk).alias("_edge_next"),
         )
     )
-    joined = lookup_join(local, pieces, ["_pid", *keys])
+    joined = lookup_join(local, pieces, ["_pid", *keys], null_safe=True)
     for v in values:
         joined = joined.withColumn(f"cum_{v}", F.col(f"cum_{v}") + F.coalesce(f"_off_{v}", F.lit(0)))
         joined = joined.withColumn(f"total_{v}", F.coalesce(f"_all_{v}", f"total_{v}"))
@@ -143,7 +143,7 @@ def quantiles(
 
 def bracket_quantiles(long: DataFrame, sketch: DataFrame, group: list[str], qs: list[float]) -> DataFrame:
     """Quantiles from value brackets whose width the sketch guarantees."""
-    rows = lookup_join(long, sketch, group, "inner")
+    rows = lookup_join(long, sketch, group, "inner", null_safe=True)
     inside = F.col("_n") <= SKETCH_ACCURACY
     below = [F.lit(float("-inf")), F.lit(float("-inf"))]
     for i in range(len(qs)):

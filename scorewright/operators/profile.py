@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.stats import ratio
-from scorewright.operators.joins import collect_bounded
+from scorewright.operators.joins import collect_bounded, keyed_join
 from scorewright.operators.ordered import long_form, quantile_name, quantiles
 
 
@@ -72,7 +72,7 @@ def profile_numeric(
         return moments
     cuts = quantiles(df, columns, qs, keys, biggest=biggest).withColumnRenamed("feature", "column")
     # one row per group and column on both sides
-    return moments.join(cuts, [*keys, "column"], "left")
+    return keyed_join(moments, cuts, [*keys, "column"])
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -115,9 +115,8 @@ def profile_categorical(
             ).alias("top_values"),
         )
     )
-    return totals.withColumn("missing_rate", F.round(ratio("missing_count", "n_rows", None), 4)).join(
-        best, [*keys, "column"], "left"
-    )
+    totals = totals.withColumn("missing_rate", F.round(ratio("missing_count", "n_rows", None), 4))
+    return keyed_join(totals, best, [*keys, "column"])
 
 
 def baseline_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -40,7 +40,7 @@ def take_threshold(
         .where("cum - c < k AND k <= cum")
         .select(*strata, "prefix", (F.col("k") - (F.col("cum") - F.col("c"))).alias("need"))
     )
-    inside = lookup_join(hashed, located, [*strata, "prefix"], "inner")
+    inside = lookup_join(hashed, located, [*strata, "prefix"], "inner", null_safe=True)
     # copies of a key collapse before the window, so it sees distinct hashes only
     distinct = inside.groupBy(*strata, "prefix", "need", "h").agg(F.count(F.lit(1)).alias("c"))
     upto = Window.partitionBy(*strata, "prefix").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
@@ -60,7 +60,7 @@ def mark_first(
     strata = list(strata)
     cuts = take_threshold(df, key, seed, size, strata)
     if strata:
-        joined = lookup_join(df, cuts, strata)
+        joined = lookup_join(df, cuts, strata, null_safe=True)
     else:
         row = cuts.first()  # one row: the cut of the whole table
         joined = df.withColumn("cut", F.lit(row["cut"] if row else None).cast("string"))

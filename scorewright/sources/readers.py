@@ -112,7 +112,7 @@ def latest(df: DataFrame, version: str, keys: Sequence[str] = ()) -> DataFrame:
     number = F.expr(f"try_cast(`{version}` AS BIGINT)")
     newest = df.groupBy(*keys).agg(F.max(number).alias("_newest"))
     if keys:
-        joined = lookup_join(df, newest, list(keys))
+        joined = lookup_join(df, newest, list(keys), null_safe=True)
         return joined.where(number == F.col("_newest")).drop("_newest")
     top = newest.first()["_newest"]
     return df.where(number == F.lit(top))

@@ -91,3 +91,37 @@ def test_nan_counts_as_missing(spark):
     assert O.quantiles(df, ["v"], (0.5,)).first()["median"] == 2.0
     assert O.quantiles(df, ["v"], (0.5,), buffer_rows=0).first()["median"] == 2.0
     assert math.isclose(statistics.median([1.0, 3.0]), 2.0)
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    """Three groups, one of them null."""
+    return spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise((F.col("id") % 3).cast("string")).alias("g"),
+        F.pmod(F.hash("id"), F.lit(500)).cast("double").alias("v"),
+    )
+
+
+def test_null_group_keys(spark, gaps):
+    from scorewright.operators import drift as D
+    from scorewright.operators import profile as P
+    from scorewright.operators import splits as S
+
+    order = lambda df, cols: sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = gaps.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+        cols = ["g", "v", "cum_n", "total_n", "prev", "next"]
+        ranged = O.prefix_sum(counts, ["v"], ["n"], ["g"], mode="ranges")
+        assert order(ranged, cols) == order(O.prefix_sum(counts, ["v"], ["n"], ["g"]), cols)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    near = O.quantiles(gaps, ["v"], (0.5,), ["g"])
+    assert near.count() == 3
+    assert order(near, ["g", "median"]) == order(O.quantiles(gaps, ["v"], (0.5,), ["g"], buffer_rows=0), ["g", "median"])
+    profile = P.profile_numeric(gaps, ["v"], ["g"])
+    assert profile.count() == 3 and profile.where("median IS NULL").count() == 0
+    rows = gaps.withColumn("id", F.monotonically_increasing_id())
+    picked = S.split(rows, ["id"], 0.2, 1, ["g"]).where("split = 'test'").groupBy("g").count().collect()
+    assert sorted(r["count"] for r in picked) == [200, 200, 200]
+    assert D.mean_shift(gaps, gaps, ["v"], ["g"]).count() == 3
