@@ -10,9 +10,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from scorewright import catalog
 from tests.conftest import SF
 
-ORACLES = entry.oracle_sql()
+ORACLES = catalog.ORACLES
 ROWS_ONLY = {
     "reconstruct_reference", "logreg_fit", "logreg_fit_l1", "logreg_fit_unweighted", "coef_importance",
     "hyperparam_search", "local_surrogate", "objective", "predict_fn",
@@ -63,7 +64,8 @@ def test_rows_only(spark, sf, name):
 
 
 def test_every_query_is_covered():
-    assert set(entry.queries()) == set(ORACLES) | ROWS_ONLY
+    assert set(catalog.QUERIES) == set(ORACLES) | ROWS_ONLY
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark, sf):
