@@ -3,9 +3,10 @@
 1. Every whole text gives its set of word shingles, a fingerprint of the set and a MinHash signature.
    Documents of equal sets form one class, so exact copies never meet again.
 2. Classes that agree on a band of the signature share a bucket. Buckets are never expanded into all
-   pairs: each round a few pivots of a bucket are compared with its members, and the members that are
-   linked by then count as one component. A bucket is done when its members lie in one component or
-   every member outside its main component has been compared with all others.
+   pairs: every member meets the bucket-mate that has most mates over all bands, and the links so
+   found make components. Where a bucket still lies in several, rounds follow: a pack of its members
+   outside the main component meets all its members, each of them in one row, and leaves the bucket.
+   A bucket is done when its members lie in one component or all outside the main one have left.
 3. A pair's signatures are compared in batches; a pair is given up as soon as the posterior
    probability of a similarity at the threshold or above falls below the chosen miss probability.
 4. Survivors are confirmed on the full shingle sets of their texts.
@@ -33,7 +34,8 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-6
-PIVOTS = 8
+#: Pivots of a bucket in its first round; four times as many in each later one, up to the second figure.
+PIVOTS, MOST_PIVOTS = 16, 4096
 CHUNK = 256
 
 _draw = np.random.default_rng(20_240_229)
@@ -166,6 +168,32 @@ def _survivors(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     return joined.where(passes("sa", "sb")).select("a", "b")
 
 
+def _against_packs(current: DataFrame, packs: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members and the pivots in its pack, of other components, whose
+    signatures pass the batches. A member meets a whole pack in one row; only survivors become rows."""
+    meetings = current.join(packs, "bucket").select("cid", "n", "comp", "sig", "pack")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(4).offsets.to_numpy()
+            pivots = batch.column(4).values
+            ids, comps, sizes = (pivots.field(k).to_numpy() for k in ("cid", "comp", "n"))
+            sigs = np.frombuffer(b"".join(pivots.field("sig").to_pylist()), "<u2").reshape(-1, HASHES)
+            left, right = [], []
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), ends[:-1], ends[1:])
+            for cid, n, comp, sig, i, j in rows:
+                small, large = np.minimum(sizes[i:j], n), np.maximum(sizes[i:j], n)
+                at = i + np.flatnonzero((comps[i:j] != comp) & (small * 100 >= large * threshold))
+                if len(at):
+                    at = at[may_link(np.broadcast_to(np.frombuffer(sig, "<u2"), (len(at), HASHES)), sigs[at], threshold)]
+                    left.append(np.minimum(ids[at], cid))
+                    right.append(np.maximum(ids[at], cid))
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+
+    return meetings.mapInArrow(compare, "a long, b long").distinct()
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
     """Pairs (a, b) confirmed on the full sets of their texts."""
     joined = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a").join(
@@ -179,32 +207,50 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> Da
     return joined.where(confirmed("ta", "tb")).select("a", "b")
 
 
+def _members(classes: DataFrame) -> DataFrame:
+    """(bucket, cid, n, degree) of the buckets that two or more classes share; degree: how many
+    bucket-mates a class has over all bands, which is highest for what the others are copies of."""
+    banded = classes.select("cid", "n", F.explode(_bands(F.col("sig"))).alias("bucket"))
+    shared = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    own = banded.join(shared, "bucket").groupBy("cid", "n").agg(
+        F.collect_list("bucket").alias("buckets"), F.sum("k").alias("degree")
+    )  # at most one row for each band
+    return stage(own.select(F.explode("buckets").alias("bucket"), "cid", "n", "degree"))
+
+
 def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """Each member with the bucket-mate of smallest id that it meets in most bands."""
-    pivots = stage(members.groupBy("bucket").agg(F.min(F.struct("cid", "n")).alias("p")))
+    """Each member with the pivot it meets in most bands; a bucket's pivot has its highest degree."""
+    best = F.max(F.struct("degree", (-F.col("cid")).alias("least"), "n")).alias("p")
+    pivots = members.groupBy("bucket").agg(best)
+    pivots = stage(pivots.select("bucket", (-F.col("p.least")).alias("a"), F.col("p.n").alias("m"), F.col("p.degree").alias("d")))
     met = (
         members.join(pivots, "bucket")
-        .where((F.col("cid") != F.col("p.cid")) & _sizes_allow(F.col("n"), F.col("p.n"), threshold))
-        .groupBy(F.col("cid").alias("b"), F.col("p.cid").alias("a"))
+        .where((F.col("cid") != F.col("a")) & _sizes_allow(F.col("n"), F.col("m"), threshold))
+        .groupBy(F.col("cid").alias("b"), "a", "d")
         .agg(F.count(F.lit(1)).alias("k"))
     )
-    return met.groupBy("b").agg(F.max_by("a", F.struct("k", -F.col("a"))).alias("a")).select("a", "b")
+    return met.groupBy("b").agg(F.max_by("a", F.struct("k", "d", -F.col("a"))).alias("a")).select("a", "b")
 
 
-def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets in two or more components, with their component and whether that is the
-    bucket's main one (the largest by its members elsewhere, too)."""
-    named = members.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "bucket", "cid", "n", F.coalesce("root", "cid").alias("comp")
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that lie in two or more components, with their component and the
+    bucket's main one, that of its member of highest degree."""
+    named = members.join(roots, F.col("cid") == F.col("node"), "left")
+    named = stage(named.select("bucket", "cid", "n", "degree", F.coalesce("root", "cid").alias("comp")))
+    buckets = named.groupBy("bucket").agg(
+        F.max(F.struct("degree", "cid", "comp")).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    named = stage(named)
-    sizes = named.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    weighed = named.join(stage(sizes), "comp")
-    buckets = weighed.groupBy("bucket").agg(
-        F.max(F.struct("size", "comp")).alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
-    buckets = stage(buckets.where("low <> high").select("bucket", F.col("main.comp").alias("main")))
-    return stage(named.join(buckets, "bucket").select("bucket", "cid", "n", "comp", (F.col("comp") == F.col("main")).alias("is_main")))
+    buckets = stage(buckets.where("low <> high").select("bucket", F.col("m.comp").alias("main")))
+    return stage(named.join(buckets, "bucket"))
+
+
+def _packs(current: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(bucket, pack): up to ``size`` members outside the bucket's main component, the highest degree
+    of each slice of a hash."""
+    best = F.max(F.struct("degree", "cid", "n", "comp")).alias("p")
+    picked = current.where("comp <> main").groupBy("bucket", F.pmod(F.xxhash64("cid"), F.lit(size)).alias("g")).agg(best)
+    picked = picked.select("bucket", "p.cid", "p.n", "p.comp").join(classes.select("cid", "sig"), "cid")
+    return picked.groupBy("bucket").agg(F.collect_list(F.struct("cid", "n", "comp", "sig")).alias("pack"))
 
 
 def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,38 +268,28 @@ def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str
     described = stage(describe(rows, shingle_words))
     known = described.where(F.col("fp").isNotNull() & F.col("doc_id").isNotNull())
     classes = stage(known.groupBy("fp").agg(F.min("doc_id").alias("cid"), F.min_by("n", "doc_id").alias("n"), F.min_by("sig", "doc_id").alias("sig")))
-    banded = classes.select("cid", "n", F.explode(_bands(F.col("sig"))).alias("bucket"))
-    shared = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket"))
-    members = stage(banded.join(shared, "bucket"))
+    members = _members(classes)
     heads = members.select("cid").distinct()
     texts = stage(rows.join(heads, F.col("doc_id") == F.col("cid")).select("cid", "text"))
     pairs = stage(_first_pairs(members, threshold))
-    tested, links = pairs, stage(_links(_survivors(pairs, classes, threshold), texts, shingle_words, threshold))
-    roots = contract(links)
-    retired = None
+    tested = stage(_survivors(pairs, classes, threshold))
+    roots = contract(_links(tested, texts, shingle_words, threshold))
+    tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    size = PIVOTS
     while True:
-        current = _open_members(members, roots)
-        left = current.where(~F.col("is_main"))
-        if retired is not None:
-            left = left.join(retired, ["bucket", "cid"], "left_anti")
-        pivots = left.groupBy("bucket", F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)).alias("g")).agg(
-            F.min(F.struct("cid", "n", "comp")).alias("p")
-        )
-        pivots = stage(pivots.select("bucket", "p"))
-        if pivots.isEmpty():
+        current = _open(members, roots)
+        if current.isEmpty():
             break
-        met = current.join(pivots, "bucket").where(
-            (F.col("comp") != F.col("p.comp")) & _sizes_allow(F.col("n"), F.col("p.n"), threshold)
-        )
-        new = met.select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct()
-        new = stage(new.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-        gone = pivots.select("bucket", F.col("p.cid").alias("cid"))
-        retired = stage(gone if retired is None else retired.unionByName(gone))
-        members = stage(current.select("bucket", "cid", "n"))
-        found = stage(_links(_survivors(new, classes, threshold), texts, shingle_words, threshold))
+        packs = stage(_packs(current, classes, size))
+        met = stage(_against_packs(current.join(classes.select("cid", "sig"), "cid"), packs, threshold))
+        new = stage(met.join(tested, ["a", "b"], "left_anti"))
+        found = stage(_links(new, texts, shingle_words, threshold))
         tested = tested.unionByName(new)
         if not found.isEmpty():
             roots = contract(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+        used = packs.select("bucket", F.explode("pack.cid").alias("cid"))
+        members = current.select("bucket", "cid", "n", "degree").join(used, ["bucket", "cid"], "left_anti")
+        size = min(4 * size, MOST_PIVOTS)
     whole = classes.join(roots, F.col("cid") == F.col("node"), "left").select("fp", F.coalesce("root", "cid").alias("root"))
     return (
         described.select("doc_id", "n", "fp")
