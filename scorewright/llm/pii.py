@@ -80,6 +80,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def labelled_spans(text: str) -> list[tuple[str, int, int]]:
+    """What the network is taught: the patterns' matches, and card-like numbers of any check digit."""
+    base = base_spans(text)
+    cards = [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(re.sub("[^0-9]", "", m[0])) <= 19]
+    return sorted([s for s in base if s[0] != "card"] + free(cards, [s for s in base if s[0] != "card"]), key=lambda s: s[1])
+
+
 def codes(text: str) -> np.ndarray:
     """ASCII characters as they are; other letters, other blanks and the rest have a class each."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -208,7 +215,7 @@ def train(texts: list[str], windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS,
     xs, ys = [], []
     for text in texts:
         points, tags = codes(text), np.zeros(len(text), np.int64)
-        for kind, a, b in base_spans(text):
+        for kind, a, b in labelled_spans(text):
             tags[a:b] = 2 + 2 * KINDS.index(kind)
             tags[a] -= 1
         last = -STEP
