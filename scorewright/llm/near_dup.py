@@ -5,8 +5,10 @@
 2. Classes that agree on a band of the signature share a bucket. Buckets are never expanded into all
    pairs: every member meets the bucket-mate that has most mates over all bands, and the links so
    found make components. Where a bucket still lies in several, rounds follow: a pack of its members
-   outside the main component meets all its members, each of them in one row, and leaves the bucket.
-   A bucket is done when its members lie in one component or all outside the main one have left.
+   outside the main component meets all its members, each of them in one row. In the first round each
+   of the pack seeks a link through its best mate; in the later ones all its possible mates are
+   verified and it leaves the bucket. A bucket is done when its members lie in one component or all
+   outside the main one have left.
 3. A pair's signatures are compared in batches; a pair is given up as soon as the posterior
    probability of a similarity at the threshold or above falls below the chosen miss probability.
 4. Survivors are confirmed on the full shingle sets of their texts.
@@ -31,11 +33,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scorewright.session import stage
 
 BANDS, ROWS = 32, 5
-HASHES = BANDS * ROWS
+#: The bands take the first hash functions of the signature; all of them serve verification.
+HASHES = 448
 BATCH = 32
-MISS = 1e-6
-#: Pivots of a bucket in its first round; four times as many in each later one, up to the second figure.
-PIVOTS, MOST_PIVOTS = 16, 4096
+MISS = 1e-5
+#: Pivots of a bucket in the first rounds; four times as many in each later one, up to the second figure.
+PIVOTS, MOST_PIVOTS = 256, 4096
 CHUNK = 256
 
 _draw = np.random.default_rng(20_240_229)
@@ -64,11 +67,12 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the smallest of each of the hash functions over the set."""
+    """8 bits of the smallest of each of the hash functions over the set: unequal ones agree once in 256
+    times, which keeps pairs a little longer and never drops one."""
     least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), CHUNK):
         np.minimum(least, (shingles[i : i + CHUNK, None] * MULTIPLIERS).min(axis=0), out=least)
-    return (least >> np.uint64(16)).astype("<u2")
+    return (least >> np.uint64(16)).astype(np.uint8)
 
 
 @lru_cache
@@ -121,8 +125,10 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _bands(sig: Column) -> Column:
-    width = 2 * ROWS
-    return F.array(*[F.xxhash64(F.lit(b), F.substring(sig, b * width + 1, width)) for b in range(BANDS)])
+    """The band's number and its bucket, for each band."""
+    return F.array(
+        *[F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring(sig, b * ROWS + 1, ROWS)).alias("bucket")) for b in range(BANDS)]
+    )
 
 
 def _sizes_allow(n: Column, m: Column, threshold: int) -> Column:
@@ -133,24 +139,28 @@ def contract(edges: DataFrame) -> DataFrame:
     """(node, root) of every node but the roots, from edges (a, b); alternating star contractions.
 
     Each step joins the edges with the smallest neighbour of each node, found from partial minima, and
-    is written to the shared folder; it ends when a step changes nothing.
+    is written to the shared folder; it ends when only stars are left.
     """
     edges = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stage(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")))
         low = F.least("a", "m")
         large = both.join(least, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), low.alias("b"))
         large = stage(large.distinct())
         least = stage(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")))
-        small = large.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("v"), "u", "m")
-        small = small.select(F.explode(F.array(F.struct(F.col("v").alias("a")), F.struct(F.col("u").alias("a")))).alias("x"), "m")
-        edges = stage(small.select("x.a", F.col("m").alias("b")).where("a <> b").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+        small = large.join(least, F.col("a") == F.col("u")).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        edges = stage(small.where("a <> b").distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every left end has one edge, to a node that is no left end."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        edges.select(F.col("b").alias("x"), F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    sums = ends.groupBy("x").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    return sums.where("l > 1 OR (l > 0 AND r > 0)").isEmpty()
 
 
 def _survivors(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
@@ -162,36 +172,47 @@ def _survivors(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
 
     @F.pandas_udf("boolean")
     def passes(left: pd.Series, right: pd.Series) -> pd.Series:
-        as_rows = lambda s: np.frombuffer(b"".join(s), "<u2").reshape(len(s), HASHES)
+        as_rows = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(len(s), HASHES)
         return pd.Series(may_link(as_rows(left), as_rows(right), threshold))
 
     return joined.where(passes("sa", "sb")).select("a", "b")
 
 
-def _against_packs(current: DataFrame, packs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members and the pivots in its pack, of other components, whose
-    signatures pass the batches. A member meets a whole pack in one row; only survivors become rows."""
-    meetings = current.join(packs, "bucket").select("cid", "n", "comp", "sig", "pack")
+def _against_packs(current: DataFrame, packs: DataFrame, threshold: int, best_only: bool) -> DataFrame:
+    """Pairs (a, b, k) of a bucket's members and the pivots in its pack, of other components, whose
+    signatures pass the batches; k is how many hashes agree.
+
+    A member meets a whole pack in one row, and only survivors become rows: of a pair only at the first
+    band that it shares, and with ``best_only`` of a pivot only its best pair in each batch of rows.
+    """
+    meetings = current.join(packs, "bucket").select("cid", "n", "comp", "sig", "band", "pack")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = batch.column(4).offsets.to_numpy()
-            pivots = batch.column(4).values
+            ends = batch.column(5).offsets.to_numpy()
+            pivots = batch.column(5).values
             ids, comps, sizes = (pivots.field(k).to_numpy() for k in ("cid", "comp", "n"))
-            sigs = np.frombuffer(b"".join(pivots.field("sig").to_pylist()), "<u2").reshape(-1, HASHES)
-            left, right = [], []
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), ends[:-1], ends[1:])
-            for cid, n, comp, sig, i, j in rows:
+            sigs = np.frombuffer(b"".join(pivots.field("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            rows = zip(*(batch.column(k).to_pylist() for k in range(5)), ends[:-1], ends[1:])
+            for cid, n, comp, sig, band, i, j in rows:
                 small, large = np.minimum(sizes[i:j], n), np.maximum(sizes[i:j], n)
                 at = i + np.flatnonzero((comps[i:j] != comp) & (small * 100 >= large * threshold))
                 if len(at):
-                    at = at[may_link(np.broadcast_to(np.frombuffer(sig, "<u2"), (len(at), HASHES)), sigs[at], threshold)]
-                    left.append(np.minimum(ids[at], cid))
-                    right.append(np.maximum(ids[at], cid))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
-
-    return meetings.mapInArrow(compare, "a long, b long").distinct()
+                    own = np.frombuffer(sig, np.uint8)
+                    at = at[may_link(np.broadcast_to(own, (len(at), HASHES)), sigs[at], threshold)]
+                    same = sigs[at] == own
+                    first = same[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+                    out.append((ids[at[first]], np.full(int(first.sum()), cid), same[first].sum(1)))
+            if out:
+                pivot, member, k = (np.concatenate(c) for c in zip(*out))
+                if best_only and len(pivot):
+                    order = np.lexsort((member, -k, pivot))
+                    order = order[np.concatenate([[True], np.diff(pivot[order]) != 0])]
+                    pivot, member, k = pivot[order], member[order], k[order]
+                yield pa.RecordBatch.from_arrays([pa.array(pivot), pa.array(member), pa.array(k.astype(np.int64))], names=["a", "b", "k"])
+
+    return meetings.mapInArrow(compare, "a long, b long, k long")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
@@ -208,14 +229,14 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> Da
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(bucket, cid, n, degree) of the buckets that two or more classes share; degree: how many
+    """(band, bucket, cid, n, degree) of the buckets that two or more classes share; degree: how many
     bucket-mates a class has over all bands, which is highest for what the others are copies of."""
-    banded = classes.select("cid", "n", F.explode(_bands(F.col("sig"))).alias("bucket"))
+    banded = classes.select("cid", "n", F.explode(_bands(F.col("sig"))).alias("x")).select("cid", "n", "x.*")
     shared = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     own = banded.join(shared, "bucket").groupBy("cid", "n").agg(
-        F.collect_list("bucket").alias("buckets"), F.sum("k").alias("degree")
+        F.collect_list(F.struct("band", "bucket")).alias("buckets"), F.sum("k").alias("degree")
     )  # at most one row for each band
-    return stage(own.select(F.explode("buckets").alias("bucket"), "cid", "n", "degree"))
+    return stage(own.select(F.explode("buckets").alias("x"), "cid", "n", "degree").select("x.*", "cid", "n", "degree"))
 
 
 def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
@@ -236,7 +257,7 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that lie in two or more components, with their component and the
     bucket's main one, that of its member of highest degree."""
     named = members.join(roots, F.col("cid") == F.col("node"), "left")
-    named = stage(named.select("bucket", "cid", "n", "degree", F.coalesce("root", "cid").alias("comp")))
+    named = stage(named.select("band", "bucket", "cid", "n", "degree", F.coalesce("root", "cid").alias("comp")))
     buckets = named.groupBy("bucket").agg(
         F.max(F.struct("degree", "cid", "comp")).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
@@ -270,26 +291,32 @@ def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str
     classes = stage(known.groupBy("fp").agg(F.min("doc_id").alias("cid"), F.min_by("n", "doc_id").alias("n"), F.min_by("sig", "doc_id").alias("sig")))
     members = _members(classes)
     heads = members.select("cid").distinct()
-    texts = stage(rows.join(heads, F.col("doc_id") == F.col("cid")).select("cid", "text"))
+    texts = stage(rows.join(heads.hint("merge"), F.col("doc_id") == F.col("cid")).select("cid", "text"))
     pairs = stage(_first_pairs(members, threshold))
     tested = stage(_survivors(pairs, classes, threshold))
     roots = contract(_links(tested, texts, shingle_words, threshold))
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    size = PIVOTS
+    size, seeking = PIVOTS, True
     while True:
         current = _open(members, roots)
         if current.isEmpty():
             break
         packs = stage(_packs(current, classes, size))
-        met = stage(_against_packs(current.join(classes.select("cid", "sig"), "cid"), packs, threshold))
+        met = _against_packs(current.join(classes.select("cid", "sig"), "cid"), packs, threshold, seeking)
+        if seeking:
+            met = met.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b"))
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = stage(met.join(tested, ["a", "b"], "left_anti"))
         found = stage(_links(new, texts, shingle_words, threshold))
         tested = tested.unionByName(new)
         if not found.isEmpty():
             roots = contract(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
-        used = packs.select("bucket", F.explode("pack.cid").alias("cid"))
-        members = current.select("bucket", "cid", "n", "degree").join(used, ["bucket", "cid"], "left_anti")
-        size = min(4 * size, MOST_PIVOTS)
+        members = current.select("band", "bucket", "cid", "n", "degree")
+        if not seeking:
+            used = packs.select("bucket", F.explode("pack.cid").alias("cid"))
+            members = members.join(used, ["bucket", "cid"], "left_anti")
+            size = min(4 * size, MOST_PIVOTS)
+        seeking = False
     whole = classes.join(roots, F.col("cid") == F.col("node"), "left").select("fp", F.coalesce("root", "cid").alias("root"))
     return (
         described.select("doc_id", "n", "fp")
