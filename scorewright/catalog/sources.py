@@ -242,8 +242,8 @@ def reconstruct_reference(spark, sf):
 
 @query(
     "merge_reports",
-    """WITH old AS (SELECT lang AS k, count(*) AS v FROM documents WHERE n_chars < 500 GROUP BY 1),
-       new AS (SELECT lang AS k, count(*) AS v FROM documents WHERE n_chars >= 2000 GROUP BY 1)
+    """WITH old AS (SELECT lang AS k, count(*) AS v FROM documents WHERE n_chars < 1200 GROUP BY 1),
+       new AS (SELECT lang AS k, count(*) AS v FROM documents WHERE n_chars >= 1200 GROUP BY 1)
        SELECT coalesce(new.k, old.k) AS feature, coalesce(new.v, old.v) AS n
        FROM old FULL OUTER JOIN new ON old.k = new.k""",
 )
@@ -253,5 +253,5 @@ def merge_reports(spark, sf):
     def doc(cond):
         return docs.where(cond).groupBy(F.col("lang").alias("feature")).agg(F.count(F.lit(1)).alias("n"))
 
-    old, new = doc("n_chars < 500"), doc("n_chars >= 2000").withColumnRenamed("n", "newer")
+    old, new = doc("n_chars < 1200"), doc("n_chars >= 1200").withColumnRenamed("n", "newer")
     return old.join(new, "feature", "full").select("feature", F.coalesce("newer", "n").alias("n"))

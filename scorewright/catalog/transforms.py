@@ -195,11 +195,11 @@ def request_log_flatten(spark, sf):
     return flatten_requests(logs, ["user_id"], keep=["event_id"])
 
 
-@query("truncate_payload", """SELECT doc_id, substr('{"text":"' || t || '"}', 1, 1024) AS payload
+@query("truncate_payload", """SELECT doc_id, '{"text":"' || t || '"}' AS payload
     FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS t FROM documents)""")
 def truncate_payload(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z ]", "").alias("text"))
-    return docs.select("doc_id", C.truncated_json(F.struct("text"), 1024).alias("payload"))
+    return docs.select("doc_id", C.truncated_json(F.struct("text")).alias("payload"))
 
 
 @query("rename_compat", "SELECT doc_id, quality AS actual_label FROM labels")

@@ -122,5 +122,7 @@ def row_id(keys: Sequence[str | Column], run_id: str) -> Column:
     return F.sha2(F.concat_ws("-", *[col(k).cast("string") for k in keys], F.lit(run_id)), 256)
 
 
-def truncated_json(struct: Column, limit: int = 1024) -> Column:
-    return F.substring(F.to_json(struct), 1, limit)
+def truncated_json(struct: Column, limit: int | None = None) -> Column:
+    """The struct as JSON, whole unless the caller asks for a shortened display text."""
+    text = F.to_json(struct)
+    return text if limit is None else F.substring(text, 1, limit)

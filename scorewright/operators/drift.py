@@ -386,7 +386,7 @@ def alert_gate(analysis: DataFrame, raw: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
-def alert_rows(alerts: DataFrame, message: str, context: Sequence[str], limit: int = 1024) -> DataFrame:
+def alert_rows(alerts: DataFrame, message: str, context: Sequence[str], limit: int | None = None) -> DataFrame:
     """Audit rows: timestamp, severity, message and the context cut to ``limit`` characters."""
     return alerts.select(
         F.current_timestamp().alias("timestamp"),

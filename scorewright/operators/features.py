@@ -45,14 +45,15 @@ def fit_impute(df: DataFrame, median: Sequence[str], mode: Sequence[str]) -> tup
 
 
 def impute(df: DataFrame, medians: Mapping[str, float], most: Mapping[str, str]) -> DataFrame:
+    """Medians for nulls and NaN, modes for nulls."""
     types = dict(df.dtypes)
-    fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in medians.items()}
+    fills = {c: F.coalesce(C.null_if_nan(F.col(c).cast("double")), F.lit(v)) for c, v in medians.items()}
     fills |= {c: F.coalesce(c, F.lit(v).cast(types[c])) for c, v in most.items()}
     return df.withColumns(fills) if fills else df
 
 
 def impute_grouped(df: DataFrame, median: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Fill nulls with the median of the row's own group."""
+    """Fill nulls and NaN with the median of the row's own group."""
     keys = list(keys)
     fits = quantiles(df, median, (0.5,), keys)
     wide = fits.groupBy(*keys).agg(
@@ -60,7 +61,7 @@ def impute_grouped(df: DataFrame, median: Sequence[str], keys: Sequence[str]) ->
     )
     joined = lookup_join(df, wide, keys, null_safe=True)
     return joined.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), f"_med_{c}") for c in median}
+        {c: F.coalesce(C.null_if_nan(F.col(c).cast("double")), f"_med_{c}") for c in median}
     ).drop(*[f"_med_{c}" for c in median])
 
 

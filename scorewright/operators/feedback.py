@@ -13,7 +13,7 @@ from scorewright.operators.splits import sample_fraction
 
 
 def stamp(df: DataFrame, keys: Sequence[str], run_id: str, logged_at: Column | None = None) -> DataFrame:
-    """Add inference_id (deterministic per key and run), logged_at and empty label columns."""
+    """Add inference_id (deterministic per key and run), logged_at and run_id."""
     return df.withColumns(
         {
             "inference_id": row_id(keys, run_id),
@@ -40,8 +40,10 @@ def append_logs(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def latest_labels(labels: DataFrame, key: str, label: str, arrival: Sequence[str]) -> DataFrame:
-    """One row per key (as string): the last label to arrive. Partial aggregation absorbs hot keys."""
-    return labels.groupBy(F.col(key).cast("string").alias("_key")).agg(
+    """One row per key (as string): the last label to arrive; rows without a key or a label are no
+    labels. Partial aggregation absorbs hot keys."""
+    given = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    return given.groupBy(F.col(key).cast("string").alias("_key")).agg(
         F.max_by(F.col(label), F.struct(*arrival)).alias("ground_truth")
     )
 

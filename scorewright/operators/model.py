@@ -67,7 +67,11 @@ def fit_logreg(
     max_iter: int = 1000,
     tol: float = 1e-7,
 ) -> LogisticModel:
-    """Penalty strength follows the 0.5|w|^2 + C * sum(loss) convention, intercept free."""
+    """Penalty strength follows the 0.5|w|^2 + C * sum(loss) convention, intercept free.
+
+    Rows without a label are not learned from.
+    """
+    df = df.where(F.col(label).isNotNull())
     if balanced:
         weight, total = weight_column(df, label)
     else:

@@ -172,13 +172,18 @@ def bracket_quantiles(long: DataFrame, sketch: DataFrame, group: list[str], qs:
 
 
 def modes(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Most frequent value per column, smallest on ties: rows (keys, feature, mode)."""
+    """Most frequent value per column, smallest on ties: rows (keys, feature, mode).
+
+    Ties between numbers go by number, between other values by text.
+    """
     group = [*keys, "feature"]
+    numeric = [c for c, kind in df.select(*columns).dtypes if kind.startswith(("decimal", "float", "double")) or kind.endswith("int")]
+    number = F.when(F.col("feature").isin(numeric), F.expr("try_cast(value AS double)")) if numeric else F.lit(None).cast("double")
     return (
         long_form(df, columns, keys, "string")
         .where("value IS NOT NULL")
         .groupBy(*group, "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*group)
-        .agg(F.min(F.struct((-F.col("n")).alias("rank"), "value"))["value"].alias("mode"))
+        .agg(F.min(F.struct((-F.col("n")).alias("rank"), number.alias("number"), "value"))["value"].alias("mode"))
     )

@@ -100,11 +100,12 @@ def coerced(f: Field) -> Column:
 
 
 def rules(f: Field) -> list[tuple[str, Column]]:
-    """(check name, violated?) for one field; value checks see the coerced value."""
+    """(check name, violated?) for one field; value checks see the coerced value, and NaN is missing."""
     raw, value = F.col(f.name), coerced(f)
     out = [(f"dtype({f.dtype})", raw.isNotNull() & value.isNull())]
     if not f.nullable:
-        out.append(("not_nullable", raw.isNull()))
+        missing = raw.isNull() | F.coalesce(F.isnan(value), F.lit(False)) if f.dtype in ("double", "float") else raw.isNull()
+        out.append(("not_nullable", missing))
     out += [(c.name, c.violated(value)) for c in f.checks]
     return out
 
