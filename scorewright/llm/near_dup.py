@@ -5,13 +5,13 @@
 2. Classes that agree on a band of the signature share a bucket. Buckets are never expanded into all
    pairs: every member meets the bucket-mate that has most mates over all bands, and the links so
    found make components. Where a bucket still lies in several, rounds follow: a pack of its members
-   outside the main component meets all its members, each of them in one row. In the first round each
+   outside the main component meets all its members, a few hundred in one row. In the first round each
    of the pack seeks a link through its best mate; in the later ones all its possible mates are
    verified and it leaves the bucket. A bucket is done when its members lie in one component or all
    outside the main one have left.
 3. A pair's signatures are compared in batches; a pair is given up as soon as the posterior
    probability of a similarity at the threshold or above falls below the chosen miss probability.
-4. Survivors are confirmed on the full shingle sets of their texts.
+4. Survivors are confirmed on the full shingle sets of their texts, which classes in buckets keep.
 5. Links become components by alternating star contractions over written tables.
 
 What is compared is exact; a link is lost only if no band agrees, (1 - s^rows)^bands at similarity s, or
@@ -38,8 +38,10 @@ HASHES = 448
 BATCH = 32
 MISS = 1e-5
 #: Pivots of a bucket in the first rounds; four times as many in each later one, up to the second figure.
-PIVOTS, MOST_PIVOTS = 256, 4096
+PIVOTS, MOST_PIVOTS = 1024, 4096
 CHUNK = 256
+#: Members of a bucket, about, that meet a pack in one row.
+MATES = 256
 
 _draw = np.random.default_rng(20_240_229)
 MULTIPLIERS = _draw.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,14 +96,20 @@ def least_matches(threshold: int, miss: float = MISS) -> tuple[int, ...]:
 
 def may_link(left: np.ndarray, right: np.ndarray, threshold: int) -> np.ndarray:
     """Which pairs of signatures (rows) survive all batches."""
-    alive, matches = np.arange(len(left)), np.zeros(len(left), np.int64)
+    every, out = np.arange(len(left)), np.zeros(len(left), bool)
+    out[_alive(left, every, right, every, threshold)] = True
+    return out
+
+
+def _alive(left: np.ndarray, i: np.ndarray, right: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarray:
+    """Places of the pairs (left[i], right[j]) that survive all batches."""
+    alive, matches = np.arange(len(i)), np.zeros(len(i), np.int64)
     for k, least in enumerate(least_matches(threshold)):
         part = slice(k * BATCH, (k + 1) * BATCH)
-        matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
-        alive = alive[matches[alive] >= least]
-    out = np.zeros(len(left), bool)
-    out[alive] = True
-    return out
+        matches += (left[:, part][i[alive]] == right[:, part][j[alive]]).sum(axis=1)
+        more = matches >= least
+        alive, matches = alive[more], matches[more]
+    return alive
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
@@ -178,35 +186,55 @@ def _survivors(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     return joined.where(passes("sa", "sb")).select("a", "b")
 
 
-def _against_packs(current: DataFrame, packs: DataFrame, threshold: int, best_only: bool) -> DataFrame:
+class _Side:
+    """One side's classes of a batch of meetings: a list of structs (cid, n, comp, sig) in each row."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.ends, one = lists.offsets.to_numpy(), lists.values
+        self.ids, self.sizes, self.comps = (one.field(k).to_numpy() for k in ("cid", "n", "comp"))
+        self.sigs = np.frombuffer(one.field("sig").buffers()[2], np.uint8)[: len(one) * HASHES].reshape(-1, HASHES)
+        codes = np.zeros((len(one), BANDS, 8), np.uint8)
+        codes[:, :, :ROWS] = self.sigs[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        self.bands = codes.view(np.uint64)[:, :, 0]
+
+
+def _against_packs(current: DataFrame, packs: DataFrame, classes: DataFrame, threshold: int, best_only: bool) -> DataFrame:
     """Pairs (a, b, k) of a bucket's members and the pivots in its pack, of other components, whose
     signatures pass the batches; k is how many hashes agree.
 
-    A member meets a whole pack in one row, and only survivors become rows: of a pair only at the first
-    band that it shares, and with ``best_only`` of a pivot only its best pair in each batch of rows.
+    Slices of a bucket's members, parted by a hash, meet the whole pack in one row each, so that no
+    bucket is a hot key. Only survivors become rows: of a pair only at the first band that it shares,
+    and with ``best_only`` of a pivot only its best pair in each batch of rows.
     """
-    meetings = current.join(packs, "bucket").select("cid", "n", "comp", "sig", "band", "pack")
+    part = F.pmod(F.xxhash64("cid", F.lit("mates")), F.col("parts")).alias("part")
+    mates = current.join(classes.select("cid", "sig"), "cid").groupBy("bucket", part)
+    mates = mates.agg(F.min("band").alias("band"), F.collect_list(F.struct("cid", "n", "comp", "sig")).alias("mates"))
+    packs = packs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    meetings = mates.join(packs.hint("merge"), ["bucket", "part"]).select("band", "mates", "pack")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = batch.column(5).offsets.to_numpy()
-            pivots = batch.column(5).values
-            ids, comps, sizes = (pivots.field(k).to_numpy() for k in ("cid", "comp", "n"))
-            sigs = np.frombuffer(b"".join(pivots.field("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+            if not batch.num_rows:
+                continue
+            mates, pivots = _Side(batch.column(1)), _Side(batch.column(2))
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            rows = zip(*(batch.column(k).to_pylist() for k in range(5)), ends[:-1], ends[1:])
-            for cid, n, comp, sig, band, i, j in rows:
-                small, large = np.minimum(sizes[i:j], n), np.maximum(sizes[i:j], n)
-                at = i + np.flatnonzero((comps[i:j] != comp) & (small * 100 >= large * threshold))
-                if len(at):
-                    own = np.frombuffer(sig, np.uint8)
-                    at = at[may_link(np.broadcast_to(own, (len(at), HASHES)), sigs[at], threshold)]
-                    same = sigs[at] == own
-                    first = same[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
-                    out.append((ids[at[first]], np.full(int(first.sum()), cid), same[first].sum(1)))
+            for row, band in enumerate(batch.column(0).to_pylist()):
+                of = slice(*mates.ends[row : row + 2])
+                for at in range(pivots.ends[row], pivots.ends[row + 1], CHUNK):
+                    to = slice(at, min(at + CHUNK, pivots.ends[row + 1]))
+                    n, m = pivots.sizes[to, None], mates.sizes[of]
+                    fits = np.minimum(n, m) * 100 >= np.maximum(n, m) * threshold
+                    i, j = np.nonzero(fits & (pivots.comps[to, None] != mates.comps[of]))
+                    i, j = i + at, j + of.start
+                    first = ~(pivots.bands[:, :band][i] == mates.bands[:, :band][j]).any(axis=1)
+                    i, j = i[first], j[first]
+                    alive = _alive(pivots.sigs, i, mates.sigs, j, threshold)
+                    i, j = i[alive], j[alive]
+                    if len(i):
+                        out.append((pivots.ids[i], mates.ids[j], (pivots.sigs[i] == mates.sigs[j]).sum(axis=1)))
             if out:
                 pivot, member, k = (np.concatenate(c) for c in zip(*out))
-                if best_only and len(pivot):
+                if best_only:
                     order = np.lexsort((member, -k, pivot))
                     order = order[np.concatenate([[True], np.diff(pivot[order]) != 0])]
                     pivot, member, k = pivot[order], member[order], k[order]
@@ -215,17 +243,28 @@ def _against_packs(current: DataFrame, packs: DataFrame, threshold: int, best_on
     return meetings.mapInArrow(compare, "a long, b long, k long")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) confirmed on the full sets of their texts."""
-    joined = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"
+def _sets(rows: DataFrame, heads: DataFrame, words: int) -> DataFrame:
+    """(cid, shingles) of the classes ``heads``: the sorted 64-bit hashes of the text's whole set."""
+
+    @F.pandas_udf("binary")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: shingle_set(text, words).tobytes())
+
+    return rows.join(heads.hint("merge"), F.col("doc_id") == F.col("cid")).select("cid", hashed("text").alias("shingles"))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) confirmed on their full sets."""
+    joined = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b"
     )
 
     @F.pandas_udf("boolean")
     def confirmed(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([similar(shingle_set(x, words), shingle_set(y, words), threshold) for x, y in zip(left, right)], dtype=bool)
+        as_set = lambda x: np.frombuffer(x, np.uint64)
+        return pd.Series([similar(as_set(x), as_set(y), threshold) for x, y in zip(left, right)], dtype=bool)
 
-    return joined.where(confirmed("ta", "tb")).select("a", "b")
+    return joined.where(confirmed("sa", "sb")).select("a", "b")
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -254,24 +293,25 @@ def _first_pairs(members: DataFrame, threshold: int) -> DataFrame:
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that lie in two or more components, with their component and the
-    bucket's main one, that of its member of highest degree."""
+    """Members of the buckets that lie in two or more components, with their component, the bucket's
+    main one, that of its member of highest degree, and the number of its slices of members."""
     named = members.join(roots, F.col("cid") == F.col("node"), "left")
     named = stage(named.select("band", "bucket", "cid", "n", "degree", F.coalesce("root", "cid").alias("comp")))
     buckets = named.groupBy("bucket").agg(
-        F.max(F.struct("degree", "cid", "comp")).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high")
+        F.max(F.struct("degree", "cid", "comp")).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.count(F.lit(1)).alias("k"),
     )
-    buckets = stage(buckets.where("low <> high").select("bucket", F.col("m.comp").alias("main")))
+    buckets = stage(buckets.where("low <> high").select("bucket", F.col("m.comp").alias("main"), F.ceil(F.col("k") / MATES).alias("parts")))
     return stage(named.join(buckets, "bucket"))
 
 
 def _packs(current: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(bucket, pack): up to ``size`` members outside the bucket's main component, the highest degree
+    """(bucket, parts, pack): up to ``size`` members outside the bucket's main component, the highest degree
     of each slice of a hash."""
     best = F.max(F.struct("degree", "cid", "n", "comp")).alias("p")
-    picked = current.where("comp <> main").groupBy("bucket", F.pmod(F.xxhash64("cid"), F.lit(size)).alias("g")).agg(best)
-    picked = picked.select("bucket", "p.cid", "p.n", "p.comp").join(classes.select("cid", "sig"), "cid")
-    return picked.groupBy("bucket").agg(F.collect_list(F.struct("cid", "n", "comp", "sig")).alias("pack"))
+    picked = current.where("comp <> main").groupBy("bucket", "parts", F.pmod(F.xxhash64("cid"), F.lit(size)).alias("g")).agg(best)
+    picked = picked.select("bucket", "parts", "p.cid", "p.n", "p.comp").join(classes.select("cid", "sig"), "cid")
+    return picked.groupBy("bucket", "parts").agg(F.collect_list(F.struct("cid", "n", "comp", "sig")).alias("pack"))
 
 
 def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,10 +331,10 @@ def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str
     classes = stage(known.groupBy("fp").agg(F.min("doc_id").alias("cid"), F.min_by("n", "doc_id").alias("n"), F.min_by("sig", "doc_id").alias("sig")))
     members = _members(classes)
     heads = members.select("cid").distinct()
-    texts = stage(rows.join(heads.hint("merge"), F.col("doc_id") == F.col("cid")).select("cid", "text"))
+    sets = stage(_sets(rows, heads, shingle_words))
     pairs = stage(_first_pairs(members, threshold))
     tested = stage(_survivors(pairs, classes, threshold))
-    roots = contract(_links(tested, texts, shingle_words, threshold))
+    roots = contract(_links(tested, sets, threshold))
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     size, seeking = PIVOTS, True
     while True:
@@ -302,12 +342,12 @@ def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str
         if current.isEmpty():
             break
         packs = stage(_packs(current, classes, size))
-        met = _against_packs(current.join(classes.select("cid", "sig"), "cid"), packs, threshold, seeking)
+        met = _against_packs(current, packs, classes, threshold, seeking)
         if seeking:
             met = met.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b"))
         met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = stage(met.join(tested, ["a", "b"], "left_anti"))
-        found = stage(_links(new, texts, shingle_words, threshold))
+        found = stage(_links(new, sets, threshold))
         tested = tested.unionByName(new)
         if not found.isEmpty():
             roots = contract(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
