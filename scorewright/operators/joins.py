@@ -33,13 +33,17 @@ def keyed_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "l
 def collect_bounded(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame | None:
-    """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
+    """``df`` as a local relation when it has at most ``max_rows`` rows and ``max_bytes``, else None.
 
-    Never more than ``max_rows + 1`` rows reach the driver.
+    Rows and bytes (of the rows as JSON) are summed in the tasks first, so a table beyond the bound
+    never leaves them.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > max_bytes:
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
+    ).first()
+    if size["rows"] > max_rows or (size["bytes"] or 0) > max_bytes:
         return None
+    table = df.toArrow()
     if table.num_rows == 0:
         return df.sparkSession.createDataFrame([], df.schema)
     return df.sparkSession.createDataFrame(table, schema=df.schema)
