@@ -88,7 +88,10 @@ def dedupe(rows: DataFrame, key: Sequence[str], ts: str, late: str = "1 hour") -
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
-    """Process everything available into parquet and return the finished query."""
+    """Process everything available into parquet; returns the progress record of every micro-batch.
+
+    A query keeps its last hundred records only, so they are gathered while it runs.
+    """
     query = (
         stream.writeStream.outputMode(mode)
         .format("parquet")
@@ -97,8 +100,12 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
+    seen: dict[int, dict] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(0.5)
+        seen.update((p["batchId"], p) for p in query.recentProgress)
+    return [seen[k] for k in sorted(seen)]
 
 
 def monitor_windows(
@@ -130,8 +137,6 @@ def monitor_windows(
     return query
 
 
-def late_rows_dropped(query) -> int:
-    """Rows the watermark rejected, over all micro-batches of a finished query."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
+def late_rows_dropped(progress) -> int:
+    """Rows the watermark rejected, over the records that ``run_to_table`` returned."""
+    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
