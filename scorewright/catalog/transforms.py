@@ -159,7 +159,7 @@ def confidence(spark, sf):
 
 @query(
     "stamp_metadata",
-    f"""WITH {LOG_SQL} SELECT doc_id, prediction, sha256(concat_ws('-', doc_id, 'run-1')) AS inference_id,
+    f"""WITH {LOG_SQL} SELECT doc_id, prediction, sha256(to_json([doc_id::VARCHAR, 'run-1'])::VARCHAR) AS inference_id,
         'run-1' AS run_id, TIMESTAMP '2024-01-01' AS logged_at FROM log""",
 )
 def stamp_metadata(spark, sf):

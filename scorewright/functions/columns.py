@@ -118,8 +118,9 @@ def linear(weights: Mapping[str, float], intercept: float = 0.0) -> Column:
 
 
 def row_id(keys: Sequence[str | Column], run_id: str) -> Column:
-    """Deterministic row id: re-running a job yields the same ids."""
-    return F.sha2(F.concat_ws("-", *[col(k).cast("string") for k in keys], F.lit(run_id)), 256)
+    """Deterministic row id: re-running a job yields the same ids. The parts are hashed as a JSON list, so
+    neither a null part nor a separator inside one makes two keys alike."""
+    return F.sha2(F.to_json(F.array(*[col(k).cast("string") for k in keys], F.lit(run_id))), 256)
 
 
 def truncated_json(struct: Column, limit: int | None = None) -> Column:
