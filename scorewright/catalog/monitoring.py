@@ -53,7 +53,7 @@ ccnt AS (SELECT {k}feature, value, count(*) FILTER (side = 0)::DOUBLE AS r, coun
     FROM cvals WHERE value IS NOT NULL GROUP BY ALL),
 ctot AS (SELECT *, sum(r) OVER ({part}) AS rt, sum(c) OVER ({part}) AS ct FROM ccnt),
 chi AS (SELECT {k}feature, sum(pow(r * ct - c * rt, 2) / ((r + c) * rt * ct)) AS statistic,
-    (count(*) - 1)::INT AS dof, max(rt)::BIGINT AS n, max(ct)::BIGINT AS m FROM ctot GROUP BY ALL)"""
+    count(*) - 1 AS dof, max(rt)::BIGINT AS n, max(ct)::BIGINT AS m FROM ctot GROUP BY ALL)"""
 
 
 def rounded(df, names, digits=6):
@@ -101,6 +101,23 @@ def chi2_categorical(spark, sf):
     return rounded(features.select(cols), ["statistic"])
 
 
+@query(
+    "drift_missing_feature",
+    f"""WITH {PERIODS_SQL}, n AS (SELECT (SELECT count(*) FROM ref) AS r, (SELECT count(*) FROM cur) AS c)
+        SELECT 'l_tax' AS feature, r AS n_reference, 0::BIGINT AS n_current, c AS missing_current, true AS drift_detected FROM n
+        UNION ALL SELECT 'l_discount', 0, c, 0, true FROM n
+        UNION ALL SELECT 'l_returnflag', r, 0, c, true FROM n
+        UNION ALL SELECT 'l_linestatus', 0, 0, c, false FROM n""",
+)
+def drift_missing_feature(spark, sf):
+    ref, cur = periods(spark, sf)
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    ref = ref.withColumns({"l_discount": F.lit(float("nan")), "l_linestatus": no_text})
+    cur = cur.withColumns({"l_tax": no_number, "l_returnflag": no_text, "l_linestatus": no_text})
+    features, _ = D.drift(ref, cur, ["l_tax", "l_discount"], ["l_returnflag", "l_linestatus"])
+    return features.select("feature", "n_reference", "n_current", "missing_current", "drift_detected")
+
+
 @query(
     "wasserstein",
     f"WITH {PERIODS_SQL}, {ecdf_sql(NUMERIC)} SELECT feature, round(wasserstein, 6) AS wasserstein FROM ks",

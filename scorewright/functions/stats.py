@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 from scorewright.functions.columns import col
 
 KS_TERMS = 100
+# Above it the chi-square tail comes from an expansion whose cost does not grow.
+CHI2_SERIES_DOF = 1000
 
 
 def ratio(a: str | Column, b: str | Column, empty: float | None = 0.0) -> Column:
@@ -53,8 +55,10 @@ def ks_p_value(d: str | Column, n: str | Column, m: str | Column, terms: int = K
 
 
 def chi2_p_value(x: str | Column, dof: str | Column) -> Column:
-    """Upper tail of the chi-square distribution, from its finite series."""
-    x, dof = col(x).cast("double"), col(dof).cast("int")
+    """Upper tail of the chi-square distribution: its finite series for up to CHI2_SERIES_DOF degrees of
+    freedom, above that the uniform expansion in their number (error below 1e-7)."""
+    x, every = col(x).cast("double"), col(dof).cast("long")
+    dof = F.least(every, F.lit(CHI2_SERIES_DOF)).cast("int")
     half = x / 2
     # j-th terms are built from the previous one, so long series cannot overflow; the
     # exponential is applied in log space.
@@ -89,11 +93,28 @@ def chi2_p_value(x: str | Column, dof: str | Column) -> Column:
     ).otherwise(0.0)
     return (
         F.when((dof < 1) | (x <= 0), 1.0)
+        .when(every > CHI2_SERIES_DOF, _gamma_tail(every / F.lit(2.0), half))
         .when(dof % 2 == 0, F.least(F.lit(1.0), even))
         .otherwise(F.least(F.lit(1.0), odd))
     )
 
 
+def _gamma_tail(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma function for large ``a`` (uniform asymptotic expansion)."""
+    mu = x / a - 1
+    eta = F.signum(mu) * F.sqrt(F.greatest(F.lit(0.0), 2 * (mu - F.log1p(mu))))
+    # the closed forms cancel near 0, where their power series take over
+    near = F.abs(eta) < 0.05
+    c0 = F.when(near, -1 / 3 + eta * (1 / 12 + eta * (-2 / 135 + eta / 864))).otherwise(F.try_divide(F.lit(1.0), mu) - F.try_divide(F.lit(1.0), eta))
+    c1 = F.when(near, -1 / 540 - eta / 288).otherwise(
+        F.try_divide(F.lit(1.0), eta**3) - F.try_divide(F.lit(1.0), mu**3) - F.try_divide(F.lit(1.0), mu**2) - F.try_divide(F.lit(1.0), 12 * mu)
+    )
+    z = F.abs(eta) * F.sqrt(a / 2)
+    half = erfc(z) / 2
+    rest = F.exp(-z * z) / F.sqrt(F.lit(2 * math.pi) * a) * (c0 + c1 / a)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(eta >= 0, half).otherwise(1 - half) + rest))
+
+
 def erfc(x: Column) -> Column:
     """Complementary error function for x >= 0: power series below 3, continued fraction above.
 

@@ -84,7 +84,8 @@ def ecdf_pair(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
 
 
 def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
-    """Rows (keys, feature, value, text, r, c): numbers in ``value``, categories in ``text``."""
+    """Rows (keys, feature, value, text, r, c, missing_r, missing_c): numbers in ``value``, categories in
+    ``text``. Missing values have one row with r = c = 0, so that no feature vanishes."""
     keys = list(keys)
 
     def entry(name, value, text):
@@ -97,32 +98,43 @@ def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
         side.select(*keys, F.lit(i).alias("side"), F.inline(F.array(*entries)))
         for i, side in enumerate((ref, cur))
     ]
-    both = sides[0].unionByName(sides[1]).where("value IS NOT NULL OR text IS NOT NULL")
+    both = sides[0].unionByName(sides[1])
+    there = F.col("value").isNotNull() | F.col("text").isNotNull()
     return both.groupBy(*keys, "feature", "value", "text").agg(
-        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c")
+        *[
+            F.count_if((F.col("side") == i) & here).alias(prefix + name)
+            for prefix, here in (("", there), ("missing_", ~there))
+            for i, name in enumerate("rc")
+        ]
     )
 
 
 def feature_tests(ref, cur, numeric=(), categorical=(), keys=(), mode="auto") -> DataFrame:
     """One row per (keys, feature). Numbers: two-sample KS, Wasserstein-1 and both means;
-    categories: chi-square homogeneity on the 2 x K table. All features share one pass."""
+    categories: chi-square homogeneity on the 2 x K table. All features share one pass.
+
+    A feature without a value on a side has no statistic; missing_reference and missing_current
+    tell how many rows lack it."""
     walk = prefix_sum(
         mixed_counts(ref, cur, numeric, categorical, keys), ["value", "text"], ["r", "c"], [*keys, "feature"], mode
     )
     r, c = F.col("total_r").cast("double"), F.col("total_c").cast("double")
     gap = F.abs(ratio("cum_r", "total_r", None) - ratio("cum_c", "total_c", None))
     cross = F.col("r") * c - F.col("c") * r
-    is_number = F.col("_ks").isNotNull()
+    is_number = F.col("feature").isin(list(numeric))
+    there = F.col("value").isNotNull() | F.col("text").isNotNull()
     both = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
     rows = walk.groupBy(*keys, "feature").agg(
         F.max(F.when(F.col("value").isNotNull(), F.coalesce(gap, F.lit(0.0)))).alias("_ks"),
         F.sum(gap * (F.col("next.value") - F.col("value"))).alias("_area"),
         F.sum(F.try_divide(cross * cross, (F.col("r") + F.col("c")) * r * c)).alias("_chi"),
-        (F.count(F.lit(1)) - 1).cast("int").alias("_dof"),
+        (F.count_if(there) - 1).alias("_dof"),
         F.sum(F.col("value") * F.col("r")).alias("_sr"),
         F.sum(F.col("value") * F.col("c")).alias("_sc"),
         F.max("total_r").alias("n_reference"),
         F.max("total_c").alias("n_current"),
+        F.sum("missing_r").alias("missing_reference"),
+        F.sum("missing_c").alias("missing_current"),
     )
     rows = rows.withColumn("statistic", F.when(both, F.when(is_number, F.col("_ks")).otherwise(F.col("_chi"))))
     p = F.when(is_number, ks_p_value("statistic", "n_reference", "n_current")).otherwise(
@@ -140,6 +152,8 @@ def feature_tests(ref, cur, numeric=(), categorical=(), keys=(), mode="auto") ->
         ratio("_sc", "n_current", None).alias("current_mean"),
         "n_reference",
         "n_current",
+        "missing_reference",
+        "missing_current",
     )
 
 
@@ -162,8 +176,14 @@ def drift(
 
 
 def flag_features(features: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """Adds the flag: a small p-value, or values on one side and only missing ones on the other.
+
+    A side without rows, or a feature missing on both sides, isn't flagged.
+    """
+    sides = ("reference", "current")
+    gone = [(F.col(f"n_{s}") == 0) & (F.col(f"missing_{s}") > 0) & (F.col(f"n_{t}") > 0) for s, t in (sides, sides[::-1])]
     return features.withColumn("threshold", F.lit(alpha)).withColumn(
-        "drift_detected", F.coalesce(F.col("drift_score") < alpha, F.lit(False))
+        "drift_detected", F.coalesce(F.col("drift_score") < alpha, F.lit(False)) | gone[0] | gone[1]
     )
 
 

@@ -114,3 +114,19 @@ def test_ks_p(spark):
     df = spark.createDataFrame([(0.0, 100, 100), (1.0, 100, 100), (0.1358, 200, 200)], "d double, n long, m long")
     p = [r[0] for r in df.select(ks_p_value("d", "n", "m")).collect()]
     assert p[0] == 1.0 and p[1] == pytest.approx(0.0, abs=1e-40) and p[2] == pytest.approx(0.0501, abs=5e-4)
+
+
+@pytest.mark.parametrize("dof", [1002, 2000, 20_000])
+def test_chi2_tail_of_many_degrees_matches_its_series(spark, dof):
+    points = [dof + z * math.sqrt(2 * dof) for z in (-4, -1, -0.01, 0, 0.01, 0.5, 1, 2, 4, 8)]
+    df = spark.createDataFrame([(x, dof) for x in points], "x double, d long")
+    for (x, _), (p,) in zip(df.collect(), df.select(chi2_p_value("x", "d")).collect()):
+        half = x / 2
+        want = math.fsum(math.exp(j * math.log(half) - half - math.lgamma(j + 1)) for j in range(dof // 2))
+        assert p == pytest.approx(want, rel=1e-5, abs=1e-7)
+
+
+def test_chi2_tail_of_billions_of_degrees(spark):
+    df = spark.createDataFrame([(4e9, 4_000_000_000), (4e9 + 1.8e5, 4_000_000_000)], "x double, d long")
+    middle, far = [r[0] for r in df.select(chi2_p_value("x", "d")).collect()]
+    assert middle == pytest.approx(0.5, abs=1e-4) and far == pytest.approx(0.02209, abs=1e-3)

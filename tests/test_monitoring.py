@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scorewright.functions.columns import row_id
 from scorewright.operators import drift as D
 from scorewright.operators import feedback as FB
 from scorewright.operators import metrics as M
@@ -57,6 +58,26 @@ def test_empty_side_is_not_flagged(many):
     assert not any(r["drift_detected"] for r in features.collect())
 
 
+def test_vanished_features_are_flagged(many):
+    gone = many.withColumns({"Age": F.lit(float("nan")), "Sex": F.lit(None).cast("string"), "Cabin": F.lit(None).cast("string")})
+    ref = many.withColumn("Cabin", F.lit(None).cast("string"))
+    for a, b in ((ref, gone), (gone, ref)):
+        features, data = D.drift(a, b, ["Age", "Fare"], ["Sex", "Cabin"])
+        rows = {r["feature"]: r for r in features.collect()}
+        assert {k: r["drift_detected"] for k, r in rows.items()} == {"Age": True, "Fare": False, "Sex": True, "Cabin": False}
+        assert rows["Age"]["statistic"] is None and rows["Age"]["stattest_name"] == "ks"
+        assert {rows["Sex"]["n_reference"], rows["Sex"]["n_current"]} == {0, 550}
+        assert (data.first()["n_features_tested"], data.first()["drift_percentage"]) == (4, 50.0)
+
+
+def test_missing_values_leave_statistics_alone(many):
+    some = many.withColumn("Age", F.when(F.col("PassengerId") % 3 > 0, F.col("Age")))
+    row = D.feature_tests(many, some, ["Age"]).first()
+    want = D.feature_tests(many, some.where("Age IS NOT NULL"), ["Age"]).first()
+    assert row["missing_current"] == 183
+    assert all(row[c] == want[c] for c in ("statistic", "drift_score", "wasserstein", "n_current", "current_mean"))
+
+
 def test_no_common_columns(many):
     with pytest.raises(ValueError, match="No common feature columns"):
         D.drift(many.select("Age"), many.select("Fare"), ["Age", "Fare"])
@@ -160,6 +181,11 @@ def test_log_is_idempotent(spark, log, tmp_path):
     assert back.count() == 8 and back.select("inference_id").distinct().count() == 8
 
 
+def test_row_ids_tell_nulls_and_separators_apart(spark):
+    rows = spark.createDataFrame([("a-b", "c"), ("a", "b-c"), (None, "a"), ("a", None), ("", "a"), ('a","b', "c"), ("a", 'b","c')], "x string, y string")
+    assert rows.select(row_id(["x", "y"], "run")).distinct().count() == 7
+
+
 def test_quality(many):
     cur = many.withColumn("Age", F.when(F.col("PassengerId") <= 55, None).otherwise(F.col("Age") + 500))
     cur = cur.withColumn("Embarked", F.when(F.col("PassengerId") == 1, "X").otherwise(F.col("Embarked")))
