@@ -259,7 +259,7 @@ def coef_importance(spark, sf):
 def _trials(spark, sf):
     rows = S.split(chained(spark, sf), ["row_key"], 0.2, 43, exact=False, into="part")
     train, valid = rows.where("part = 'train'"), rows.where("part = 'test'")
-    return ML.search(train, valid, CHAIN_FEATURES, "y", n_trials=4, seed=42, parallelism=4)
+    return ML.search(train, valid, CHAIN_FEATURES, "y", seed=42, parallelism=4)
 
 
 @query("hyperparam_search")
@@ -385,4 +385,4 @@ def local_surrogate(spark, sf):
         "c_custkey", (F.col("c_acctbal") / 5000.0).alias("balance"), (F.col("c_nationkey") / 10.0).alias("nation")
     )
     predict = lambda z: sigmoid(z["balance"] * 1.5 - z["nation"] * 0.5)
-    return E.local_surrogate(rows, predict, ["balance", "nation"], ["c_custkey"], n_samples=500, top=8)
+    return E.local_surrogate(rows, predict, ["balance", "nation"], ["c_custkey"], top=8)

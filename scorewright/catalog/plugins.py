@@ -38,7 +38,7 @@ def objective(spark, sf):
         return ML.LogisticModel(tuple(features), weights, -middle)
 
     train, valid = rows.where("part = 'train'"), rows.where("part = 'test'")
-    return ML.search(train, valid, features, "y", n_trials=4, fit_one=centroid_fit)
+    return ML.search(train, valid, features, "y", fit_one=centroid_fit)
 
 
 @query("predict_fn")
@@ -50,7 +50,7 @@ def predict_fn(spark, sf):
     def stump(z):
         return F.when(z["size"] > 1.0, sigmoid(z["price"] * 2.0)).otherwise(0.2)
 
-    return E.local_surrogate(rows, stump, ["size", "price"], ["p_partkey"], n_samples=300)
+    return E.local_surrogate(rows, stump, ["size", "price"], ["p_partkey"])
 
 
 @query(
