@@ -68,8 +68,10 @@ def stream_ingest_logs(spark, sf):
     line = F.to_json(
         F.struct(F.struct(body.alias("body"), headers.alias("headers")).alias("request"), answer.alias("response"))
     )
-    events.select(F.explode(F.array(line, F.lit(""))).alias("value")).write.text(root)
-    good, _ = J.ingest_requests(spark, root, REQUEST_LOG, ["event_id", "event_type"], pattern="*.txt")
+    cut = F.substring(line, 1, 20)  # a line broken off, and a blank one, after every whole line
+    events.select(F.explode(F.array(line, cut, F.lit(""))).alias("value")).write.text(root)
+    good, bad = J.ingest_requests(spark, root, REQUEST_LOG, ["event_id", "event_type"], pattern="*.txt")
+    finish(spark, bad, "quarantined")
     return finish(spark, good.withColumn("event_id", F.col("event_id").cast("long")), "ingested")
 
 

@@ -192,3 +192,20 @@ def test_quality(many):
     rows = {r["column"]: r for r in D.quality_compare(many, cur, ["Age", "Fare"], ["Embarked"]).collect()}
     assert rows["Age"]["missing_rate_change"] == pytest.approx(0.1) and rows["Age"]["out_of_range"]
     assert rows["Embarked"]["new_values"] == 1 and not rows["Fare"]["out_of_range"]
+
+
+def test_ingested_stream_keeps_the_unparsable_lines(spark, sf, monkeypatch):
+    """Every whole line is ingested and every line broken off is in the second table; blank ones are in neither."""
+    from scorewright.catalog import streams
+
+    tables, real = {}, streams.finish
+
+    def finish(spark, stream, name, mode="append"):
+        tables[name] = real(spark, stream, name, mode)
+        return tables[name]
+
+    monkeypatch.setattr(streams, "finish", finish)
+    n = spark.read.parquet(f"{sf}/events.parquet").count()
+    assert streams.stream_ingest_logs(spark, sf).count() == n
+    lines = tables["quarantined"].groupBy("line").count().collect()
+    assert [(r["line"], r["count"]) for r in lines] == [('{"request":{"body":{', n)]
