@@ -10,12 +10,13 @@
    verified and it leaves the bucket. A bucket is done when its members lie in one component or all
    outside the main one have left.
 3. A pair's signatures are compared in batches; a pair is given up as soon as the posterior
-   probability of a similarity at the threshold or above falls below the chosen miss probability.
+   probability of a similarity at the threshold or above falls below the batch's share of the chosen miss
+   probability.
 4. Survivors are confirmed on the full shingle sets of their texts, which classes in buckets keep.
 5. Links become components by alternating star contractions over written tables.
 
-What is compared is exact; a link is lost only if no band agrees, (1 - s^rows)^bands at similarity s, or
-by the miss probability (both below 1e-5 at 0.8, lower above).
+What is compared is exact; a link is lost only if no band agrees, (1 - s^rows)^bands at similarity s, or in
+one of the batches (3.0e-6 and, over all batches, 7.7e-6 at 0.8; lower above).
 """
 
 from __future__ import annotations
@@ -79,7 +80,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 @lru_cache
 def least_matches(threshold: int, miss: float = MISS) -> tuple[int, ...]:
-    """For each batch end, the fewest matches with which P(similarity >= threshold %) is ``miss`` or more.
+    """For each batch end, the fewest matches with which P(similarity >= threshold %) is ``miss`` over the number
+    of batches, or more: the losses of the batches add up.
 
     The prior is uniform, so after m matches in n the posterior is Beta(m + 1, n - m + 1), whose upper
     tail at t is the probability of at most m successes in n + 1 draws of chance t.
@@ -87,7 +89,7 @@ def least_matches(threshold: int, miss: float = MISS) -> tuple[int, ...]:
     t, out = threshold / 100, []
     for n in range(BATCH, HASHES + 1, BATCH):
         tail, m = 0.0, -1
-        while tail < miss:
+        while tail < miss * BATCH / HASHES:
             m += 1
             tail += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
         out.append(m)

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import math
 import random
 
 import numpy as np
@@ -103,6 +104,17 @@ def test_bayes_bounds():
     assert near_dup.may_link(a, a, 80).all() and not near_dup.may_link(a, a + 1, 80).any()
 
 
+def test_all_batches_together_keep_the_miss_probability():
+    """Exact chance that a pair of similarity 0.8 is given up at any batch end."""
+    share, lost = np.array([1.0]), 0.0
+    one = np.array([math.comb(near_dup.BATCH, k) * 0.8**k * 0.2 ** (near_dup.BATCH - k) for k in range(near_dup.BATCH + 1)])
+    for least in near_dup.least_matches(80):
+        share = np.convolve(share, one)
+        lost += share[:least].sum()
+        share[:least] = 0.0
+    assert 0 < lost < near_dup.MISS
+
+
 def test_token_files(spark, odd, empty):
     tokenizer = Tokenizer.from_file(WORD)
     files = token_files.write_token_files(odd, WORD, 2, by_word=True)
