@@ -13,12 +13,16 @@ from scorewright.operators.splits import sample_fraction
 
 
 def stamp(df: DataFrame, keys: Sequence[str], run_id: str, logged_at: Column | None = None) -> DataFrame:
-    """Add inference_id (deterministic per key and run), logged_at and run_id."""
+    """Add inference_id (deterministic per key and run), logged_at, run_id and the columns a late label fills:
+    ground_truth and feedback_received_at (null) and feedback_received (false)."""
     return df.withColumns(
         {
             "inference_id": row_id(keys, run_id),
             "logged_at": F.current_timestamp() if logged_at is None else logged_at,
             "run_id": F.lit(run_id),
+            "ground_truth": F.lit(None).cast("int"),
+            "feedback_received": F.lit(False),
+            "feedback_received_at": F.lit(None).cast("timestamp"),
         }
     )
 
@@ -51,11 +55,22 @@ def latest_labels(labels: DataFrame, key: str, label: str, arrival: Sequence[str
 def label_join(
     preds: DataFrame, labels: DataFrame, key: str, id_col: str, label: str, arrival: Sequence[str]
 ) -> DataFrame:
-    """Every prediction with its newest label; ``feedback_received`` tells whether one came."""
+    """Every prediction with its newest label; ``feedback_received`` tells whether one came. Label columns
+    that the log has already are filled, and kept where no label came."""
     newest = latest_labels(labels, id_col, label, arrival)
     keyed = preds.withColumn("_key", F.col(key).cast("string"))
+    given = [c for c in ("ground_truth", "feedback_received") if c in preds.columns]
+    keyed = keyed.withColumnsRenamed({c: f"_{c}" for c in given})
     joined = lookup_join(keyed, newest.withColumn("_hit", F.lit(True)), ["_key"])
-    return joined.withColumn("feedback_received", F.coalesce("_hit", F.lit(False))).drop("_key", "_hit")
+    if "ground_truth" in given:
+        kind = newest.schema["ground_truth"].dataType
+        joined = joined.withColumn("ground_truth", F.coalesce("ground_truth", F.col("_ground_truth").cast(kind)))
+    if "feedback_received_at" in preds.columns:
+        at = F.when(F.col("_hit"), F.current_timestamp()).otherwise(F.col("feedback_received_at"))
+        joined = joined.withColumn("feedback_received_at", at)
+    before = ["_feedback_received"] if "feedback_received" in given else []
+    received = F.coalesce("_hit", *before, F.lit(False))
+    return joined.withColumn("feedback_received", received).drop("_key", "_hit", *[f"_{c}" for c in given])
 
 
 def unmatched(preds: DataFrame, labels: DataFrame, key: str, id_col: str) -> DataFrame:

@@ -209,3 +209,18 @@ def test_ingested_stream_keeps_the_unparsable_lines(spark, sf, monkeypatch):
     assert streams.stream_ingest_logs(spark, sf).count() == n
     lines = tables["quarantined"].groupBy("line").count().collect()
     assert [(r["line"], r["count"]) for r in lines] == [('{"request":{"body":{', n)]
+
+
+def test_log_has_label_columns_that_late_labels_fill(spark, tmp_path):
+    path = str(tmp_path / "log")
+    FB.log_predictions(spark.createDataFrame([(1, 1), (2, 0)], "id long, prediction int"), path, ["id"], "a")
+    back = spark.read.parquet(path)
+    empty = back.select("ground_truth", "feedback_received", "feedback_received_at").distinct().collect()
+    assert [tuple(r) for r in empty] == [(None, False, None)]
+    late = spark.createDataFrame([(1, 0, 1)], "key long, label int, at int")
+    once = FB.label_join(back, late, "id", "key", "label", ["at"])
+    again = FB.label_join(once, late.where("key > 1"), "id", "key", "label", ["at"])
+    for joined in (once, again):
+        got = {r["id"]: r for r in joined.collect()}
+        assert (got[1]["ground_truth"], got[1]["feedback_received"]) == (0, True) and got[1]["feedback_received_at"]
+        assert (got[2]["ground_truth"], got[2]["feedback_received"], got[2]["feedback_received_at"]) == (None, False, None)
