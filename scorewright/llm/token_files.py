@@ -4,8 +4,8 @@ One shuffle range-partitions the documents by id; every task then encodes its so
 streams them to three files of its own: ``.bin`` (ids, unsigned 16-bit if the vocabulary allows, else
 32-bit, little endian), ``.off`` (n + 1 int64 offsets in tokens, from 0) and ``.doc`` (n int64
 document ids). A prefix sum over the parts' totals gives each part its base: a document's global
-start is base + offset. A task writes under a name of its own attempt and renames at the end, so
-retried and lost tasks leave whole files only.
+start is base + offset. Files are named after the task's attempt and the answer of the attempt that
+counts names them, so retried, lost and speculative tasks leave files that nothing refers to.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,102 +21,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from scorewright.llm.encoder import encoder
 from scorewright.session import stage_root
 
-#: Words of which a worker remembers the ids; beyond it the memory starts anew.
-CACHED_WORDS = 500_000
-CHUNK_CHARS = 1 << 20
 NO_ID = -(2**63)
 
 
-class _Words(dict):
-    """Word -> ids as bytes; a new word gets an empty bytearray that is filled later, all at once."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> bytearray:
-        self[word] = out = bytearray()
-        self.new.append(word)
-        return out
-
-
-class Encoder:
-    """Whole texts to id bytes with the tokenizers library.
-
-    ``by_word``: the tokenizer never joins characters over a space or a line feed and drops both
-    (as tokenizers with word ends do), so a text's ids are those of its words in a row, and each
-    distinct word is encoded once for each worker.
-    """
-
-    def __init__(self, path: str, by_word: bool):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.by_word, self.words = by_word, _Words()
-        special = [t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special and " " not in t[1].content]
-        self.mark = (special[0][0], special[0][1].content) if special else None
-        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fill(self) -> None:
-        """Encodes the new words in one text, parted by a special token."""
-        new, self.words.new = self.words.new, []
-        plain = [w for w in new if self.mark and not any(c in w for c in "<>|[]")]
-        odd = [w for w in new if not self.mark or any(c in w for c in "<>|[]")]
-        if plain and any(c in "<>|[]" for c in (self.mark[1][0], self.mark[1][-1])):
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark[1].join(plain)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            for w, part in zip(plain, np.split(ids, cuts)):
-                self.words[w][:] = (part[1:] if len(part) and part[0] == self.mark[0] else part).tobytes()
-        else:
-            odd = new
-        for w, b in zip(odd, self._ids(odd)):
-            self.words[w][:] = b
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        if not self.by_word:
-            for text in texts:
-                yield self._ids([text or ""])[0]
-            return
-        held, chars = [], 0
-        for text in texts:
-            held.append(list(map(self.words.__getitem__, (text or "").replace("\n", " ").split(" "))))
-            chars += len(text or "")
-            if chars >= CHUNK_CHARS:
-                yield from self._flush(held)
-                held, chars = [], 0
-        yield from self._flush(held)
-
-    def _flush(self, held: list[list[bytes]]) -> Iterator[bytes]:
-        self._fill()
-        for parts in held:
-            yield b"".join(parts)
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-
-
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
-def encoder(path: str, by_word: bool) -> Encoder:
-    """The worker's encoder; it stays for the worker's later tasks."""
-    if (path, by_word) not in _ENCODERS:
-        _ENCODERS[path, by_word] = Encoder(path, by_word)
-    return _ENCODERS[path, by_word]
-
-
 @dataclass(frozen=True)
 class TokenFiles:
     """A written set: its folder, the ids' type, and (name, documents, tokens, base) of each part."""
@@ -130,45 +40,41 @@ class TokenFiles:
         return sum(p[2] for p in self.parts)
 
 
-def _filesystem(folder: str):
+def filesystem(folder: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, by_word: bool = False, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> TokenFiles:
-    """Encodes whole texts, appends ``end_id`` and writes the files in ascending id order.
+def write_parts(docs: DataFrame, tokenizer: str, end_id: int, by_word: bool = False, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> TokenFiles:
+    """Encodes whole texts, appends ``end_id`` and writes one part for each partition of ``docs``, as it lies.
 
     ``folder`` must be reachable by every executor; by default a new one below spark.checkpoint.dir.
-    Null text: empty (the end id alone). Null ids come first, stored as the smallest int64; rows
-    sharing an id stay beside each other, ordered by text. An empty table writes no part. Other
-    columns are not read. Only one row for each part comes to the driver.
+    Null text: empty (the end id alone). Null ids are stored as the smallest int64. An empty partition
+    writes no part. Only one row for each part comes to the driver.
     """
     spark = docs.sparkSession
     folder = folder or os.path.join(stage_root(spark), f"tokens-{uuid.uuid4().hex}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _filesystem(folder)
+        batches = (b for b in batches if b.num_rows)
+        first = next(batches, None)
+        if first is None:
+            return
+        fs, root = filesystem(folder)
         context = TaskContext.get()
-        name = f"part-{context.partitionId():06d}"
-        own = f"{root}/.{name}-{context.taskAttemptId()}"
+        part = context.partitionId()
+        name = f"part-{part:06d}-{context.taskAttemptId()}"
         enc = encoder(tokenizer, by_word)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         at = n = 0
-        first = next(batches, None)
-        while first is not None and first.num_rows == 0:
-            first = next(batches, None)
-        if first is None:
-            return
         fs.create_dir(root, recursive=True)
 
         def rows():
-            batch = first
-            while batch is not None:
-                yield batch
-                batch = next(batches, None)
+            yield first
+            yield from batches
 
-        with fs.open_output_stream(own + ".bin") as ids, fs.open_output_stream(own + ".off") as off, fs.open_output_stream(own + ".doc") as doc:
+        with fs.open_output_stream(f"{root}/{name}.bin") as ids, fs.open_output_stream(f"{root}/{name}.off") as off, fs.open_output_stream(f"{root}/{name}.doc") as doc:
             off.write(np.zeros(1, "<i8").tobytes())
             for batch in rows():
                 lengths = []
@@ -178,24 +84,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, by_word: boo
                 ends = at + np.cumsum(np.array(lengths, dtype="<i8"))
                 off.write(ends.astype("<i8").tobytes())
                 doc.write(batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                at, n = (int(ends[-1]) if len(ends) else at), n + batch.num_rows
-        for kind in (".bin", ".off", ".doc"):
-            fs.move(own + kind, f"{root}/{name}{kind}")
-        yield pa.RecordBatch.from_pylist([{"name": name, "dtype": enc.dtype.str, "docs": n, "tokens": at}])
-
-    sorted_docs = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(F.col("id"))
-        .sortWithinPartitions("id", "text")
-    )
-    written = sorted_docs.mapInArrow(write, "name string, dtype string, docs long, tokens long").collect()
-    written = sorted(written, key=lambda r: r["name"])
+                at, n = int(ends[-1]), n + batch.num_rows
+        yield pa.RecordBatch.from_pylist([{"part": part, "name": name, "dtype": enc.dtype.str, "docs": n, "tokens": at}])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    written = rows.mapInArrow(write, "part long, name string, dtype string, docs long, tokens long").collect()
+    written = sorted(written, key=lambda r: r["part"])
     bases = np.concatenate([[0], np.cumsum([r["tokens"] for r in written], dtype=np.int64)])
     parts = tuple((r["name"], r["docs"], r["tokens"], int(b)) for r, b in zip(written, bases))
     return TokenFiles(folder, written[0]["dtype"] if written else "<u2", parts)
 
 
-def _mapped(fs, path: str, dtype: str) -> np.ndarray:
+def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, by_word: bool = False, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> TokenFiles:
+    """Encodes whole texts, appends ``end_id`` and writes the files in ascending id order.
+
+    Null text: empty (the end id alone). Null ids come first; rows sharing an id stay beside each
+    other in the order of a hash of their text, and equal rows are interchangeable. An id (or null)
+    that holds many rows is cut over as many parts as its rows need. An empty table writes no part.
+    Other columns are not read.
+    """
+    keys = ["__token_id", "__token_hash", "__token_row"]
+    ordered = (
+        docs.select(F.col(id_col).cast("long").alias("__token_id"), F.col(text_col).alias("__token_text"))
+        .withColumns({"__token_hash": F.xxhash64("__token_text"), "__token_row": F.monotonically_increasing_id()})
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+    )
+    return write_parts(ordered, tokenizer, end_id, by_word, folder, "__token_id", "__token_text")
+
+
+def mapped(fs, path: str, dtype: str) -> np.ndarray:
     """The file as an array: mapped where it lies on a mounted disk, else read."""
     if fs.type_name == "local":
         return np.memmap(path, dtype=dtype, mode="r") if os.path.getsize(path) else np.zeros(0, dtype)
@@ -213,12 +131,12 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
     parts, folder, dtype = files.parts, files.folder, files.dtype
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _filesystem(folder)
+        fs, root = filesystem(folder)
         for k in (k for batch in batches for k in batch.column(0).to_pylist()):
             name, n, _, base = parts[k]
-            ids = _mapped(fs, f"{root}/{name}.bin", dtype)
-            off = _mapped(fs, f"{root}/{name}.off", "<i8")
-            doc = _mapped(fs, f"{root}/{name}.doc", "<i8")
+            ids = mapped(fs, f"{root}/{name}.bin", dtype)
+            off = mapped(fs, f"{root}/{name}.off", "<i8")
+            doc = mapped(fs, f"{root}/{name}.doc", "<i8")
             for i in range(0, n, 10_000):
                 ends = np.asarray(off[i : min(i + 10_000, n) + 1])
                 crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(ends[:-1], ends[1:])]

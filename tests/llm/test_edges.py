@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scorewright.llm import bpe, bpe_jobs, langid, line_dedup, mixing, near_dup, pii, quality, secret_scan, token_files, topk
+from scorewright.llm import bpe, bpe_jobs, encoder, langid, line_dedup, mixing, near_dup, pii, quality, secret_scan, token_files, topk
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, __h string, quality string, n_lines long"
@@ -126,7 +126,7 @@ def test_token_files(spark, odd, empty):
 
 
 def test_words_encode_as_whole_texts():
-    tokenizer, enc, rng = Tokenizer.from_file(WORD), token_files.Encoder(WORD, True), random.Random(5)
+    tokenizer, enc, rng = Tokenizer.from_file(WORD), encoder.Encoder(WORD, True), random.Random(5)
     parts = ["the", "Ünï", "don't", " ", "\n", "  ", "\t", "́", "a<|endoftext|>b", "<|x|>", "日本", "12", "...", " ", "​", "İ", "Σ"]
     texts = ["".join(rng.choice(parts) for _ in range(30)) for _ in range(400)]
     assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
