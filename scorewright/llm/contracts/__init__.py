@@ -1,3 +1,3 @@
 """The queries of the dealt operators over their whole tables, with their SQL where SQL can say it."""
 
-from scorewright.llm.contracts import coded, native, pairs, spans  # noqa: F401
+from scorewright.llm.contracts import coded, native, pairs, rows, spans  # noqa: F401
