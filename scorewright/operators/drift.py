@@ -83,41 +83,62 @@ def ecdf_pair(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
     )
 
 
-def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
-    """Rows (keys, feature, value, text, r, c, missing_r, missing_c): numbers in ``value``, categories in
-    ``text``. Missing values have one row with r = c = 0, so that no feature vanishes."""
-    keys = list(keys)
+def feature_entries(numeric: Sequence[str], categorical: Sequence[str]) -> Column:
+    """Array of (feature, value, text) of a row: numbers in ``value`` (NaN is missing), categories in ``text``."""
 
     def entry(name, value, text):
         return F.struct(F.lit(name).alias("feature"), value.alias("value"), text.alias("text"))
 
     no_value, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [entry(c, F.nanvl(F.col(c).cast("double"), no_value), no_text) for c in numeric]
-    entries += [entry(c, no_value, F.col(c).cast("string")) for c in categorical]
-    sides = [
-        side.select(*keys, F.lit(i).alias("side"), F.inline(F.array(*entries)))
-        for i, side in enumerate((ref, cur))
-    ]
-    both = sides[0].unionByName(sides[1])
+    return F.array(*entries, *[entry(c, no_value, F.col(c).cast("string")) for c in categorical])
+
+
+def value_counts(rows: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (), keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (keys, feature, value, text, n): how often each value occurs, missing ones included. Counts of
+    several tables add up to those of their union."""
+    long = rows.select(*keys, F.inline(feature_entries(numeric, categorical)))
+    return long.groupBy(*keys, "feature", "value", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pair_counts(sides: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (keys, side, feature, value, text, n), side 0 being the reference, to (keys, feature, value, text,
+    r, c, missing_r, missing_c). Missing values have one row with r = c = 0, so that no feature vanishes."""
     there = F.col("value").isNotNull() | F.col("text").isNotNull()
-    return both.groupBy(*keys, "feature", "value", "text").agg(
+    counted = sides.groupBy(*keys, "feature", "value", "text").agg(
+        *[F.coalesce(F.sum(F.when(F.col("side") == i, F.col("n"))), F.lit(0)).alias(f"_{name}") for i, name in enumerate("rc")]
+    )
+    return counted.select(
+        *keys, "feature", "value", "text",
         *[
-            F.count_if((F.col("side") == i) & here).alias(prefix + name)
+            F.when(here, F.col(f"_{name}")).otherwise(F.lit(0)).alias(prefix + name)
             for prefix, here in (("", there), ("missing_", ~there))
-            for i, name in enumerate("rc")
-        ]
+            for name in "rc"
+        ],
     )
 
 
+def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
+    """Counts of both sides beside each other, as ``pair_counts`` gives them."""
+    sides = [
+        side.select(*keys, F.lit(i).alias("side"), F.lit(1).alias("n"), F.inline(feature_entries(numeric, categorical)))
+        for i, side in enumerate((ref, cur))
+    ]
+    return pair_counts(sides[0].unionByName(sides[1]), keys)
+
+
 def feature_tests(ref, cur, numeric=(), categorical=(), keys=(), mode="auto") -> DataFrame:
     """One row per (keys, feature). Numbers: two-sample KS, Wasserstein-1 and both means;
-    categories: chi-square homogeneity on the 2 x K table. All features share one pass.
+    categories: chi-square homogeneity on the 2 x K table. All features share one pass."""
+    return count_tests(mixed_counts(ref, cur, numeric, categorical, keys), numeric, keys, mode)
+
+
+def count_tests(counts: DataFrame, numeric: Sequence[str], keys: Sequence[str] = (), mode: str = "auto") -> DataFrame:
+    """The tests of ``feature_tests`` from counts of both sides.
 
     A feature without a value on a side has no statistic; missing_reference and missing_current
     tell how many rows lack it."""
-    walk = prefix_sum(
-        mixed_counts(ref, cur, numeric, categorical, keys), ["value", "text"], ["r", "c"], [*keys, "feature"], mode
-    )
+    walk = prefix_sum(counts, ["value", "text"], ["r", "c"], [*keys, "feature"], mode)
     r, c = F.col("total_r").cast("double"), F.col("total_c").cast("double")
     gap = F.abs(ratio("cum_r", "total_r", None) - ratio("cum_c", "total_c", None))
     cross = F.col("r") * c - F.col("c") * r

@@ -1,10 +1,9 @@
-"""Structured Streaming forms of ingest, scoring, daily counts, late labels and monitoring."""
+"""Structured Streaming forms of ingest, scoring and daily counts, and the running of streams."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorewright.operators.model import LogisticModel, score
@@ -47,46 +46,6 @@ def daily_window(
     )
 
 
-def late_labels(
-    preds: DataFrame,
-    labels: DataFrame,
-    key: str,
-    pred_ts: str,
-    label_key: str,
-    label_ts: str,
-    wait: str = "30 days",
-    late: str = "1 hour",
-) -> DataFrame:
-    """Predictions left-joined to labels that arrive within ``wait``; state is dropped after it."""
-    left = preds.withWatermark(pred_ts, late)
-    right = labels.withWatermark(label_ts, late)
-    in_time = (
-        (F.col(key) == F.col(label_key))
-        & (F.col(label_ts) >= F.col(pred_ts))
-        & (F.col(label_ts) <= F.col(pred_ts) + F.expr(f"INTERVAL {wait}"))
-    )
-    return left.join(right, in_time, "leftOuter")
-
-
-def dedupe(rows: DataFrame, key: Sequence[str], ts: str, late: str = "1 hour") -> DataFrame:
-    """Drop repeats of an id that arrive within the watermark.
-
-    The stateful step shuffles every row by id and has no partial form, so repeats inside an
-    Arrow batch are dropped first: an id with a huge number of copies stays small. The copy
-    with the newest event time is kept, hence a batch is late only if all its copies are.
-    """
-    key = list(key)
-
-    def newest(batches):
-        for batch in batches:
-            ids = batch.select([*key, ts]).to_pandas()
-            kept = ids.sort_values(ts, kind="stable").drop_duplicates(key, keep="last").index.sort_values()
-            yield batch.take(pa.array(kept))
-
-    thinned = rows.mapInArrow(newest, rows.schema)
-    return thinned.withWatermark(ts, late).dropDuplicatesWithinWatermark(key)
-
-
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Process everything available into parquet; returns the progress record of every micro-batch.
 
@@ -108,35 +67,6 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     return [seen[k] for k in sorted(seen)]
 
 
-def monitor_windows(
-    closed: DataFrame,
-    report: Callable[[DataFrame], DataFrame],
-    path: str,
-    checkpoint: str,
-    id_column: str = "epoch",
-):
-    """Run ``report`` on the rows of every micro-batch; a replayed batch overwrites its own part."""
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        (
-            report(batch)
-            .withColumn(id_column, F.lit(epoch).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(id_column)
-            .parquet(path)
-        )
-
-    query = (
-        closed.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
-
-
 def late_rows_dropped(progress) -> int:
     """Rows the watermark rejected, over the records that ``run_to_table`` returned."""
     return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
