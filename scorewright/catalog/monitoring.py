@@ -9,6 +9,7 @@ from scorewright.catalog.base import (
 )
 from scorewright.operators import drift as D
 from scorewright.operators import feedback as FB
+from scorewright.operators import label_store as LS
 from scorewright.operators import metrics as M
 from scorewright.operators.profile import baseline_stats
 from scorewright.plans.monitoring import monitor
@@ -359,10 +360,11 @@ def alert_log(spark, sf):
 @query(
     "retrain_recommendation",
     f"""WITH {GATE_SQL} SELECT lang, 'RETRAIN' AS recommendation, 'Drift detected in production' AS reason,
-        'Start the training job' AS action_required, 'build-1' AS build FROM alerts""",
+        'Start the training job' AS action_required, 'build-1' AS build, TIMESTAMP '2024-02-01 06:30:00' AS timestamp FROM alerts""",
 )
 def retrain_recommendation(spark, sf):
-    return D.retrain_rows(_alerts(spark, sf), "Start the training job", "build-1", ["lang"])
+    at = F.lit("2024-02-01 06:30:00").cast("timestamp_ntz")
+    return D.retrain_rows(_alerts(spark, sf), "Start the training job", "build-1", ["lang"], at)
 
 
 # ---- feedback loop ----
@@ -426,12 +428,44 @@ def min_coverage_gate(spark, sf):
 
 @query(
     "coverage_report",
-    f"""WITH {MATCH_SQL} SELECT lang, count(*) AS total_predictions, count(ground_truth) AS feedback_received,
-        round(count(ground_truth) / count(*), 4) AS coverage_fraction, round(count(ground_truth) / count(*) * 100, 2) AS coverage_percent
-        FROM joined GROUP BY 1""",
+    f"""WITH {MATCH_SQL}, langs AS (SELECT lang FROM joined UNION SELECT 'xx'),
+        c AS (SELECT langs.lang, count(joined.lang) AS n, count(ground_truth) AS m FROM langs LEFT JOIN joined ON joined.lang = langs.lang GROUP BY 1)
+        SELECT lang, n AS total_predictions, m AS feedback_received, round(m / greatest(n, 1), 4) AS coverage_fraction,
+        round(m / greatest(n, 1) * 100, 2) AS coverage_percent, TIMESTAMP '2024-02-01' AS timestamp,
+        CASE WHEN n = 0 THEN 'No predictions logged yet' END AS message FROM c""",
 )
 def coverage_report(spark, sf):
-    return FB.coverage(_joined(spark, sf), ["lang"])
+    """One language is expected and was never logged."""
+    joined = _joined(spark, sf)
+    expected = joined.select("lang").unionByName(spark.range(1).select(F.lit("xx").alias("lang")))
+    return FB.coverage(joined, ["lang"], F.lit("2024-02-01").cast("timestamp_ntz"), expected)
+
+
+@query(
+    "label_store",
+    f"""WITH {LOG_SQL}, r AS (SELECT doc_id, prediction, quality, toxic, labels.doc_id IS NOT NULL AS hit FROM log LEFT JOIN labels USING (doc_id)),
+        s AS (SELECT unnest(['read', 'stored']) AS how)
+        SELECT how, run_id, r.doc_id, prediction, CASE WHEN toxic = 1 THEN 1 - quality ELSE quality END AS ground_truth, hit AS feedback_received,
+            CASE WHEN hit THEN CASE WHEN toxic = 1 THEN 1707091200 ELSE 1706745600 END END AS received_at
+        FROM r, s, (VALUES ('run-1'), ('run-2')) v(run_id)""",
+)
+def label_store(spark, sf):
+    """Two runs logged, labels in three batches: the second overrides the toxic ones, an older one comes last
+    and changes nothing. Read before the batches are folded, and from the files after it."""
+    root = fresh_dir(spark, "label-store")
+    for run in ("run-1", "run-2", "run-2"):
+        LS.log_run(prediction_log(spark, sf), root, ["doc_id"], run, "doc_id", buckets=8)
+    labels = table(spark, sf, "labels")
+    flipped = labels.where("toxic = 1").withColumn("quality", 1 - F.col("quality"))
+    wrong = labels.withColumn("quality", F.lit(-1))
+    for rows, batch, day in ((labels, "a", "2024-02-01"), (flipped, "b", "2024-02-05"), (labels, "a", "2024-02-01"), (wrong, "c", "2024-01-20")):
+        LS.submit(rows, root, "doc_id", "quality", batch, F.lit(f"{day}T00:00:00Z"), buckets=8)
+    read = stage(LS.read_log(spark, root, "doc_id").withColumn("how", F.lit("read")))
+    LS.compact(spark, root, "doc_id", "first")
+    stored = LS.stored_log(spark, root).withColumn("how", F.lit("stored"))
+    return read.unionByName(stored).select(
+        "how", "run_id", "doc_id", "prediction", "ground_truth", "feedback_received", F.unix_seconds("feedback_received_at").alias("received_at")
+    )
 
 
 @query(

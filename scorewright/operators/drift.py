@@ -438,9 +438,11 @@ def alert_rows(alerts: DataFrame, message: str, context: Sequence[str], limit: i
     )
 
 
-def retrain_rows(alerts: DataFrame, action: str, build: str, keys: Sequence[str] = ()) -> DataFrame:
+def retrain_rows(alerts: DataFrame, action: str, build: str, keys: Sequence[str] = (), at: Column | None = None) -> DataFrame:
+    """One recommendation to retrain for each alert, stamped with ``at`` (default: now)."""
     return alerts.select(
         *keys,
+        (F.current_timestamp() if at is None else at).alias("timestamp"),
         F.lit("RETRAIN").alias("recommendation"),
         F.lit(RETRAIN_REASON).alias("reason"),
         F.lit(action).alias("action_required"),

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scorewright.functions.columns import row_id
 from scorewright.functions.stats import ratio
-from scorewright.operators.joins import lookup_join
+from scorewright.operators.joins import keyed_join, lookup_join
 from scorewright.operators.splits import sample_fraction
 
+# Fixed value: what a coverage report says where nothing was logged.
+NOTHING_LOGGED = "No predictions logged yet"
+
 
 def stamp(df: DataFrame, keys: Sequence[str], run_id: str, logged_at: Column | None = None) -> DataFrame:
     """Add inference_id (deterministic per key and run), logged_at, run_id and the columns a late label fills:
@@ -86,17 +89,26 @@ def submit_labels(preds, labels, key, id_col, label, arrival) -> DataFrame:
     return joined.agg(F.count_if("feedback_received").alias("updated"))
 
 
-def coverage(joined: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Predictions, labels received, fraction (4 decimals) and percent (2 decimals)."""
+def coverage(joined: DataFrame, keys: Sequence[str] = (), at: Column | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """Timestamp, predictions, labels received, fraction (4 decimals) and percent (2 decimals).
+
+    ``expected`` lists groups (``keys``) that must be in the report: one without any logged prediction gets
+    a row of zeros with a message, and so does an empty log without keys.
+    """
+    counted = joined.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_predictions"), F.count_if("feedback_received").alias("feedback_received")
+    )
+    if expected is not None:
+        counted = keyed_join(expected.select(*keys).distinct(), counted, keys, "full")
+        counted = counted.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("total_predictions", "feedback_received")})
     share = F.col("feedback_received") / F.greatest(F.col("total_predictions"), F.lit(1))
-    return (
-        joined.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("total_predictions"),
-            F.count_if("feedback_received").alias("feedback_received"),
-        )
-        .withColumn("coverage_fraction", F.round(share, 4))
-        .withColumn("coverage_percent", F.round(share * 100, 2))
+    return counted.withColumns(
+        {
+            "coverage_fraction": F.round(share, 4),
+            "coverage_percent": F.round(share * 100, 2),
+            "timestamp": F.current_timestamp() if at is None else at,
+            "message": F.when(F.col("total_predictions") == 0, NOTHING_LOGGED),
+        }
     )
 
 
