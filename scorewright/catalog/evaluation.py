@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
@@ -11,12 +12,14 @@ from scorewright.catalog.base import (
 from scorewright.catalog.transforms import CHAIN_FEATURES, chained, line_spec
 from scorewright.functions.columns import sigmoid
 from scorewright.operators import explain as E
+from scorewright.operators import irls
 from scorewright.operators import metrics as M
 from scorewright.operators import model as ML
 from scorewright.operators import splits as S
 from scorewright.operators.features import fit_impute, impute
 from scorewright.operators.validation import Field, Schema, at_least, at_most, isin, quarantine
 from scorewright.plans.training import train
+from scorewright.session import stage
 
 CONF = """count(*) FILTER (y = 0 AND prediction = 0) AS tn, count(*) FILTER (y = 0 AND prediction = 1) AS fp,
     count(*) FILTER (y = 1 AND prediction = 0) AS fn, count(*) FILTER (y = 1 AND prediction = 1) AS tp"""
@@ -229,7 +232,72 @@ def lifecycle(spark, sf):
     return rounded(M.metrics(scored, "y", "prediction", "p", ["l_linestatus"]), [*METRIC_NAMES, "roc_auc"])
 
 
-# ---- fitting and search (no SQL form) ----
+# ---- fitting and search ----
+
+
+def _sums_sql() -> str:
+    """Gradient, Gram matrix and loss of the champion's coefficients, per row, with balanced weights."""
+    x = {"intercept": "1", **{c: c for c in CHAMPION.features}}
+    names = list(x)
+    parts = [f"SELECT 'gradient' AS what, '{a}' AS a, NULL AS b, sum(w * (p - y) * {x[a]}) / count(*) AS value FROM m" for a in names]
+    parts += [
+        f"SELECT 'gram', '{a}', '{b}', sum(w * p * (1 - p) * {x[a]} * {x[b]}) / count(*) FROM m"
+        for i, a in enumerate(names) for b in names[i:]
+    ]
+    parts.append("SELECT 'loss', NULL, NULL, sum(-w * ln(CASE WHEN y = 1 THEN p ELSE 1 - p END)) / count(*) FROM m")
+    return f"""WITH r AS (SELECT *, {Y_SQL} AS y, {probability_sql(CHAMPION)} AS p FROM lineitem),
+        m AS (SELECT *, count(*) OVER () / (2 * count(*) OVER (PARTITION BY y)) AS w FROM r)
+        SELECT what, a, b, round(value, 6) AS value FROM ({" UNION ALL ".join(parts)})"""
+
+
+@query("logreg_sums", _sums_sql())
+def logreg_sums(spark, sf):
+    """One pass of the fit at fixed coefficients: what an iteration knows of the rows."""
+    names = list(CHAMPION.features)
+    rows = irls.training_rows(table(spark, sf, "lineitem").withColumn("y", planted_label()), names, "y")
+    zeros, ones = irls.class_counts(rows, names)
+    n = zeros + ones
+    at = np.array([[CHAMPION.intercept, *CHAMPION.weights]])
+    sums = irls.loss_sums(rows, names, at, np.array([[n / (2 * zeros), n / (2 * ones)]]))
+    every = ["intercept", *names]
+    out = [("gradient", a, None, float(v) / n) for a, v in zip(every, sums.gradient[0])]
+    out += [("gram", a, every[j], float(sums.gram[0, i, j]) / n) for i, a in enumerate(every) for j in range(i, len(every))]
+    out.append(("loss", None, None, float(sums.loss[0]) / n))
+    made = spark.createDataFrame(out, "what string, a string, b string, value double")
+    return made.withColumn("value", F.round("value", 6))
+
+
+FITS = {"balanced": {}, "l1": {"C": 0.01, "penalty": "l1"}, "unweighted": {"balanced": False}}
+
+
+@query(
+    "logreg_stationary",
+    " UNION ALL ".join(
+        f"SELECT '{fit}' AS fit, '{c}' AS feature, count(*) AS n_rows, 0::DOUBLE AS slope FROM lineitem"
+        for fit in FITS for c in ["intercept", *CHAIN_FEATURES]
+    ),
+)
+def logreg_stationary(spark, sf):
+    """At each solution the slope of the penalised objective, from sums in SQL over all rows, is zero."""
+    rows = stage(chained(spark, sf))
+    parts = []
+    for fit, options in FITS.items():
+        model = ML.fit_logreg(rows, CHAIN_FEATURES, "y", **options)
+        C, balanced = options.get("C", 1.0), options.get("balanced", True)
+        weighed = rows.join(F.broadcast(ML.class_weights(rows, "y").select("y", "weight")), "y")
+        miss = (F.col("weight") if balanced else F.lit(1.0)) * (model.probability() - F.col("y")) * C
+        slopes = weighed.agg(F.count(F.lit(1)).alias("n"), *[F.sum(miss * x).alias(c) for c, x in (("intercept", F.lit(1.0)), *((c, F.col(c)) for c in CHAIN_FEATURES))])
+        terms = [F.struct(F.lit("intercept").alias("feature"), F.col("intercept").alias("slope"))]
+        for c, w in zip(model.features, model.weights):
+            if options.get("penalty") == "l1":
+                slope = F.greatest(F.abs(F.col(c)) - 1, F.lit(0.0)) if w == 0 else F.col(c) + (1 if w > 0 else -1)
+            else:
+                slope = F.col(c) + w
+            terms.append(F.struct(F.lit(c).alias("feature"), slope.alias("slope")))
+        each = slopes.select(F.lit(fit).alias("fit"), F.col("n").alias("n_rows"), F.inline(F.array(*terms)))
+        # -0.0 and tiny remainders of the sums become 0
+        parts.append(each.withColumn("slope", F.round(F.col("slope") / F.col("n_rows"), 7) + F.lit(0.0)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("logreg_fit")

@@ -1,4 +1,4 @@
-"""Logistic regression: fit (Spark ML optimiser), score (plain expressions), search."""
+"""Logistic regression: fit (sums by pass, see ``irls``), score (plain expressions), search."""
 
 from __future__ import annotations
 
@@ -8,11 +8,10 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.columns import label_text, linear, sigmoid
+from scorewright.operators import irls
 from scorewright.operators.metrics import metrics
 from scorewright.session import stage
 
@@ -48,15 +47,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", n.cast("double") / (k * F.col("n_class")))
 
 
-def weight_column(df: DataFrame, label: str) -> tuple[Column, float]:
-    """(row weight, total weight) for balanced classes."""
-    rows = class_weights(df, label).collect()
-    out = F.lit(None).cast("double")
-    for r in rows:
-        out = F.when(F.col(label) == r[label], F.lit(r["weight"])).otherwise(out)
-    return out, float(sum(r["weight"] * r["n_class"] for r in rows))
-
-
 def fit_logreg(
     df: DataFrame,
     features: Sequence[str],
@@ -65,35 +55,19 @@ def fit_logreg(
     penalty: str | None = "l2",
     balanced: bool = True,
     max_iter: int = 1000,
-    tol: float = 1e-7,
+    tol: float = 1e-9,
 ) -> LogisticModel:
     """Penalty strength follows the 0.5|w|^2 + C * sum(loss) convention, intercept free.
 
-    Rows without a label are not learned from.
+    Rows without a label are not learned from. The rows are staged once; see ``irls`` for the passes.
     """
-    df = df.where(F.col(label).isNotNull())
-    if balanced:
-        weight, total = weight_column(df, label)
-    else:
-        weight, total = F.lit(1.0), float(df.where(F.col(label).isNotNull()).count())
-    rows = df.select(
-        *[F.col(c).cast("double").alias(c) for c in features],
-        F.col(label).cast("double").alias("_label"),
-        weight.alias("_weight"),
-    )
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)
-    learner = LogisticRegression(
-        featuresCol="_x",
-        labelCol="_label",
-        weightCol="_weight",
-        regParam=0.0 if penalty is None else 1.0 / (C * total),
-        elasticNetParam=1.0 if penalty == "l1" else 0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=tol,
-    )
-    fitted = learner.fit(rows.select("_x", "_label", "_weight"))
-    return LogisticModel(tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept))
+    rows = stage(irls.training_rows(df, features, label))
+    fitted, _ = irls.fit_many(rows, features, [irls.Setting(C, penalty, balanced, max_iter, tol)])
+    return as_model(features, fitted[0])
+
+
+def as_model(features: Sequence[str], fitted) -> LogisticModel:
+    return LogisticModel(tuple(features), tuple(map(float, fitted[1:])), float(fitted[0]))
 
 
 def coefficients(model: LogisticModel, spark) -> DataFrame:
@@ -184,20 +158,23 @@ def search(
     parallelism: int = 4,
     fit_one: Callable[[DataFrame, Trial], LogisticModel] | None = None,
 ) -> DataFrame:
-    """Trial table with validation AUC and F1; fits run in parallel, all trials are
-    evaluated in one keyed job."""
+    """Trial table with validation AUC and F1, all trials evaluated in one keyed job.
+
+    The trials' models are fitted together, one pass over the training rows for an iteration of all of
+    them. With ``fit_one``, a function of the caller's, they are fitted one by one, ``parallelism`` at a time.
+    """
     spark = train.sparkSession
     # every trial reads the same staged rows instead of recomputing the feature chain
-    train, valid = (stage(part.select(*features, label)) for part in (train, valid))
+    valid = stage(valid.where(F.col(label).isNotNull()).select(*features, label))
     trials = draw_trials(n_trials, seed)
-
-    def default_fit(rows: DataFrame, t: Trial) -> LogisticModel:
-        return fit_logreg(
-            rows, features, label, t.C, t.penalty, t.class_weight == "balanced", t.max_iter, 1e-6
-        )
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(lambda t: (fit_one or default_fit)(train, t), trials))
+    if fit_one is None:
+        rows = stage(irls.training_rows(train, features, label))
+        settings = [irls.Setting(t.C, t.penalty, t.class_weight == "balanced", t.max_iter, 1e-9) for t in trials]
+        models = [as_model(features, fitted) for fitted in irls.fit_many(rows, features, settings)[0]]
+    else:
+        train = stage(train.select(*features, label))
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = list(pool.map(lambda t: fit_one(train, t), trials))
     scored = valid.select(
         F.col(label).alias("y"),
         F.inline(
