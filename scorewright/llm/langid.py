@@ -82,6 +82,12 @@ class Profiles:
         return self.languages[best], float(1.0 - d[best] / (self.size * len(own)))
 
 
+def hash_bound(n: int, wanted: int) -> int:
+    """Bound on 63-bit hashes below which about ``wanted`` of ``n`` documents lie; exact integers, so that it
+    holds at any size."""
+    return min(2**63 - 1, max(1, (wanted << 63) // n))
+
+
 def fit_profiles(docs: DataFrame, size: int = PROFILE, sample_docs: int = SAMPLE_DOCS, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Profiles:
     """Profiles from about ``sample_docs`` labelled documents of each language (all, if fewer).
 
@@ -90,14 +96,14 @@ def fit_profiles(docs: DataFrame, size: int = PROFILE, sample_docs: int = SAMPLE
     the driver gets ``size`` rows for each language.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 1).alias("h")
     )
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Profiles({}, size)
     chosen = F.lit(False)
     for lang, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (F.pmod("h", F.lit(1_000_000)) < int(min(1.0, sample_docs / n) * 1_000_000)))
+        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= hash_bound(n, sample_docs)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}

@@ -10,6 +10,7 @@ can only be outside and aren't computed.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from scorewright.llm.crf import FORBIDDEN, Adam, likelihood, viterbi
-from scorewright.llm.samples import digest, free, sample_rows, written
+from scorewright.llm.samples import digest, first_examples, free, sample_examples, written
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -34,6 +35,7 @@ LABELS = 1 + 2 * len(KINDS)
 SYMBOLS = 128 + 3
 SAMPLE_DOCS = 6000
 SAMPLE_WINDOWS = 1500
+PER_DOC = 8
 EPOCHS, BATCH = 8, 50
 SHORTEST = 6
 WINDOWS_AT_ONCE = 2048
@@ -209,27 +211,36 @@ class Tagger:
         return out
 
 
+def examples(text: str) -> Iterator[tuple[bool, tuple[bytes, bytes]]]:
+    """(labelled, (character codes, tags)) of windows at a text's digits and at signs, labelled by the patterns."""
+    if not SIGN.search(text):
+        return
+    points, tags = codes(text), np.zeros(len(text), np.int64)
+    for kind, a, b in labelled_spans(text):
+        tags[a:b] = 2 + 2 * KINDS.index(kind)
+        tags[a] -= 1
+    rng, last = np.random.default_rng(zlib.crc32(text[:WINDOW].encode("utf-8", "surrogatepass"))), -STEP
+    for m in SIGN.finditer(text):
+        if m.start() - last >= STEP:
+            last = m.start()
+            a = max(0, last - int(rng.integers(0, WINDOW)))
+            x, y = np.full(WINDOW, 32), np.zeros(WINDOW, np.int64)
+            part = slice(a, a + WINDOW)
+            x[: len(points[part])], y[: len(tags[part])] = points[part], tags[part]
+            if y[0] and y[0] % 2 == 0:
+                y[0] -= 1  # a span cut by the window's border begins here
+            yield bool(y.any()), (x.astype(np.int64).tobytes(), y.tobytes())
+
+
 def train(texts: list[str], windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS, seed: int = 7) -> Tagger:
-    """Trains on windows at the texts' digits and at signs, labelled by the patterns."""
+    """Trains on the first ``windows`` examples of the texts."""
+    return train_on(first_examples(texts, examples, windows), epochs, seed)
+
+
+def train_on(windows: list[tuple[bytes, bytes]], epochs: int = EPOCHS, seed: int = 7) -> Tagger:
+    """Trains on examples. Without any, the network finds nothing."""
     rng = np.random.default_rng(seed)
-    xs, ys = [], []
-    for text in texts:
-        points, tags = codes(text), np.zeros(len(text), np.int64)
-        for kind, a, b in labelled_spans(text):
-            tags[a:b] = 2 + 2 * KINDS.index(kind)
-            tags[a] -= 1
-        last = -STEP
-        for m in SIGN.finditer(text):
-            if len(xs) < windows and m.start() - last >= STEP:
-                last = m.start()
-                a = max(0, last - int(rng.integers(0, WINDOW)))
-                x, y = np.full(WINDOW, 32), np.zeros(WINDOW, np.int64)
-                part = slice(a, a + WINDOW)
-                x[: len(points[part])], y[: len(tags[part])] = points[part], tags[part]
-                if y[0] and y[0] % 2 == 0:
-                    y[0] -= 1  # a span cut by the window's border begins here
-                xs.append(x)
-                ys.append(y)
+    xs, ys = [np.frombuffer(x, np.int64) for x, _ in windows], [np.frombuffer(y, np.int64) for _, y in windows]
     start, trans = _closed()
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
     p = {"e": rng.normal(0, 0.5, (SYMBOLS, EMBED)), "o": draw(2 * HIDDEN, LABELS), "c": np.zeros(LABELS), "s": start, "t": trans}
@@ -263,11 +274,10 @@ def train(texts: list[str], windows: int = SAMPLE_WINDOWS, epochs: int = EPOCHS,
 
 
 def fit_tagger(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
-    """The network trained on texts with a digit or an at sign among ``sample_docs`` documents, at
-    most SAMPLE_WINDOWS windows of them; training is local."""
-    some = sample_rows(docs.select(id_col, text_col), sample_docs, id_col).where(F.col(text_col).rlike("[0-9@]"))
-    texts = [r[0] for r in some.select(text_col, id_col).orderBy(F.xxhash64(id_col), id_col, text_col).toLocalIterator()]
-    return train(texts)
+    """The network trained on SAMPLE_WINDOWS windows at most, of ``sample_docs`` documents at most and of each
+    at most PER_DOC with and PER_DOC without a labelled span; the windows are cut in the tasks, the training
+    is local."""
+    return train_on(sample_examples(docs, examples, sample_docs, SAMPLE_WINDOWS, PER_DOC, id_col, text_col))
 
 
 def find_personal_data(docs: DataFrame, tagger: Tagger, text_col: str = "text", name: str = "pii") -> DataFrame:

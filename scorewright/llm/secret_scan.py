@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns plus a linear-chain CRF over tokens, decoded by Viterbi.
 
-Tokens are tagged begin, inside or outside. A secret holds no white space and begins with a token of
-six or more characters that mixes letters with digits or cases; everywhere else the field allows
-outside only, so only the stretches of marks without white space around such tokens need decoding, and
+All tokens of a text are one sequence, tagged begin, inside or outside. A secret holds no white space, so the
+first token of a stretch of marks without white space is never inside. A secret may begin at a token of six or
+more ASCII characters that mixes letters with digits or cases, or at any token of that length within three
+stretches after a word for keys; all other tokens can only be outside or inside. A run of stretches
+where none begins adds the same score to every path, so it is decoded as one outside token and
 the result is that of decoding the whole text. Features: a token's shape, length, prefix and variety of
 characters, the words and marks before and after it, and facts about the file (kinds of words in
 it, share of digits). Weights are fitted on a bounded sample whose labels are the patterns' matches.
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from scorewright.llm.crf import FORBIDDEN, Adam, likelihood, viterbi
-from scorewright.llm.samples import digest, free, sample_rows, written
+from scorewright.llm.samples import digest, first_examples, free, sample_examples, written
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -34,10 +36,16 @@ SIGN = re.compile(r"[0-9]|[A-Za-z][A-Z]")
 TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+|=+|[^\sA-Za-z0-9+/_.=-]")
 WORD = re.compile(r"\w+|[^\w\s]")
 AROUND = 48
+#: Words for keys: a secret of plain letters or digits is looked for close behind them.
+KEY_WORDS = ("key", "secret", "token", "passw", "credential")
+KEY = re.compile("|".join(KEY_WORDS), re.IGNORECASE)
+STRETCHES_AFTER = 3
+PLAIN = re.compile(r"[A-Za-z0-9+/_.-]{6,}")
 FILE_WORDS = ("key", "secret", "token", "password", "config", "http", "@")
 
 SAMPLE_DOCS = 6000
 SAMPLE_SEQUENCES = 4000
+PER_DOC = 8
 WIDTH = 1 << 12
 LONGEST = 24
 EPOCHS = 40
@@ -79,12 +87,14 @@ def _bucket(n: int) -> int:
 
 @dataclass
 class Island:
-    """Tokens without white space between them, with hashed features of each."""
+    """Tokens without white space between them, with hashed features of each. ``after_others``: tokens that can
+    only be outside lie between it and the island (or the text's start) before."""
 
     spans: list[tuple[int, int]]
     features: list[list[int]]
     begins: list[bool]
     inner: list[bool]
+    after_others: bool
 
 
 def _hash(*parts: object) -> int:
@@ -98,17 +108,46 @@ def file_features(text: str) -> list[int]:
     return out + [_hash("digits", int(np.searchsorted([0.002, 0.01, 0.05, 0.2], digits)))]
 
 
-def islands(text: str) -> Iterator[Island]:
-    """Every stretch of the text in which a secret may begin."""
-    about, done = None, -1
+def _stretches(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, close behind a word for keys) of the stretches in which a secret might begin, in order."""
+    near: dict[int, int] = {}
+    if any(w in text.lower() for w in KEY_WORDS):
+        for m in KEY.finditer(text):
+            left = m.start()
+            if left < max(near.values(), default=0):
+                continue
+            while left and not text[left - 1].isspace():
+                left -= 1
+            for chunk, _ in zip(CHUNK.finditer(text, left), range(STRETCHES_AFTER + 1)):
+                near[chunk.start()] = chunk.end()
+    waiting, done = iter(sorted(near.items())), -1
+    ahead = next(waiting, None)
     for m in SIGN.finditer(text):
         if m.start() < done:
             continue
         left = m.start()
         while left > max(0, done) and not text[left - 1].isspace():
             left -= 1
+        while ahead and ahead[0] < left:
+            yield *ahead, True
+            ahead = next(waiting, None)
         done = CHUNK.match(text, left).end()
-        if not any(map(may_begin, TOKEN.findall(text, left, done))):
+        close = bool(ahead) and ahead[0] == left
+        if close:
+            ahead = next(waiting, None)
+        yield left, done, close
+    while ahead:
+        yield *ahead, True
+        ahead = next(waiting, None)
+
+
+def islands(text: str) -> Iterator[Island]:
+    """Every stretch of the text in which a secret may begin."""
+    about, last = None, 0
+    for left, done, close in _stretches(text):
+        found = TOKEN.findall(text, left, done)
+        begins = [may_begin(w) or (close and bool(PLAIN.fullmatch(w))) for w in found]
+        if not any(begins):
             continue
         if about is None:
             about = file_features(text)
@@ -129,7 +168,10 @@ def islands(text: str) -> Iterator[Island]:
                     _hash("prevshape", _shape(p1)), _hash("next", n1.lower() if len(n1) < 4 else _shape(n1)), *about,
                 ]
             )
-        yield Island([t.span() for t in tokens], rows, [may_begin(w) for w in words], [bool(re.fullmatch(r"[A-Za-z0-9+/_.=-]+", w)) for w in words])
+        inner = [False, *(bool(re.fullmatch(r"[A-Za-z0-9+/_.=-]+", w)) for w in words[1:])]
+        between = text[last:left]
+        yield Island([t.span() for t in tokens], rows, begins, inner, bool(between) and not between.isspace())
+        last = done
 
 
 @dataclass(frozen=True)
@@ -141,22 +183,33 @@ class Field:
     trans: np.ndarray
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
-        found = list(islands(text))
-        if not found:
+        scores, places, end = [], [], 0
+        for island in islands(text):
+            if island.after_others:
+                scores.append(OUTSIDE)
+                places.append(None)
+            scores.append(_scores(island, self.weights))
+            places += island.spans
+            end = island.spans[-1][1]
+        if not scores:
             return []
-        lengths = np.array([len(i.spans) for i in found])
-        scores = np.concatenate([_scores(i, self.weights) for i in found])
-        labels = viterbi(scores, lengths, self.start, self.trans)
-        places = [s for i in found for s in i.spans]
+        if text[end:].strip():
+            scores.append(OUTSIDE)
+            places.append(None)
+        labels = viterbi(np.concatenate(scores), np.array([len(places)]), self.start, self.trans)
         out: list[tuple[str, int, int]] = []
-        for (a, b), label in zip(places, labels):
+        for place, label in zip(places, labels):
             if label == 1:
-                out.append(("crf", a, b))
-            elif label == 2 and out:
-                out[-1] = ("crf", out[-1][1], b)
+                out.append(("crf", *place))
+            elif label == 2:
+                out[-1] = ("crf", out[-1][1], place[1])
         return out
 
 
+#: Scores of a token that can only be outside.
+OUTSIDE = np.array([[0.0, FORBIDDEN, FORBIDDEN]])
+
+
 def _scores(island: Island, weights: np.ndarray) -> np.ndarray:
     flat = np.array([f for row in island.features for f in row])
     ends = np.cumsum([len(r) for r in island.features])
@@ -173,35 +226,44 @@ def _constrained() -> tuple[np.ndarray, np.ndarray]:
     return start, trans
 
 
+def examples(text: str) -> Iterator[tuple[bool, tuple]]:
+    """(labelled, (features, may begin, may be inside, tags)) of the islands of a text, as the patterns see them,
+    with the outside tokens around them. Islands longer than LONGEST tokens are not learned from."""
+    gold, nothing = labelled_spans(text), ([], False, False, 0)
+    for island in islands(text):
+        if len(island.spans) > LONGEST:
+            continue
+        rows, last = [nothing] * island.after_others, None
+        for (a, b), x, begin, inner in zip(island.spans, island.features, island.begins, island.inner):
+            hit = next((g for g in gold if g[0] < b and a < g[1]), None)
+            tag = 0 if hit is None else 2 if hit == last and inner else 1 if begin else 0
+            last = hit if tag else None
+            rows.append((x, begin, inner, tag))
+        if text[island.spans[-1][1] :].strip():
+            rows.append(nothing)
+        yield any(r[3] for r in rows), tuple(zip(*rows))
+
+
 def train(texts: list[str], sequences: int = SAMPLE_SEQUENCES, epochs: int = EPOCHS) -> Field:
-    """Fits the field on the islands of texts (at most ``sequences``, in the order given; longer ones
-    than LONGEST tokens are not learned from)."""
-    rows, labels = [], []
-    for text in texts:
-        gold = labelled_spans(text)
-        for island in islands(text):
-            if len(rows) < sequences and len(island.spans) <= LONGEST:
-                tags, last = [], None
-                for (a, b), begin, inner in zip(island.spans, island.begins, island.inner):
-                    hit = next((g for g in gold if g[0] < b and a < g[1]), None)
-                    tag = 0 if hit is None else 2 if hit == last and inner else 1 if begin else 0
-                    last = hit if tag else None
-                    tags.append(tag)
-                rows.append(island)
-                labels.append(tags)
+    """Fits the field on the first ``sequences`` examples of the texts."""
+    return train_on(first_examples(texts, examples, sequences), epochs)
+
+
+def train_on(sequences: list[tuple], epochs: int = EPOCHS) -> Field:
+    """Fits the field on examples. Without any, it finds nothing."""
     weights = np.zeros((WIDTH, 3))
     start, trans = _constrained()
-    if not rows:
+    if not sequences:
         weights[:, 0] = 1.0
         return Field(weights, start, trans)
-    n, t = len(rows), max(len(r.spans) for r in rows)
-    f = max(len(x) for r in rows for x in r.features)
+    n, t = len(sequences), max(len(s[3]) for s in sequences)
+    f = max(len(x) for s in sequences for x in s[0])
     ids, mask, gold = np.full((n, t, f), WIDTH), np.zeros((n, t), bool), np.zeros((n, t), np.int64)
     closed = np.zeros((n, t, 3))
-    for i, (r, tags) in enumerate(zip(rows, labels)):
-        for j, x in enumerate(r.features):
+    for i, (features, begins, inner, tags) in enumerate(sequences):
+        for j, x in enumerate(features):
             ids[i, j, : len(x)] = x
-            closed[i, j] = (0, 0 if r.begins[j] else FORBIDDEN, 0 if r.inner[j] else FORBIDDEN)
+            closed[i, j] = (0, 0 if begins[j] else FORBIDDEN, 0 if inner[j] else FORBIDDEN)
         mask[i, : len(tags)], gold[i, : len(tags)] = True, tags
     params = {"w": np.zeros((WIDTH + 1, 3)), "s": start, "t": trans}
     adam = Adam(params, 0.1)
@@ -217,10 +279,9 @@ def train(texts: list[str], sequences: int = SAMPLE_SEQUENCES, epochs: int = EPO
 
 
 def fit_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """The field fitted on the texts of ``sample_docs`` documents that hold a digit; fitting is local."""
-    some = sample_rows(docs.select(id_col, text_col), sample_docs, id_col).where(F.col(text_col).rlike("[0-9]"))
-    texts = [r[0] for r in some.select(text_col, id_col).orderBy(F.xxhash64(id_col), id_col, text_col).toLocalIterator()]
-    return train(texts)
+    """The field fitted on SAMPLE_SEQUENCES islands at most, of ``sample_docs`` documents at most and of each at
+    most PER_DOC with and PER_DOC without a label; the islands are cut in the tasks, the fitting is local."""
+    return train_on(sample_examples(docs, examples, sample_docs, SAMPLE_SEQUENCES, PER_DOC, id_col, text_col))
 
 
 def scan_secrets(docs: DataFrame, field: Field, text_col: str = "text", name: str = "secrets") -> DataFrame:
