@@ -37,6 +37,27 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP))
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``row``, so that no name of theirs meets one of an operator's."""
+    return docs.select(F.struct("*").alias("row")) if docs.columns else docs.select(F.struct().alias("row"))
+
+
+def field(name: str) -> Column:
+    """A field of the boxed row."""
+    return F.col("row").getField(name)
+
+
+def unboxed(df: DataFrame, names: list[str], added: dict[str, Column] | None = None) -> DataFrame:
+    """The boxed row's columns ``names`` in order, those in ``added`` replaced in place, the others of ``added``
+    behind them."""
+    added = added or {}
+    place = {n: f"added_{i}" for i, n in enumerate(added)}
+    # Values first, names after: inside a lambda a name might else mean an alias of the same list.
+    df = df.select("row", *[c.alias(place[n]) for n, c in added.items()])
+    kept = [(F.col(place[n]) if n in added else field(n)).alias(n) for n in names]
+    return df.select(*kept, *[F.col(place[n]).alias(n) for n in added if n not in names])
+
+
 def word_count(text: Column) -> Column:
     """Number of words, as a long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

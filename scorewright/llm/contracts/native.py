@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scorewright.llm.base import query, table
 from scorewright.llm.line_dedup import dedup_lines
-from scorewright.llm.mixing import plan_mix
+from scorewright.llm.mixing import in_order, plan_mix
 from scorewright.llm.quality import RULES, STOP_WORDS, SYMBOLS, score_quality
 
 BLANKS_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -51,24 +51,29 @@ WITH d AS (
 ), t AS (
   SELECT *, max(CASE WHEN lv <= cap / w THEN lv END) OVER () AS fill FROM o
 ), g AS (SELECT source, ssize, least(cap, coalesce(w * fill, cap)) AS target FROM t)
-SELECT doc_id, size, ssize::BIGINT AS source_size, target,
-       (size * least(3, CASE WHEN ssize > 0 THEN floor(target / ssize) ELSE 0 END
+SELECT doc_id, size, ssize::BIGINT AS source_size, target, (size * n)::BIGINT AS taken,
+       CASE WHEN n > 0 THEN CASE WHEN target > 0 THEN least(1, c / target) ELSE 0 END END AS position
+FROM (
+  SELECT *, least(3, CASE WHEN ssize > 0 THEN floor(target / ssize) ELSE 0 END
          + CASE WHEN c + size * 0.5 <= target - CASE WHEN ssize > 0 THEN floor(target / ssize) ELSE 0 END * ssize
-                THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source
+                THEN 1 ELSE 0 END) AS n
+  FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source)
 """
 
 
 @query("op6_mixing", MIX_SQL)
 def mixing(spark: SparkSession, sf: str) -> DataFrame:
-    """Constant weights 1, 2, 3 over the sources, every document at most three times."""
+    """Constant weights 1, 2, 3 over the sources, every document at most three times; in the order of the
+    documents' first training positions, those that the mix leaves out behind them."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
-    return plan_mix(docs, max_repeat=3).select(
+    planned = plan_mix(docs, max_repeat=3).withColumn("mix_position", F.get("mix_positions", F.lit(0)))
+    return in_order(planned).select(
         F.col("mix_id").alias("doc_id"),
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"),
         F.col("mix_taken").cast("long").alias("taken"),
+        F.col("mix_position").alias("position"),
     )
 
 

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from scorewright.llm.base import boxed, field, unboxed
 
 PROFILE = 400
 SAMPLE_DOCS = 1500
@@ -144,9 +145,8 @@ def predict_language(docs: DataFrame, profiles: Profiles, text_col: str = "text"
 
         return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang", "score"])
 
-    return docs.withColumn("__lang", predict(F.col(text_col))).withColumns(
-        {lang: F.col("__lang")["lang"], score: F.col("__lang")["score"]}
-    ).drop("__lang")
+    named = boxed(docs).withColumn("found", predict(field(text_col)))
+    return unboxed(named, docs.columns, {lang: F.col("found")["lang"], score: F.col("found")["score"]})
 
 
 def held_out(id_col: Column) -> Column:

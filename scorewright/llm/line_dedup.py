@@ -1,10 +1,11 @@
 """Line dedup: lines that many documents share are dropped everywhere, natively in Spark.
 
-Lines are exploded with their position, normalised and hashed; a document counts once for each
-hash. Only (hash, document) pairs are shuffled to be counted, first made distinct on both, so one
+Lines are exploded with their position, normalised and hashed (128 bits); a document counts once for each
+hash. Only (hash, document) pairs are shuffled to be counted, first made distinct in the tasks, so one
 line found in a third of all documents is counted from partial sums and never gathered. The hashes
-over the threshold are joined back to the lines (Spark broadcasts them only if they turn out small,
-and splits a hot hash otherwise), the dropped positions meet the document once, and the text is put
+over the threshold are written to the shared folder: Spark knows their measured size then, and joins them to the
+lines where these lie if they are small, or in a sorted join of plain scans, whose hot hashes it splits,
+if they are not. The dropped positions meet the document once, and the text is put
 together from the other positions in order.
 """
 
@@ -12,7 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scorewright.llm.base import LOWER, SPACES, UPPER
+from scorewright.llm.base import LOWER, SPACES, UPPER, boxed, field, unboxed
+from scorewright.session import stage
 
 
 def line_key(line: Column) -> Column:
@@ -37,52 +39,42 @@ def dedup_lines(
     all cleaned; a null id is an id of its own. A document may lose all its lines (text "").
     An empty table gives an empty table; other columns pass through.
     """
-    base = docs.withColumns(
-        {
-            "__line_text": F.coalesce(F.col(text_col), F.lit("")),
-            "__line_doc": F.col(id_col),
-            "__line_rev": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
-        }
-    )
-    exploded = base.select(
-        "__line_doc", "__line_rev", F.posexplode(F.split("__line_text", "\n", -1)).alias("__pos", "__line")
-    )
-    key = line_key(F.col("__line"))
-    keyed = exploded.where(F.length(key) >= min_chars).select(
-        "__line_doc", "__line_rev", "__pos", F.unhex(F.md5(key)).alias("__hash")
+    base = boxed(docs).withColumns({"text": F.coalesce(field(text_col), F.lit("")), "doc": field(id_col)})
+    base = base.withColumn("rev", F.xxhash64("text"))
+    exploded = base.select("doc", "rev", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    key = line_key(F.col("line"))
+    # Two hashes of different seeds: 64 bits are too few for the lines of a whole crawl.
+    keyed = exploded.select("doc", "rev", "pos", key.alias("key")).where(F.length("key") >= min_chars).select(
+        "doc", "rev", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")
     )
     frequent = (
-        keyed.select("__hash", "__line_doc")
+        keyed.select("h1", "h2", "doc")
         .distinct()
-        .groupBy("__hash")
-        .agg(F.count(F.lit(1)).alias("__docs"))
-        .where(F.col("__docs") >= min_docs)
-        .select("__hash")
+        .groupBy("h1", "h2")
+        .agg(F.count(F.lit(1)).alias("docs"))
+        .where(F.col("docs") >= min_docs)
+        .select("h1", "h2")
     )
     dropped = (
-        keyed.join(frequent, "__hash")
-        .groupBy(F.col("__line_doc").alias("__drop_doc"), F.col("__line_rev").alias("__drop_rev"))
-        .agg(F.collect_set("__pos").alias("__drop"))
+        keyed.join(stage(frequent), ["h1", "h2"])
+        .groupBy(F.col("doc").alias("drop_doc"), F.col("rev").alias("drop_rev"))
+        .agg(F.collect_set("pos").alias("drop"))
     )
     joined = base.join(
-        dropped,
-        F.col("__line_doc").eqNullSafe(F.col("__drop_doc")) & (F.col("__line_rev") == F.col("__drop_rev")),
-        "left",
+        dropped, F.col("doc").eqNullSafe(F.col("drop_doc")) & (F.col("rev") == F.col("drop_rev")), "left"
     )
-    n_lines = F.length("__line_text") - F.length(F.replace(F.col("__line_text"), F.lit("\n"), F.lit(""))) + 1
-    kept = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("__drop"))
+    n_lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    kept = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("drop"))
     # One-element array: the split text is bound once, then read by position.
     rebuilt = F.element_at(
         F.transform(
-            F.array(F.split("__line_text", "\n", -1)),
+            F.array(F.split("text", "\n", -1)),
             lambda lines: F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"),
         ),
         1,
     )
-    added = {text_col: F.when(F.col("__drop").isNull(), F.col("__line_text")).otherwise(rebuilt)}
+    added = {text_col: F.when(F.col("drop").isNull(), F.col("text")).otherwise(rebuilt)}
     if counts:
         added[counts[0]] = n_lines.cast("long")
-        added[counts[1]] = F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.size("__drop")).cast("long")
-    return joined.withColumns(added).drop(
-        "__line_text", "__line_doc", "__line_rev", "__drop_doc", "__drop_rev", "__drop"
-    )
+        added[counts[1]] = F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long")
+    return unboxed(joined, docs.columns, added)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from scorewright.llm.base import word_count
+from scorewright.llm.base import boxed, field, unboxed, word_count
 
 #: Straight line from weights (1, 2, 3, repeating over the sources) to the same: a constant mix.
 CONSTANT = ((0.0, (1.0, 2.0, 3.0)), (1.0, (1.0, 2.0, 3.0)))
@@ -49,7 +49,8 @@ def source_targets(sizes: DataFrame, schedule=CONSTANT, max_repeat: int = 3) ->
 
     Sources are ranked by code point, null last, and take their weights from the schedule's cycles
     by rank. ``target`` is the source's words in the mix: its integrated share of all sizes, at most
-    ``max_repeat`` times its size, the excess reshared by the integrated weights. ``curve`` is the
+    ``max_repeat`` times its size, the excess reshared by the integrated weights; a source whose weight is 0
+    all along has the target 0. ``curve`` is the
     cumulative demand at the end of each step of progress. The windows hold one row per source.
     """
     pieces = _pieces(schedule)
@@ -58,7 +59,8 @@ def source_targets(sizes: DataFrame, schedule=CONSTANT, max_repeat: int = 3) ->
     shares = []
     for begin, end, cycle in pieces:
         w = _weight(cycle, F.col("__rank"))
-        shares.append(w if len(pieces) == 1 else w / F.sum(w).over(everything) * (end - begin))
+        # a step of progress in which no source has weight shares nothing
+        shares.append(w if len(pieces) == 1 else F.coalesce(F.try_divide(w, F.sum(w).over(everything)), F.lit(0.0)) * (end - begin))
     ranked = ranked.withColumn("__shares", F.array(*shares)).withColumns(
         {
             "__w": F.aggregate("__shares", F.lit(0.0), lambda a, x: a + x),
@@ -66,16 +68,18 @@ def source_targets(sizes: DataFrame, schedule=CONSTANT, max_repeat: int = 3) ->
             "__all": F.sum("source_size").over(everything).cast("double"),
         }
     )
-    order = W.orderBy((F.col("__cap") / F.col("__w")).asc(), F.col("__rank"))
+    # a source without weight is full at no level: it comes last and shares nothing
+    ranked = ranked.withColumn("__full_at", F.try_divide("__cap", "__w"))
+    order = W.orderBy(F.col("__full_at").asc_nulls_last(), F.col("__rank"))
     filled = ranked.withColumns(
         {
             "__before": F.coalesce(F.sum("__cap").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)),
             "__rest": F.sum("__w").over(order.rowsBetween(0, W.unboundedFollowing)),
         }
-    ).withColumn("__level", (F.col("__all") - F.col("__before")) / F.col("__rest"))
-    fits = F.when(F.col("__level") <= F.col("__cap") / F.col("__w"), F.col("__level"))
+    ).withColumn("__level", F.try_divide(F.col("__all") - F.col("__before"), "__rest"))
+    fits = F.when(F.col("__level") <= F.col("__full_at"), F.col("__level"))
     filled = filled.withColumn("__fill", F.max(fits).over(everything))
-    target = F.least(F.col("__cap"), F.coalesce(F.col("__w") * F.col("__fill"), F.col("__cap")))
+    target = F.when(F.col("__w") > 0, F.least(F.col("__cap"), F.coalesce(F.col("__w") * F.col("__fill"), F.col("__cap")))).otherwise(F.lit(0.0))
     run = F.transform(
         F.sequence(F.lit(1), F.lit(len(pieces))),
         lambda k: F.aggregate(F.slice("__shares", 1, k), F.lit(0.0), lambda a, x: a + x),
@@ -84,7 +88,7 @@ def source_targets(sizes: DataFrame, schedule=CONSTANT, max_repeat: int = 3) ->
         "source",
         "source_size",
         "target",
-        F.transform(run, lambda part: F.col("target") * (part / F.col("__w"))).alias("curve"),
+        F.transform(run, lambda part: F.coalesce(F.col("target") * F.try_divide(part, F.col("__w")), F.lit(0.0))).alias("curve"),
     )
 
 
@@ -112,26 +116,22 @@ def plan_mix(
     ``copies`` whole passes over the document are in the mix, ``taken`` = copies * size, and
     ``positions`` holds the training progress of each copy. A source's last, partial pass takes the
     documents whose middle lies before its end, so its taken words are within half a document of
-    its target. With ``keep`` the columns of ``docs`` are kept beside these (``mix_*`` names).
+    its target. With ``keep`` the row itself is there too, as the struct ``row``.
 
     Null text: size 0. Null source: a source of its own, ranked last. Rows of size 0 are in the mix
     once more than their source's full passes at most, and take nothing. Ties in hash order go by id
     and size; equal rows are interchangeable. An empty table gives an empty table.
     """
-    rows = docs if keep else docs.select(id_col, text_col, source_col)
-    rows = rows.withColumns(
-        {
-            "mix_id": F.col(id_col),
-            "mix_source": F.col(source_col),
-            "mix_size": word_count(F.col(text_col)),
-            "mix_hash": F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))),
-        }
+    rows = boxed(docs).select(
+        *(["row"] if keep else []),
+        field(id_col).alias("mix_id"),
+        field(source_col).alias("mix_source"),
+        word_count(field(text_col)).alias("mix_size"),
+        F.md5(F.coalesce(field(id_col).cast("string"), F.lit(""))).alias("mix_hash"),
     )
     slices = max(32, -(-docs.count() // ROWS_PER_SLICE))
     place = F.conv(F.substring("mix_hash", 1, 7), 16, 10).cast("long")
     rows = rows.withColumn("mix_slice", F.floor(place * slices / 16**7).cast("int"))
-    if not keep:
-        rows = rows.drop(*[c for c in (id_col, text_col, source_col) if not c.startswith("mix_")])
     parts = rows.groupBy("mix_source", "mix_slice").agg(F.sum("mix_size").alias("__part"))
     in_order = W.partitionBy("mix_source").orderBy("mix_slice").rowsBetween(W.unboundedPreceding, -1)
     parts = parts.withColumn("__start", F.coalesce(F.sum("__part").over(in_order), F.lit(0)))
@@ -178,6 +178,11 @@ def mix(docs: DataFrame, schedule=CONSTANT, max_repeat: int = 3, partitions: int
     """
     planned = plan_mix(docs, schedule, max_repeat, keep=True, **names)
     copies = planned.withColumn("mix_position", F.explode("mix_positions"))
-    by = [F.col("mix_position"), F.col("mix_id")]
-    ranged = copies.repartitionByRange(partitions, *by) if partitions else copies.repartitionByRange(*by)
-    return ranged.sortWithinPartitions(*by).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unboxed(in_order(copies, partitions), docs.columns)
+
+
+def in_order(planned: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows with a ``mix_position`` range-sorted by it; those of one position go by id, those without come last."""
+    by = [F.col("mix_position").asc_nulls_last(), F.col("mix_id")]
+    ranged = planned.repartitionByRange(partitions, *by) if partitions else planned.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by)

@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from scorewright.llm.base import boxed, field, unboxed
 from scorewright.session import stage
 
 BANDS, ROWS = 32, 5
@@ -370,5 +371,5 @@ def components(docs: DataFrame, shingle_words: int, threshold: int, id_col: str
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose component has a smaller id; rows repeating a kept id stay."""
-    gone = components(docs, shingle_words, threshold, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    gone = components(docs, shingle_words, threshold, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    return unboxed(boxed(docs).join(gone, field(id_col).cast("long") == F.col("gone"), "left_anti"), docs.columns)

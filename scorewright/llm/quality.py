@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scorewright.llm.base import LOWER, SPACES, UPPER, words
+from scorewright.llm.base import LOWER, SPACES, UPPER, boxed, field, unboxed, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -108,7 +108,7 @@ def score_quality(docs: DataFrame, rules=RULES, text_col: str = "text", name: st
     Null, empty and blank texts have no word, so they fail. Rows are judged one by one: ties, repeats
     and other columns play no part (a column called ``name`` is replaced). Empty in, empty out.
     """
-    m = F.col("__m")
+    m = F.col("m")
     n = m["w"]["n_words"]
     share = lambda x, y: F.when(y > 0, x / y).otherwise(F.lit(0.0))
     values = {
@@ -130,4 +130,4 @@ def score_quality(docs: DataFrame, rules=RULES, text_col: str = "text", name: st
         "n_repeat_words": m["w"]["n_repeat_words"], "n_stop_words": m["w"]["n_stop_words"], "n_upper": m["n_upper"], "n_lines": m["l"]["n_lines"],
     }
     fields = [v.alias(k) for k, v in (counts | values | {"base_failed": failed, "kept": holds}).items()]
-    return docs.withColumn("__m", measures(F.col(text_col))).withColumn(name, F.struct(*fields)).drop("__m")
+    return unboxed(boxed(docs).withColumn("m", measures(field(text_col))), docs.columns, {name: F.struct(*fields)})

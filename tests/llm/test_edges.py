@@ -56,10 +56,10 @@ def test_mix(odd, empty):
 def test_a_rising_weight_comes_later(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "ab"[i % 2]) for i in range(400)], "doc_id long, text string, source string")
     rows = mixing.plan_mix(docs, schedule=((0.0, (0.1, 1.0)), (1.0, (1.9, 1.0))), keep=True).collect()
-    mean = {s: np.mean([p for r in rows if r["source"] == s for p in r["mix_positions"]]) for s in "ab"}
+    mean = {s: np.mean([p for r in rows if r["row"]["source"] == s for p in r["mix_positions"]]) for s in "ab"}
     assert mean["a"] > mean["b"] + 0.1
-    taken = {s: sum(r["mix_taken"] for r in rows if r["source"] == s) for s in "ab"}
-    target = {r["source"]: r["mix_target"] for r in rows}
+    taken = {s: sum(r["mix_taken"] for r in rows if r["row"]["source"] == s) for s in "ab"}
+    target = {r["row"]["source"]: r["mix_target"] for r in rows}
     assert all(abs(taken[s] - target[s]) <= 10 for s in "ab")
 
 
@@ -179,3 +179,108 @@ def test_topk(spark):
     one = 1024 * 1024
     assert got == [(0, 1, 3, one), (0, 2, 3, one), (0, 3, 100, one), (100, 1, 0, one), (100, 2, 3, one), (100, 3, 3, one)]
     assert topk.exact_topk(frame.where("false"), F.lit(True)).count() == 0
+
+
+def brute_mix(rows, schedule, max_repeat):
+    """Targets by filling sources up to their caps, positions by walking the demand in fine steps."""
+    import hashlib
+
+    sizes = {}
+    for i, text, source in rows:
+        sizes.setdefault(source, []).append((hashlib.md5(str(i).encode()).hexdigest(), i, len(text.split())))
+    names = sorted(sizes)
+    total = {s: sum(x[2] for x in sizes[s]) for s in names}
+
+    def weight(t, k):
+        (t0, w0), (t1, w1) = schedule
+        return w0[k % len(w0)] + (w1[k % len(w1)] - w0[k % len(w0)]) * (t - t0) / (t1 - t0)
+
+    steps = mixing.STEPS if len({w for _, w in schedule}) > 1 else 1
+    share = {s: [] for s in names}
+    for j in range(steps):
+        ws = [weight((j + 0.5) / steps, k) for k in range(len(names))]
+        for s, w in zip(names, ws):
+            share[s].append(w / sum(ws) / steps if sum(ws) else 0.0)
+    whole = {s: sum(share[s]) for s in names}
+    left, target, free = sum(total.values()), {}, {s for s in names if whole[s] > 0}
+    while free:
+        level = left / sum(whole[s] for s in free)
+        full = {s for s in free if max_repeat * total[s] <= level * whole[s]}
+        if not full:
+            target.update({s: level * whole[s] for s in free})
+            break
+        for s in full:
+            target[s] = float(max_repeat * total[s])
+            left -= max_repeat * total[s]
+        free -= full
+    out = {}
+    for s in names:
+        goal, at = target.get(s, 0.0), 0
+        passes = int(goal // total[s]) if total[s] else 0
+        curve = [goal * sum(share[s][: j + 1]) / whole[s] if whole[s] else 0.0 for j in range(steps)]
+        for _, i, n in sorted(sizes[s]):
+            copies = min(max_repeat, passes + (at + n * 0.5 <= goal - passes * total[s]))
+            places = []
+            for c in range(copies):
+                where, low = at + c * total[s], 0.0
+                for j, high in enumerate(curve):
+                    if where < high or j == steps - 1:
+                        places.append(min(1.0, (j + ((where - low) / (high - low) if high > low else 0.0)) / steps))
+                        break
+                    low = high
+            out[i] = (goal, copies, places)
+            at += n
+    return out
+
+
+@pytest.mark.parametrize("schedule", [((0.0, (1.0, 2.0, 3.0)), (1.0, (1.0, 2.0, 3.0))), ((0.0, (0.2, 1.0, 3.0)), (1.0, (2.0, 1.0, 0.0))), ((0.0, (0.0, 1.0)), (1.0, (0.0, 5.0))), ((0.0, (0.0,)), (1.0, (0.0,)))])
+def test_mix_equals_brute_force(spark, schedule):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(0, 40), rng.choice("aabbbc")) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["mix_id"]: r for r in mixing.plan_mix(docs, schedule).collect()}
+    want = brute_mix(rows, schedule, 3)
+    assert set(got) == set(want)
+    for i, (target, copies, places) in want.items():
+        assert got[i]["mix_target"] == pytest.approx(target) and got[i]["mix_copies"] == copies
+        assert got[i]["mix_positions"] == pytest.approx(places, abs=1e-9)
+    mixed = [r["doc_id"] for r in mixing.mix(docs, schedule).collect()]
+    assert sorted(mixed) == sorted(i for i, (_, copies, _) in want.items() for _ in range(copies))
+    places = sorted((p, i) for i, (*_, ps) in want.items() for p in ps)
+    assert [round(p, 6) for p, _ in places] == [round({c: p for c, p in enumerate(want[i][2])}[mixed[:k].count(i)], 6) for k, i in enumerate(mixed)]
+
+
+CLASHES = "row string, m string, gone string, drop array<int>, doc string, rev string, text string, doc_id long, pos int, h1 int, mix_id int, mix_hash string, mix_source string, size string, found string, source string, lang string, quality int, key string"
+
+
+def test_names_of_the_callers_columns_may_be_anything(spark):
+    """Columns called as those inside the operators pass through with their values."""
+    rows = [("r", "m", "g", [1], "d", "v", f"line\nown {i} " + "word " * 5, i, 1, 2, 3, "mh", "ms", "s", "f", "src", "en", 9, "k") for i in range(4)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    others = [c for c in docs.columns if c not in ("text", "quality", "lang")]
+    want = sorted(tuple(r[c] for c in others) for r in docs.collect())
+    profiles = langid.fit_profiles(docs)
+    made = {
+        "lines": line_dedup.dedup_lines(docs, min_docs=2), "quality": quality.score_quality(docs), "near": near_dup.keep_one(docs),
+        "lang": langid.predict_language(docs, profiles, lang="lang", score="size2"),
+        "secrets": secret_scan.scan_secrets(docs, secret_scan.train([]), name="quality"), "pii": pii.find_personal_data(docs, pii.train([]), name="quality"),
+        "bpe": bpe_jobs.round_trip(docs, BYTE, name="quality"),
+    }
+    for name, out in made.items():
+        assert sorted(tuple(r[c] for c in others) for r in out.collect()) == want, name
+    assert set(r["doc_id"] for r in mixing.mix(docs).collect()) <= {0, 1, 2, 3} and mixing.mix(docs).columns == docs.columns
+    assert {r["text"] for r in made["lines"].collect()} == {f"own {i} " + "word " * 5 for i in range(4)}
+    assert token_files.read_token_files(spark, token_files.write_token_files(docs, WORD, 2, by_word=True)).count() == 4
+
+
+def test_a_hot_line_and_a_line_of_many_kinds(spark):
+    """A line of all documents, and null ids, which are one document together."""
+    rows = [(i if i % 4 else None, f"hot\n{i % 7}\nown {i}") for i in range(200)]
+    got = sorted(r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=10).collect())
+    assert got == sorted(f"own {i}" for i in range(200))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=10)
+        assert sorted(r["text"] for r in again.collect()) == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
