@@ -41,6 +41,12 @@ ROW_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 KEY_SQL = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate)"
 
 
+def key_hash_sql(seed: int, *parts: str) -> str:
+    """The hash by which rows are drawn, over the given columns and the seed."""
+    texts = [f"{p}::VARCHAR" for p in (*parts, f"'{seed}'")]
+    return "md5(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, 'n')" for t in texts) + "))"
+
+
 def key_column():
     return F.concat_ws("-", *[F.col(k).cast("string") for k in ROW_KEY])
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    CHALLENGER, CHAMPION, KEY_SQL, ROW_KEY, SCORED, Y_SQL, key_column, planted_label, probability_sql, query,
+    CHALLENGER, CHAMPION, KEY_SQL, ROW_KEY, SCORED, Y_SQL, key_column, key_hash_sql, planted_label, probability_sql, query,
     raw_lines, scored_lines, scored_sql, table,
 )
 from scorewright.catalog.transforms import CHAIN_FEATURES, chained, line_spec
@@ -136,7 +136,7 @@ def classification_report(spark, sf):
 
 @query(
     "train_test_metrics",
-    f"""WITH {SCORED}, parts AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY md5(row_key || '-42'))
+    f"""WITH {SCORED}, parts AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY {key_hash_sql(42, *ROW_KEY)})
             <= floor(count(*) OVER (PARTITION BY y) * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split FROM scored),
         c AS (SELECT split, {CONF} FROM parts GROUP BY 1)
         SELECT split, tn, fp, fn, tp, tn + fp + fn + tp AS support, {METRICS}, roc_auc

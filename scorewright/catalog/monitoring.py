@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    ARRIVALS_SQL, LOG_SQL, PERIODS_SQL, SCORED, fresh_dir, late_label_rows, periods, prediction_log, query, scored_lines, table,
+    ARRIVALS_SQL, LOG_SQL, PERIODS_SQL, SCORED, fresh_dir, key_hash_sql, late_label_rows, periods, prediction_log, query, scored_lines, table,
 )
 from scorewright.operators import drift as D
 from scorewright.operators import feedback as FB
@@ -471,7 +471,7 @@ def label_store(spark, sf):
 @query(
     "simulate_feedback",
     f"""WITH {LOG_SQL} SELECT count(*) AS updated FROM log WHERE doc_id IN (SELECT doc_id FROM (
-        SELECT doc_id, row_number() OVER (ORDER BY md5(concat_ws('-', doc_id, '42'))) <= floor(count(*) OVER () * 0.8::DOUBLE + 0.5) AS picked
+        SELECT doc_id, row_number() OVER (ORDER BY {key_hash_sql(42, "doc_id")}) <= floor(count(*) OVER () * 0.8::DOUBLE + 0.5) AS picked
         FROM labels) WHERE picked)""",
 )
 def simulate_feedback(spark, sf):

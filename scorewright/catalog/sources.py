@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from scorewright.catalog.base import (
-    CHAMPION, KEY_SQL, fresh_dir, margin_sql, probability_sql, query, raw_lines, table,
+    CHAMPION, KEY_SQL, fresh_dir, key_hash_sql, margin_sql, probability_sql, query, raw_lines, table,
 )
 from scorewright.functions.columns import sigmoid
 from scorewright.operators import features as X
@@ -95,11 +95,12 @@ def scan_date_partition(spark, sf):
 
 @query("scan_dir_latest", "SELECT doc_id, lang, n_chars FROM documents")
 def scan_dir_latest(spark, sf):
+    """Three deliveries in a folder; only the one written last is read."""
     path = fresh_dir(spark, "documents-dir")
     docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
-    writers.append_rows(docs.where("lang = 'en'"), path)
-    writers.append_rows(docs.where("lang <> 'en'"), path)
-    return spark.read.parquet(path)
+    for name, rows in (("b", docs.where("lang = 'en'")), ("c", docs.withColumn("n_chars", F.col("n_chars") + 1)), ("a", docs)):
+        rows.write.parquet(f"{path}/{name}")
+    return spark.read.parquet(readers.newest_path(spark, path, "*.parquet", folder=True))
 
 
 @query(
@@ -108,10 +109,11 @@ def scan_dir_latest(spark, sf):
        WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
 )
 def latest_version(spark, sf):
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("version")
-    )
-    return readers.latest(orders, "version")
+    """Versions are folders: the newest is told from their names, and only its files are read."""
+    path = fresh_dir(spark, "orders-by-version")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("version"))
+    orders.write.partitionBy("version").parquet(path)
+    return readers.read_newest_version(spark, path).withColumn("version", F.col("version").cast("string"))
 
 
 @query(
@@ -233,11 +235,24 @@ def model_state_io(spark, sf):
     )
 
 
-@query("reconstruct_reference")
+def _draw_sql(name: str) -> str:
+    """A standard normal draw of a row number, from two groups of its hash."""
+    h = key_hash_sql(42, "id", f"'{name}'")
+    u, v = (f"('0x' || substr({h}, {at}, 8))::BIGINT::DOUBLE" for at in (1, 9))
+    return f"sqrt(-2 * ln(({u} + 0.5::DOUBLE) / 4294967296)) * cos(2 * pi() * ({v} / 4294967296))"
+
+
+@query(
+    "reconstruct_reference",
+    f"""SELECT id, round({_draw_sql('l_quantity')} * (SELECT stddev_samp(l_quantity) FROM lineitem) + (SELECT avg(l_quantity) FROM lineitem), 4) AS l_quantity,
+        round({_draw_sql('l_extendedprice')} * (SELECT stddev_samp(l_extendedprice) FROM lineitem) + (SELECT avg(l_extendedprice) FROM lineitem), 3) AS l_extendedprice,
+        (('0x' || substr({key_hash_sql(42, "id", "'y'")}, 1, 8))::BIGINT / 4294967296::DOUBLE < 0.38::DOUBLE)::INT AS y FROM range(500) r(id)""",
+)
 def reconstruct_reference(spark, sf):
     rows = baseline_stats(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
     stats = {r["feature"]: {"mean": r["mean"], "std": r["std"]} for r in rows.collect()}
-    return readers.reconstruct_reference(spark, stats, n=500, seed=42, label="y")
+    made = readers.reconstruct_reference(spark, stats, n=500, seed=42, label="y", keep_id=True)
+    return made.withColumns({"l_quantity": F.round("l_quantity", 4), "l_extendedprice": F.round("l_extendedprice", 3)})
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorewright.catalog.base import (
-    CHAMPION, KEY_SQL, LOG_SQL, RAW_SQL, ROW_KEY, SCORED, Y_SQL, fresh_dir, planted_label, prediction_log,
+    CHAMPION, KEY_SQL, LOG_SQL, RAW_SQL, ROW_KEY, SCORED, Y_SQL, fresh_dir, key_hash_sql, planted_label, prediction_log,
     probability_sql, query, raw_lines, scored_lines, table,
 )
 from scorewright.functions import columns as C
@@ -356,7 +356,7 @@ def feature_transform(spark, sf):
 
 # ---- splits and assignments ----
 
-DOC_HASH = "md5(concat_ws('-', doc_id, '{}'))"
+ROW_HASH = key_hash_sql(42, *ROW_KEY)
 
 
 def first_sql(hash_sql: str, size: str, partition: str = "") -> str:
@@ -369,7 +369,7 @@ ROUND_N = "floor(count(*) OVER ({{}}) * {0}::DOUBLE + 0.5)"
 
 @query(
     "stratified_split",
-    f"""SELECT {KEY_SQL} AS row_key, l_returnflag, CASE WHEN {first_sql(f"md5({KEY_SQL} || '-42')", ROUND_N.format(0.2), 'l_returnflag')}
+    f"""SELECT {KEY_SQL} AS row_key, l_returnflag, CASE WHEN {first_sql(ROW_HASH, ROUND_N.format(0.2), 'l_returnflag')}
         THEN 'test' ELSE 'train' END AS split FROM lineitem""",
 )
 def stratified_split(spark, sf):
@@ -379,8 +379,8 @@ def stratified_split(spark, sf):
 
 @query(
     "nested_split",
-    f"""WITH outer_split AS (SELECT doc_id, lang, {first_sql(DOC_HASH.format(42), ROUND_N.format(0.2), 'lang')} AS test FROM documents)
-        SELECT doc_id, CASE WHEN {first_sql(DOC_HASH.format(43), ROUND_N.format(0.2), 'lang')}
+    f"""WITH outer_split AS (SELECT doc_id, lang, {first_sql(key_hash_sql(42, "doc_id"), ROUND_N.format(0.2), 'lang')} AS test FROM documents)
+        SELECT doc_id, CASE WHEN {first_sql(key_hash_sql(43, "doc_id"), ROUND_N.format(0.2), 'lang')}
         THEN 'valid' ELSE 'fit' END AS part FROM outer_split WHERE NOT test""",
 )
 def nested_split(spark, sf):
@@ -392,7 +392,7 @@ def nested_split(spark, sf):
 
 @query(
     "plain_split",
-    f"""SELECT {KEY_SQL} AS row_key, CASE WHEN ('0x' || substr(md5({KEY_SQL} || '-42'), 1, 8))::BIGINT < 858993459
+    f"""SELECT {KEY_SQL} AS row_key, CASE WHEN ('0x' || substr({ROW_HASH}, 1, 8))::BIGINT < 858993459
         THEN 'test' ELSE 'train' END AS split FROM lineitem""",
 )
 def plain_split(spark, sf):
@@ -401,13 +401,13 @@ def plain_split(spark, sf):
 
 @query(
     "sample_fraction",
-    f"SELECT doc_id FROM (SELECT doc_id, {first_sql(DOC_HASH.format(42), ROUND_N.format(0.8))} AS picked FROM labels) WHERE picked",
+    f"SELECT doc_id FROM (SELECT doc_id, {first_sql(key_hash_sql(42, "doc_id"), ROUND_N.format(0.8))} AS picked FROM labels) WHERE picked",
 )
 def sample_fraction(spark, sf):
     return S.sample_fraction(table(spark, sf, "labels"), ["doc_id"], 0.8, 42).select("doc_id")
 
 
-AB_SQL = f"""CASE WHEN {first_sql(f"md5({KEY_SQL} || '-42')", "floor(count(*) OVER ({}) * 0.1::DOUBLE)")}
+AB_SQL = f"""CASE WHEN {first_sql(ROW_HASH, "floor(count(*) OVER ({}) * 0.1::DOUBLE)")}
     THEN 'challenger' ELSE 'champion' END"""
 
 
@@ -418,7 +418,7 @@ def ab_assign(spark, sf):
 
 @query(
     "canary_assign",
-    """SELECT event_id, user_id, CASE WHEN ('0x' || substr(md5(concat_ws('-', user_id, '42')), 1, 8))::BIGINT % 100 < 10
+    f"""SELECT event_id, user_id, CASE WHEN ('0x' || substr({key_hash_sql(42, "user_id")}, 1, 8))::BIGINT % 100 < 10
         THEN 'v2' ELSE 'v1' END AS version FROM events""",
 )
 def canary_assign(spark, sf):

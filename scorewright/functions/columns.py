@@ -85,26 +85,33 @@ def scored_line(key, prediction, probability, label) -> Column:
     )
 
 
+def key_text(parts: Sequence[str | Column | int]) -> Column:
+    """One text for several parts that no other parts give: each part as its length and itself, null as 'n'."""
+    texts = [F.lit(str(p)) if isinstance(p, int) else col(p).cast("string") for p in parts]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts])
+
+
 def hash_hex(keys: Sequence[str | Column], seed: int | str) -> Column:
     """Uniform, engine-independent 128-bit hex rank of a row key."""
-    parts = [col(k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("-", *parts, F.lit(str(seed))))
+    return F.md5(key_text([*keys, F.lit(str(seed))]))
+
+
+def _word(hex32: Column, k: int) -> Column:
+    """The k-th group of eight hex digits as a long."""
+    return F.conv(F.substring(hex32, 1 + 8 * k, 8), 16, 10).cast("long")
 
 
 def hash_uniform(keys: Sequence[str | Column], seed: int | str) -> Column:
     """Deterministic uniform draw in [0, 1) with 32 bits."""
-    return F.conv(F.substring(hash_hex(keys, seed), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    return _word(hash_hex(keys, seed), 0).cast("double") / F.lit(2.0**32)
 
 
 def hash_normal(keys: Sequence[str | Column], seed: int | str) -> Column:
-    """Deterministic standard normal draw (Box-Muller on two 32-bit halves of one hash)."""
-    parts = [col(k).cast("string") for k in keys]
-    bits = F.xxhash64(*parts, F.lit(str(seed)))
-    low = F.pmod(bits, F.lit(1 << 32)).cast("double")
-    high = F.pmod(F.shiftrightunsigned(bits, 32), F.lit(1 << 32)).cast("double")
-    u = (low + 0.5) / F.lit(2.0**32)
-    v = high / F.lit(2.0**32)
-    return F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2.0 * math.pi) * v)
+    """Deterministic standard normal draw (Box-Muller on two 32-bit groups of one hash)."""
+    bits = hash_hex(keys, seed)
+    u = (_word(bits, 0).cast("double") + 0.5) / F.lit(2.0**32)
+    v = _word(bits, 1).cast("double") / F.lit(2.0**32)
+    return F.sqrt(F.lit(-2.0) * F.ln(u)) * F.cos(F.lit(2.0 * math.pi) * v)
 
 
 def sigmoid(z: Column) -> Column:

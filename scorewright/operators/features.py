@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scorewright.functions import columns as C
 from scorewright.operators.joins import collect_bounded, lookup_join
 from scorewright.operators.ordered import long_form, modes, prefix_sum, quantiles
+from scorewright.session import stage
+
+#: Values of a vocabulary that may be written into the projection.
+LITERAL_VALUES = 200
 
 
 @dataclass(frozen=True)
@@ -81,16 +85,29 @@ def fit_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def encode(df: DataFrame, vocab: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by codes; values outside the vocabulary get the lowest class, 0."""
+    """Replace categories by codes; values outside the vocabulary get the lowest class, 0.
+
+    Vocabularies of up to LITERAL_VALUES values become literal maps of the projection; each larger one is a
+    lookup join.
+    """
     names = df.columns
+    here = vocab.where(F.col("feature").isin(list(columns)))
+    sizes = {r["feature"]: r["count"] for r in here.groupBy("feature").count().collect()}
+    few = [c for c in columns if sizes.get(c, 0) <= LITERAL_VALUES]
+    codes: dict[str, list] = {c: [] for c in few}
+    for r in here.where(F.col("feature").isin([c for c in few if c in sizes])).collect():
+        codes[r["feature"]] += [F.lit(r["value"]), F.lit(r["code"])]
+    maps = {}
+    for c in few:
+        token = F.coalesce(F.col(c).cast("string"), F.lit(C.MISSING_TOKEN))
+        maps[c] = F.coalesce(F.try_element_at(F.create_map(*codes[c]), token), F.lit(0)) if codes[c] else F.lit(0)
+    df = df.withColumns(maps) if maps else df
     for c in columns:
-        codes = vocab.where(F.col("feature") == c).select(
-            F.col("value").alias(f"_{c}_token"), F.col("code").alias(f"_{c}_code")
-        )
+        if c in maps:
+            continue
+        lookup = here.where(F.col("feature") == c).select(F.col("value").alias(f"_{c}_token"), F.col("code").alias(f"_{c}_code"))
         tokens = df.withColumn(f"_{c}_token", F.coalesce(F.col(c).cast("string"), F.lit(C.MISSING_TOKEN)))
-        df = lookup_join(tokens, codes, [f"_{c}_token"]).withColumn(
-            c, F.coalesce(f"_{c}_code", F.lit(0))
-        )
+        df = lookup_join(tokens, lookup, [f"_{c}_token"]).withColumn(c, F.coalesce(f"_{c}_code", F.lit(0)))
     return df.select(*names)
 
 
@@ -127,7 +144,7 @@ def fit(df: DataFrame, spec: FeatureSpec) -> FeatureState:
         derived = derived.withColumn(name, expr)
     vocab = None
     if spec.encode:
-        vocab = fit_vocab(derived, spec.encode)
+        vocab = stage(fit_vocab(derived, spec.encode))
         small = collect_bounded(vocab)
         vocab = vocab if small is None else small
     state = FeatureState(medians, most, vocab)

@@ -1,21 +1,28 @@
 """Joins of a big table to a lookup table, safe against hot keys.
 
-``lookup_join`` measures the lookup side. Within the bound it becomes a driver-local
-relation and is broadcast; beyond it the join is shuffled, and only keys that are hot on
-the big side are salted.
+``lookup_join`` evaluates the lookup side once, into the shared folder, and measures its files. Within the
+bound it becomes a driver-local relation and is broadcast; beyond it the join is shuffled. Keys of the
+big side whose rows would be too many bytes for one task are found by a mergeable sketch and split
+over as many salted copies of their lookup row as their bytes ask for.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from scorewright.session import stage
+
 MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.01
-SALTS = 32
+#: Bytes of the lookup's columnar files; in memory it may take some times as much.
+MAX_BROADCAST_BYTES = 16 << 20
+#: Bytes of a key's rows that one task is meant to take.
+TASK_BYTES = 64 << 20
+#: Keys that the sketch follows, and that may be split.
+TRACKED, SPLIT_KEYS = 10_000, 1_000
 
 
 def keyed_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -31,38 +38,55 @@ def keyed_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "l
 
 
 def collect_bounded(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+    staged: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame | None:
-    """``df`` as a local relation when it has at most ``max_rows`` rows and ``max_bytes``, else None.
+    """A staged table as a local relation when it has at most ``max_rows`` rows and ``max_bytes``, else None.
 
-    Rows and bytes (of the rows as JSON) are summed in the tasks first, so a table beyond the bound
-    never leaves them.
+    Rows are counted from the files' footers and bytes from their lengths, so a table beyond the
+    bound never leaves them.
     """
-    size = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
-    ).first()
-    if size["rows"] > max_rows or (size["bytes"] or 0) > max_bytes:
+    spark = staged.sparkSession
+    files = staged.inputFiles()
+    if files and (file_bytes(spark, files) > max_bytes or staged.count() > max_rows):
         return None
-    table = df.toArrow()
-    if table.num_rows == 0:
-        return df.sparkSession.createDataFrame([], df.schema)
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
+    table = staged.toArrow() if files else None
+    if table is None or table.num_rows == 0:
+        return spark.createDataFrame([], staged.schema)
+    return spark.createDataFrame(table, schema=staged.schema)
+
+
+def file_bytes(spark, files: Sequence[str]) -> int:
+    """Length of files of any store that Spark reaches."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(files[0]).getFileSystem(conf)
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    return sum(fs.getContentSummary(path(folder)).getLength() for folder in folders)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: its texts' lengths, and eight for every other column."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in wide]
+    return reduce(lambda a, b: a + b, sizes, F.lit(8 * (len(df.columns) - len(wide)) + 8)).cast("long")
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE, tracked: int = 10_000) -> list:
-    """Hashes of keys that hold at least ``share`` of the rows (one mergeable sketch pass)."""
-    keys = df.select(F.xxhash64(*on).alias("k"))
-    top = keys.agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, 100, {tracked})").alias("top")
-    ).first()
-    return [item["item"] for item in top["top"] or [] if item["count"] >= share * top["n"]]
+def hot_keys(df: DataFrame, on: list[str], task_bytes: int = TASK_BYTES, tracked: int = TRACKED) -> dict[int, int]:
+    """Hash of each key whose rows exceed what a task is meant to take -> into how many parts to cut it
+    (one mergeable sketch pass; rows are taken at their mean size)."""
+    keys = df.select(F.xxhash64(*on).alias("k"), row_bytes(df).alias("b"))
+    got = keys.agg(F.sum("b").alias("b"), F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {SPLIT_KEYS}, {tracked})").alias("top")).first()
+    if not got["n"]:
+        return {}
+    each = got["b"] / got["n"]
+    parts = {item["item"]: math.ceil(item["count"] * each / task_bytes) for item in got["top"] or []}
+    return {k: n for k, n in parts.items() if n > 1}
 
 
-def spread_salt(df: DataFrame, salts: int) -> Column:
-    """A salt that is stable under task retry and differs for exact copies of a row in
+def spread_salt(df: DataFrame, salts: Column) -> Column:
+    """A salt below ``salts`` that is stable under task retry and differs for exact copies of a row in
     different input partitions."""
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    return F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    return F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), salts).cast("int")
 
 
 def skew_join(
@@ -70,22 +94,17 @@ def skew_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "left",
-    salts: int = SALTS,
+    task_bytes: int = TASK_BYTES,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Shuffled join; hot keys of ``df`` are split over ``salts`` copies of their lookup row."""
+    """Shuffled join; each hot key of ``df`` is split over as many copies of its lookup row as it needs."""
     join = keyed_join if null_safe else DataFrame.join
-    hot = hot_keys(df, on)
+    hot = hot_keys(df, on, task_bytes)
     if not hot:
         return join(df, lookup, on, how)
-    is_hot = F.xxhash64(*on).isin(hot)
-    left = df.withColumn("_salt", F.when(is_hot, spread_salt(df, salts)).otherwise(F.lit(0)))
-    right = lookup.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
+    parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in hot.items() for x in kv]), F.xxhash64(*on)), F.lit(1))
+    left = df.withColumn("_salt", F.when(parts > 1, spread_salt(df, parts)).otherwise(F.lit(0)))
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -96,11 +115,14 @@ def lookup_join(
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
     null_safe: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Join ``df`` to a lookup table with one row per key: inner, left, left_semi or left_anti.
 
-    ``null_safe`` is for group keys: the null group then finds its row.
+    ``null_safe`` is for group keys: the null group then finds its row. ``staged``: the lookup is a
+    staged table already.
     """
+    lookup = lookup if staged else stage(lookup)
     small = collect_bounded(lookup, max_rows)
     if small is None:
         return skew_join(df, lookup, on, how, null_safe=null_safe)

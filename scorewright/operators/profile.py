@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.stats import ratio
 from scorewright.operators.joins import collect_bounded, keyed_join
+from scorewright.session import stage
 from scorewright.operators.ordered import long_form, quantile_name, quantiles
 
 
@@ -43,6 +44,8 @@ def profile_numeric(
             aggs.append(F.percentile_approx(v, list(qs)).alias(f"q{i}"))
     wide = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
     exact = bool(qs) and not approx
+    if exact:
+        wide = stage(wide)
     small = collect_bounded(wide) if exact else None
     biggest = None
     if small is not None:

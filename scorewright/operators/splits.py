@@ -1,8 +1,9 @@
 """Deterministic splits and assignments by the hash rank of a unique row key.
 
-Exact counts need the k-th smallest hash of each stratum. It is found without sorting a
-stratum: count rows per 16-bit hash prefix, walk the prefix counts to the prefix that
-holds the k-th row, and rank only the rows inside that prefix.
+Exact counts need the k-th smallest hash of each stratum. It is found by radix selection, without sorting a
+stratum: the hashes are staged once, rows are counted per prefix of four hex digits, the prefix counts
+lead to the prefix that holds the k-th row, and as long as that prefix holds too many rows it is refined by
+four digits more. Only the rows inside the last prefix are ranked.
 """
 
 from __future__ import annotations
@@ -13,8 +14,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.functions.columns import hash_hex
 from scorewright.operators.joins import lookup_join
+from scorewright.session import stage
 
-PREFIX = 4
+#: Hex digits of one level, and rows that the last prefix may hold.
+DIGITS = 4
+RANKED_ROWS = 1_000_000
+MD5_DIGITS = 32
 
 
 def take_threshold(
@@ -26,26 +31,31 @@ def take_threshold(
     is unique; rows that share a key always stay on the same side.
     """
     strata = list(strata)
-    hashed = df.select(*strata, hash_hex(key, seed).alias("h")).withColumn(
-        "prefix", F.substring("h", 1, PREFIX)
-    )
-    per_prefix = hashed.groupBy(*strata, "prefix").agg(F.count(F.lit(1)).alias("c"))
+    hashed = stage(df.select(*strata, hash_hex(key, seed).alias("h")))
     group = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(1))
     walk = group.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    # at most 16**PREFIX rows per stratum reach this window
-    located = (
-        per_prefix.withColumn("n", F.sum("c").over(group))
-        .withColumn("k", size.cast("long"))
-        .withColumn("cum", F.sum("c").over(walk))
-        .where("cum - c < k AND k <= cum")
-        .select(*strata, "prefix", (F.col("k") - (F.col("cum") - F.col("c"))).alias("need"))
-    )
-    inside = lookup_join(hashed, located, [*strata, "prefix"], "inner", null_safe=True)
+    inside, need, width = hashed, size.cast("long"), DIGITS
+    while True:
+        # at most 16**DIGITS rows per stratum reach this window, whatever the level
+        per_prefix = inside.groupBy(*strata, *(["need"] if width > DIGITS else []), F.substring("h", 1, width).alias("prefix"))
+        located = stage(
+            per_prefix.agg(F.count(F.lit(1)).alias("c"))
+            .withColumn("n", F.sum("c").over(group))
+            .withColumn("k", need)
+            .withColumn("cum", F.sum("c").over(walk))
+            .where("cum - c < k AND k <= cum")
+            .select(*strata, "prefix", (F.col("k") - (F.col("cum") - F.col("c"))).alias("need"), "c")
+        )
+        keyed = hashed.withColumn("prefix", F.substring("h", 1, width))
+        inside = lookup_join(keyed, located.drop("c"), [*strata, "prefix"], "inner", null_safe=True, staged=True)
+        if width >= MD5_DIGITS or (located.agg(F.max("c")).first()[0] or 0) <= RANKED_ROWS:
+            break
+        need, width = F.col("need"), width + DIGITS
     # copies of a key collapse before the window, so it sees distinct hashes only
     distinct = inside.groupBy(*strata, "prefix", "need", "h").agg(F.count(F.lit(1)).alias("c"))
     upto = Window.partitionBy(*strata, "prefix").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     ranked = distinct.withColumn("cum", F.sum("c").over(upto))
-    return ranked.where("cum - c < need AND need <= cum").select(*strata, F.col("h").alias("cut"))
+    return stage(ranked.where("cum - c < need AND need <= cum").select(*strata, F.col("h").alias("cut")))
 
 
 def mark_first(
@@ -60,7 +70,7 @@ def mark_first(
     strata = list(strata)
     cuts = take_threshold(df, key, seed, size, strata)
     if strata:
-        joined = lookup_join(df, cuts, strata, null_safe=True)
+        joined = lookup_join(df, cuts, strata, null_safe=True, staged=True)
     else:
         row = cuts.first()  # one row: the cut of the whole table
         joined = df.withColumn("cut", F.lit(row["cut"] if row else None).cast("string"))

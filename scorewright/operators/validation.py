@@ -169,8 +169,10 @@ def table_check_results(df: DataFrame, schema: Schema, keys: Sequence[str] = ())
 def violations(
     df: DataFrame, schema: Schema, row_key: Sequence[str], unique: bool = True
 ) -> DataFrame:
-    """One row per broken row-level rule: six string columns, ``index`` = the row key."""
-    index = F.concat_ws("-", *[F.col(k).cast("string") for k in row_key])
+    """One row per broken row-level rule: six string columns. ``index`` is the row key as text, and of several
+    columns their texts as a JSON list, so that neither nulls nor separators make two keys alike."""
+    parts = [F.col(k).cast("string") for k in row_key]
+    index = parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
     entries = []
     for f in schema.present(df):
         for i, (name, cond) in enumerate(rules(f)):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from scorewright.functions.columns import hash_normal, hash_uniform
 from scorewright.operators.joins import lookup_join
 
 CORRUPT = "_corrupt"
@@ -107,6 +108,41 @@ def yesterday(df: DataFrame, run_date: str, column: str = "event_date") -> DataF
     return df.where(F.col(column) == F.date_sub(F.lit(run_date).cast("date"), 1))
 
 
+def listed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(path, folder, modified) of the files below ``root`` whose names match; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return files.select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.col("modificationTime").alias("modified"))
+
+
+def newest_path(spark: SparkSession, root: str, pattern: str = "*", by: str = "time", folder: bool = False) -> str:
+    """The file below ``root`` that was changed last (``by='time'``, equal times by name) or comes last by
+    name (``by='name'``); with ``folder`` the folder of files that it lies in, as Spark writes tables."""
+    if by not in ("time", "name"):
+        raise ValueError("by is 'time' or 'name'")
+    files = listed(spark, root, pattern)
+    what = "folder" if folder else "path"
+    places = files.groupBy(what).agg(F.max("modified").alias("modified"))
+    order = F.struct("modified", what) if by == "time" else F.col(what)
+    got = places.agg(F.max_by(what, order).alias("path")).first()["path"]
+    if got is None:
+        raise FileNotFoundError(f"no file {pattern} below {root}")
+    return got
+
+
+def newest_version(spark: SparkSession, root: str, column: str = "version") -> str:
+    """The largest value of a partition column, compared as an integer, from the folders' names alone."""
+    value = F.regexp_extract("folder", f"/{column}=([^/]+)", 1)
+    top = listed(spark, root, "[!._]*").select(value.alias("v")).agg(F.max_by("v", F.expr("try_cast(v AS BIGINT)")).alias("v")).first()["v"]
+    if not top:
+        raise FileNotFoundError(f"no partition of {column} below {root}")
+    return top
+
+
+def read_newest_version(spark: SparkSession, root: str, column: str = "version") -> DataFrame:
+    """The rows of the newest version of a table partitioned by ``column``; only its folder is read."""
+    return spark.read.parquet(root).where(F.col(column) == newest_version(spark, root, column))
+
+
 def latest(df: DataFrame, version: str, keys: Sequence[str] = ()) -> DataFrame:
     """All rows of the newest version (compared as an integer), per group when keys are given."""
     number = F.expr(f"try_cast(`{version}` AS BIGINT)")
@@ -133,16 +169,18 @@ def reconstruct_reference(
     seed: int = 42,
     label: str | None = None,
     positive_rate: float = 0.38,
+    keep_id: bool = False,
 ) -> DataFrame:
     """Rows drawn from stored means and deviations when no reference table is kept.
 
-    Features without a mean are skipped; a missing deviation counts as 1.
+    Draws are hashes of row number, feature and seed, the same for any number of partitions. Features
+    without a mean are skipped; a missing deviation counts as 1.
     """
     rows = spark.range(n)
-    for i, (name, s) in enumerate(stats.items()):
+    for name, s in stats.items():
         if isinstance(s, dict) and s.get("mean") is not None:
             std = 1.0 if s.get("std") is None else s["std"]
-            rows = rows.withColumn(name, F.randn(seed + i) * F.lit(float(std)) + F.lit(float(s["mean"])))
+            rows = rows.withColumn(name, hash_normal(["id", F.lit(name)], seed) * F.lit(float(std)) + F.lit(float(s["mean"])))
     if label:
-        rows = rows.withColumn(label, (F.rand(seed - 1) < positive_rate).cast("int"))
-    return rows.drop("id")
+        rows = rows.withColumn(label, (hash_uniform(["id", F.lit(label)], seed) < positive_rate).cast("int"))
+    return rows if keep_id else rows.drop("id")

@@ -152,10 +152,31 @@ def test_lookup_join_paths_agree(spark):
         far = joins.lookup_join(big, look, ["k"], how, max_rows=10)
         order = lambda df: sorted(df.select("id", *(["v"] if "v" in df.columns else [])).collect(), key=str)
         assert order(near) == order(far), how
-    assert len(joins.hot_keys(big, ["k"])) == 1  # the third of all rows that share key 7
+    # the third of all rows that share key 7, cut by its bytes; a key of 0.9% too, if a task is to take less
+    assert list(joins.hot_keys(big, ["k"], 50_000).values()) == [4]
+    assert joins.hot_keys(big, ["k"]) == {} and len(joins.hot_keys(big.where("k <> 7 OR id < 360"), ["k"], 2_000)) == 1
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        assert order(joins.skew_join(big, look, ["k"], how, 2_000).select("id")) == order(big.join(look, "k", how).select("id"))
 
 
 def test_exact_copies_are_salted_apart(spark):
     copies = spark.range(1000).repartition(8).select(F.lit(7).alias("k"))
-    salted = copies.withColumn("s", joins.spread_salt(copies, 32))
+    salted = copies.withColumn("s", joins.spread_salt(copies, F.lit(32)))
     assert salted.select("s").distinct().count() > 1
+
+
+def test_splits_are_the_same_at_every_level_of_refinement(spark, monkeypatch):
+    rows = spark.range(3000).select("id", (F.col("id") % 7 == 0).alias("s"), F.lit(None).cast("string").alias("none"))
+    marked = lambda: {r["id"] for r in S.split(rows, ["id", "none"], 0.2, 42, ["s"]).where("split = 'test'").collect()}
+    at_once = marked()
+    monkeypatch.setattr(S, "DIGITS", 1)
+    monkeypatch.setattr(S, "RANKED_ROWS", 3)
+    assert marked() == at_once and len(at_once) == 86 + 514
+
+
+def test_keys_with_nulls_and_separators_are_told_apart(spark):
+    from scorewright.functions.columns import hash_hex
+
+    rows = spark.createDataFrame([("a-b", "c"), ("a", "b-c"), (None, "a"), ("a", None), (None, None), ("n", "n"), ("", ""), ("1:a", "")], "x string, y string")
+    assert rows.select(hash_hex(["x", "y"], 42)).distinct().count() == 8

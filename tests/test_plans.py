@@ -43,6 +43,8 @@ def test_big_lookups_are_not_broadcast(spark):
     try:
         assert "BroadcastHashJoin" in plan(joins.lookup_join(big, look, ["k"]))
         far = plan(joins.lookup_join(big, look, ["k"], max_rows=10))
-        assert "BroadcastHashJoin" not in far and "_salt" in far
+        assert "BroadcastHashJoin" not in far and "_salt" not in far
+        split = plan(joins.skew_join(big, look, ["k"], task_bytes=1000))
+        assert "BroadcastHashJoin" not in split and "_salt" in split
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

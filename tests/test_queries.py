@@ -15,7 +15,7 @@ from tests.conftest import SF
 
 ORACLES = catalog.ORACLES
 ROWS_ONLY = {
-    "reconstruct_reference", "logreg_fit", "logreg_fit_l1", "logreg_fit_unweighted", "coef_importance",
+    "logreg_fit", "logreg_fit_l1", "logreg_fit_unweighted", "coef_importance",
     "hyperparam_search", "local_surrogate", "objective", "predict_fn",
 }
 
