@@ -16,6 +16,7 @@ from scorewright.operators import irls
 from scorewright.operators import metrics as M
 from scorewright.operators import model as ML
 from scorewright.operators import splits as S
+from scorewright.operators import surrogate as SG
 from scorewright.operators.features import fit_impute, impute
 from scorewright.operators.validation import Field, Schema, at_least, at_most, isin, quarantine
 from scorewright.plans.training import train
@@ -453,4 +454,4 @@ def local_surrogate(spark, sf):
         "c_custkey", (F.col("c_acctbal") / 5000.0).alias("balance"), (F.col("c_nationkey") / 10.0).alias("nation")
     )
     predict = lambda z: sigmoid(z["balance"] * 1.5 - z["nation"] * 0.5)
-    return E.local_surrogate(rows, predict, ["balance", "nation"], ["c_custkey"], top=8)
+    return SG.local_surrogate(rows, predict, ["balance", "nation"], ["c_custkey"], top=8, spread=spark.sparkContext.defaultParallelism)

@@ -9,9 +9,9 @@ from scorewright.catalog.evaluation import CONF
 from scorewright.functions.columns import sigmoid
 from scorewright.functions.plugins import elementwise
 from scorewright.functions.stats import confusion_counts, metric_columns
-from scorewright.operators import explain as E
 from scorewright.operators import model as ML
 from scorewright.operators import splits as S
+from scorewright.operators import surrogate as SG
 
 
 @query(
@@ -50,7 +50,7 @@ def predict_fn(spark, sf):
     def stump(z):
         return F.when(z["size"] > 1.0, sigmoid(z["price"] * 2.0)).otherwise(0.2)
 
-    return E.local_surrogate(rows, stump, ["size", "price"], ["p_partkey"])
+    return SG.local_surrogate(rows, stump, ["size", "price"], ["p_partkey"], spread=spark.sparkContext.defaultParallelism)
 
 
 @query(

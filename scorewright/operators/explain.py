@@ -1,26 +1,16 @@
-"""Linear contributions and local surrogates."""
+"""Linear contributions (for other predictors see ``surrogate``)."""
 
 from __future__ import annotations
 
-import math
-import zlib
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from scorewright.operators.model import LogisticModel
 
-# Report sizes and surrogate defaults.
+# Report sizes.
 TOP_GLOBAL = 10
 TOP_LOCAL = 8
-SURROGATE_SAMPLES = 5000
-KERNEL_FACTOR = 0.75
-RIDGE = 1.0
-# Values drawn for one record of an Arrow batch; bounds the batch for any number of samples and features.
-BLOCK_VALUES = 256
 
 
 def background_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
@@ -113,107 +103,3 @@ def additivity_gap(
 def first_rows(df: DataFrame, row_key: Sequence[str], n: int = 3) -> DataFrame:
     """The first n rows by key: the rows a local report explains."""
     return df.orderBy(*row_key).limit(n)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64: well spread 64-bit words from counters."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def normals(rows: np.ndarray, samples: np.ndarray, feature: str) -> np.ndarray:
-    """Standard normal draws of (row hash, sample number, feature name): Box-Muller on the halves of one word."""
-    start = mixed(rows.astype(np.uint64) ^ np.uint64(zlib.crc32(feature.encode())))
-    bits = mixed(start + samples.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    u = ((bits & np.uint64(0xFFFFFFFF)).astype(float) + 0.5) / 2.0**32
-    v = (bits >> np.uint64(32)).astype(float) / 2.0**32
-    return np.sqrt(-2.0 * np.log(u)) * np.cos(2.0 * math.pi * v)
-
-
-def local_surrogate(
-    df: DataFrame,
-    predict: Callable[[Mapping[str, Column]], Column],
-    features: Sequence[str],
-    row_key: Sequence[str],
-    n_samples: int = SURROGATE_SAMPLES,
-    top: int = TOP_LOCAL,
-    seed: int = 42,
-) -> DataFrame:
-    """Per row a weighted ridge model of ``predict`` around it: rows (row_key, feature, weight).
-
-    The perturbations of a row are drawn from its hash in Arrow batches of bounded blocks, scored and summed
-    to the weighted normal equations in the task that holds the row: only the input rows are shuffled, once, to
-    spread them over all tasks. The small systems are solved in Arrow batches.
-    """
-    features = list(features)
-    width = KERNEL_FACTOR * math.sqrt(len(features))
-    block = max(1, BLOCK_VALUES // len(features))
-    fields = [f"z_{j}" for j in range(len(features))]
-
-    @F.arrow_udf(f"array<struct<{', '.join(f'{c}: double' for c in [*fields, 'w'])}>>")
-    def draws(row: pa.Array, first: pa.Array, *values: pa.Array) -> pa.Array:
-        first = first.to_numpy()
-        sizes = np.minimum(block, n_samples - first)
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.repeat(np.arange(len(first)), sizes)
-        number = first[at] + np.arange(ends[-1]) - ends[at]
-        rows, moved, squares = row.to_numpy()[at], [], np.zeros(ends[-1])
-        for c, v in zip(features, values):
-            d = np.where(number == 0, 0.0, normals(rows, number, c))
-            x = v.to_numpy(zero_copy_only=False)[at]
-            # a missing value stays null
-            moved.append(pa.array(x + d, mask=v.is_null().to_numpy(zero_copy_only=False)[at]))
-            squares += d * d
-        weights = pa.array(np.exp(-squares / (2 * width * width)))
-        return pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.StructArray.from_arrays([*moved, weights], [*fields, "w"])
-        )
-
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*row_key, *[F.col(c).cast("double").alias(c) for c in features]).repartition(tasks, *row_key)
-    blocks = base.select(
-        *row_key,
-        F.xxhash64(*[F.col(k).cast("string") for k in row_key], F.lit(str(seed))).alias("_row"),
-        *features,
-        F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1), F.lit(block))).alias("_first"),
-    )
-    shifted = blocks.select(*row_key, F.inline(draws("_row", "_first", *features)))
-    z = [F.lit(1.0), *[F.col(f"z_{j}") for j in range(len(features))]]
-    p = predict({c: F.col(f"z_{j}") for j, c in enumerate(features)})
-    scored = shifted.withColumn("p", p)
-    d = len(z)
-    pairs = [(a, b) for a in range(d) for b in range(a, d)]
-    sums = scored.groupBy(*row_key).agg(
-        F.array(*[F.sum(F.col("w") * z[a] * z[b]) for a, b in pairs]).alias("gram"),
-        F.array(*[F.sum(F.col("w") * F.col("p") * z[a]) for a in range(d)]).alias("rhs"),
-    )
-
-    @F.pandas_udf("array<double>")
-    def solve(gram: pd.Series, rhs: pd.Series) -> pd.Series:
-        if gram.empty:
-            return pd.Series([], dtype=object)
-        m = len(gram)
-        a = np.zeros((m, d, d))
-        rows, cols = np.array(pairs).T
-        a[:, rows, cols] = a[:, cols, rows] = np.stack(gram.to_numpy())
-        b = np.stack(rhs.to_numpy())
-        penalty = RIDGE * np.diag([0.0] + [1.0] * (d - 1))
-        full = np.linalg.solve(a + penalty, b[..., None])[..., 0]
-        order = np.argsort(-np.abs(full[:, 1:]), axis=1, kind="stable")
-        keep = np.ones((m, d), dtype=bool)
-        np.put_along_axis(keep, order[:, top:] + 1, False, axis=1)
-        both = keep[:, :, None] & keep[:, None, :]
-        sub = np.where(both, a + penalty, np.eye(d))
-        fit = np.linalg.solve(sub, np.where(keep, b, 0.0)[..., None])[..., 0]
-        return pd.Series(list(np.where(keep, fit, np.nan)))
-
-    solved = sums.select(*row_key, solve("gram", "rhs").alias("fit"))
-    out = solved.select(
-        *row_key,
-        F.col("fit")[0].alias("intercept"),
-        F.posexplode(F.slice("fit", 2, d - 1)).alias("j", "weight"),
-    )
-    names = F.array(*[F.lit(c) for c in features])
-    # features outside the top have no weight: NaN arrives as null from Arrow
-    return out.where(F.col("weight").isNotNull()).select(*row_key, names[F.col("j")].alias("feature"), "weight", "intercept")

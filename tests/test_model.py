@@ -10,6 +10,7 @@ from scorewright.operators import model as ML
 from scorewright.plans.scoring import score_table
 from scorewright.plans.training import train
 from scorewright.sources import readers, writers
+from scorewright.operators import surrogate as SG
 from scorewright.streaming import jobs as J
 
 
@@ -104,19 +105,6 @@ def test_additivity(many, trained):
     assert all(abs(a["phi"]) >= abs(b["phi"]) for a, b in zip(rows[:7], rows[1:8]))
 
 
-def test_surrogate_finds_the_slope(spark):
-    df = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, 1.0, -1.0, 0.5)], "id long, a double, b double, c double")
-    line = lambda z: F.lit(0.1) + 0.3 * z["a"] - 0.2 * z["b"]
-    rows = E.local_surrogate(df, line, ["a", "b", "c"], ["id"], n_samples=4000, top=2).collect()
-    assert len(rows) == 4
-    for r in rows:
-        assert r["weight"] == pytest.approx({"a": 0.3, "b": -0.2}[r["feature"]], abs=5e-3)
-        assert r["intercept"] == pytest.approx(0.1, abs=1e-2)
-    again = E.local_surrogate(df.repartition(5), line, ["a", "b", "c"], ["id"], n_samples=4000, top=2).collect()
-    key = lambda rs: sorted((r["id"], r["feature"], round(r["weight"], 9)) for r in rs)
-    assert key(rows) == key(again)
-
-
 def test_csv_quarantine_judges_whole_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,age\n1,22\n2,old\n3\n4,5,6\n")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("age", T.DoubleType())])
@@ -161,43 +149,21 @@ def test_search_and_surrogate_queries_run_the_whole_job(spark, sf, monkeypatch):
     from scorewright.catalog import evaluation, plugins
 
     asked = []
-    real, surrogate = ML.search, E.local_surrogate
+    real, surrogate = ML.search, SG.local_surrogate
 
     def search(*args, n_trials=50, fit_one=None, **kw):
         asked.append(n_trials)
         fixed = lambda rows, t: ML.LogisticModel(tuple(args[2]), (t.C,) * len(args[2]), 0.0)
         return real(*args, n_trials=n_trials, fit_one=fixed, **kw)
 
-    def local(*args, n_samples=E.SURROGATE_SAMPLES, **kw):
+    def local(*args, n_samples=SG.SAMPLES, **kw):
         asked.append(n_samples)
         return surrogate(args[0].limit(3), *args[1:], n_samples=n_samples, **kw)
 
     monkeypatch.setattr(ML, "search", search)
-    monkeypatch.setattr(E, "local_surrogate", local)
+    monkeypatch.setattr(SG, "local_surrogate", local)
     for name in (evaluation.hyperparam_search, plugins.objective):
         assert sorted(r["number"] for r in name(spark, sf).select("number").collect()) == list(range(50))
     for name in (evaluation.local_surrogate, plugins.predict_fn):
         assert name(spark, sf).count() == 6
     assert asked == [50, 50, 5000, 5000]
-
-
-def test_surrogate_draws_every_sample_once():
-    """Blocks tile the samples, draws are standard normal and differ by row, sample and feature."""
-    rows, number = np.repeat(np.array([-7, 12], dtype="int64"), 5000), np.tile(np.arange(5000), 2)
-    a, b = E.normals(rows, number, "a"), E.normals(rows, number, "b")
-    assert len(set(a) | set(b)) == 20000
-    assert abs(a.mean()) < 0.05 and abs(a.std() - 1) < 0.03 and abs(np.corrcoef(a, b)[0, 1]) < 0.05
-
-
-def test_surrogate_equals_brute_force(spark):
-    """The weighted ridge fit over exactly n_samples draws, for a number that is no multiple of the block."""
-    df = spark.createDataFrame([(1, 0.5, -1.0)], "id long, a double, b double")
-    curve = lambda z: z["a"] * z["a"] + z["b"]
-    n = 1001
-    got = {r["feature"]: r["weight"] for r in E.local_surrogate(df, curve, ["a", "b"], ["id"], n_samples=n).collect()}
-    row = np.full(n, df.select(F.xxhash64(F.col("id").cast("string"), F.lit("42"))).first()[0])
-    d = np.stack([np.where(np.arange(n) == 0, 0.0, E.normals(row, np.arange(n), c)) for c in "ab"], axis=1)
-    z = np.column_stack([np.ones(n), d + [0.5, -1.0]])
-    w = np.exp(-(d * d).sum(axis=1) / (2 * E.KERNEL_FACTOR**2 * 2))
-    fit = np.linalg.solve((z * w[:, None]).T @ z + np.diag([0, E.RIDGE, E.RIDGE]), (z * w[:, None]).T @ (z[:, 1] ** 2 + z[:, 2]))
-    assert got["a"] == pytest.approx(fit[1], abs=1e-9) and got["b"] == pytest.approx(fit[2], abs=1e-9)
