@@ -14,8 +14,11 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from scorewright import llm
-from scorewright.llm import pii, secret_scan
+from pyspark.sql import functions as F
+
+from scorewright.llm import langid, pii, secret_scan
 from tests.conftest import SF
+from scorewright.session import stage as written
 from tests.test_queries import rows, same
 
 
@@ -167,7 +170,10 @@ def test_pipeline_equals_brute_force(spark, sf, docs):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
     named = stages["language_id"](spark, table, sf)
-    letters = {d for d, t in docs.items() if any(c.isalpha() for c in t or "")}
+    profiles = langid.fit_profiles(table.where(~langid.held_out(F.col("doc_id"))))
+    told = {d: profiles.predict(t) for d, t in docs.items()}
+    letters = {d for d, (lang, score) in told.items() if lang != "und" and score >= corpus_pipeline.LEAST_SCORE}
+    assert letters == {d for d, t in docs.items() if any(c.isalpha() for c in t or "")}  # clean documents stay
     assert {r[0] for r in named.select("doc_id").collect()} == letters and named.columns == table.columns
     lined = {r["doc_id"]: r["text"] for r in stages["line_dedup"](spark, named, sf).collect()}
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
@@ -187,3 +193,34 @@ def test_pipeline_equals_brute_force(spark, sf, docs):
     assert sorted(r["doc_id"] for r in coded) == sorted(copies)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert all(tuple(r)[1:] == digests(tokenizer, lined[r["doc_id"]]) for r in coded)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row string, gone int"
+
+
+def odd_documents(spark):
+    rows = [(i, f"the house of the man and the dog {i} in the garden of the town\nshared line", "en", "a", 1, "r", 1) for i in range(1, 30)]
+    rows += [(40, None, "en", "a", 1, "r", 1), (41, "", None, None, None, None, None), (42, " \n\t", "en", "a", 1, "r", 1), (None, "the man of the house", "en", None, 1, "r", 1)]
+    rows += [(43, "\u0434\u043e\u043c \u0438 \u0441\u0430\u0434 \u0432 \u0433\u043e\u0440\u043e\u0434\u0435", None, "b", 1, "r", 1), (44, "1234 5678 !!", "en", "b", 1, "r", 1)]
+    rows += [rows[0], rows[0], (5, "the dog of the house and the man in the town", "en", "b", 1, "r", 1)]
+    return spark.createDataFrame(rows, ODD)
+
+
+def test_pipeline_stages_on_odd_documents(spark, sf):
+    docs, n = odd_documents(spark), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, sf))
+        n[name] = docs.count()
+        if name != "bpe":
+            assert docs.columns == [c.split()[0] for c in ODD.split(", ")]
+    assert n["language_id"] == 33 == n["line_dedup"]  # no text, no letter, another script: gone
+    assert 0 < n["near_dedup"] <= 33 and 0 < n["mixing"] and n["mixing"] == n["bpe"]
+    empty = odd_documents(spark).where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        empty = written(stage(spark, empty, sf))
+    assert empty.count() == 0
+
+
+def test_language_stage_without_labels_keeps_what_has_letters(spark, sf):
+    docs = odd_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert dict(corpus_pipeline.STAGES)["language_id"](spark, docs, sf).count() == 34  # two texts without a letter and two empty ones go
