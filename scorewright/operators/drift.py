@@ -70,10 +70,10 @@ def paired_counts(ref, cur, columns, keys=(), cast="double", nulls=False) -> Dat
     )
 
 
-def ecdf_pair(ref, cur, columns, keys=(), mode="auto") -> DataFrame:
+def ecdf_pair(ref, cur, columns, keys=()) -> DataFrame:
     """Both empirical CDFs on the merged value axis of every feature."""
     walk = prefix_sum(
-        paired_counts(ref, cur, columns, keys), ["value"], ["r", "c"], [*keys, "feature"], mode
+        paired_counts(ref, cur, columns, keys), ["value"], ["r", "c"], [*keys, "feature"]
     )
     return walk.withColumns(
         {
@@ -127,18 +127,18 @@ def mixed_counts(ref, cur, numeric, categorical, keys=()) -> DataFrame:
     return pair_counts(sides[0].unionByName(sides[1]), keys)
 
 
-def feature_tests(ref, cur, numeric=(), categorical=(), keys=(), mode="auto") -> DataFrame:
+def feature_tests(ref, cur, numeric=(), categorical=(), keys=()) -> DataFrame:
     """One row per (keys, feature). Numbers: two-sample KS, Wasserstein-1 and both means;
     categories: chi-square homogeneity on the 2 x K table. All features share one pass."""
-    return count_tests(mixed_counts(ref, cur, numeric, categorical, keys), numeric, keys, mode)
+    return count_tests(mixed_counts(ref, cur, numeric, categorical, keys), numeric, keys)
 
 
-def count_tests(counts: DataFrame, numeric: Sequence[str], keys: Sequence[str] = (), mode: str = "auto") -> DataFrame:
+def count_tests(counts: DataFrame, numeric: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """The tests of ``feature_tests`` from counts of both sides.
 
     A feature without a value on a side has no statistic; missing_reference and missing_current
     tell how many rows lack it."""
-    walk = prefix_sum(counts, ["value", "text"], ["r", "c"], [*keys, "feature"], mode)
+    walk = prefix_sum(counts, ["value", "text"], ["r", "c"], [*keys, "feature"])
     r, c = F.col("total_r").cast("double"), F.col("total_c").cast("double")
     gap = F.abs(ratio("cum_r", "total_r", None) - ratio("cum_c", "total_c", None))
     cross = F.col("r") * c - F.col("c") * r
@@ -186,13 +186,12 @@ def drift(
     keys: Sequence[str] = (),
     alpha: float = ALPHA,
     share: float = DRIFT_SHARE,
-    mode: str = "auto",
 ) -> tuple[DataFrame, DataFrame]:
     """(per-feature rows, one dataset row per group)."""
     shared = common_columns(ref, cur, [*numeric, *categorical])
     nums = [c for c in numeric if c in shared]
     cats = [c for c in categorical if c in shared]
-    features = flag_features(feature_tests(ref, cur, nums, cats, keys, mode), alpha)
+    features = flag_features(feature_tests(ref, cur, nums, cats, keys), alpha)
     return features, dataset_drift(features, keys, share)
 
 

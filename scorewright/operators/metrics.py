@@ -35,10 +35,10 @@ def score_counts(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()) ->
     )
 
 
-def midranks(df: DataFrame, y: str, score: str, keys: Sequence[str] = (), mode: str = "auto"):
+def midranks(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()):
     """Distinct scores with their tie-averaged ascending rank."""
     counts = score_counts(df, y, score, keys).withColumn("n", F.col("pos") + F.col("neg"))
-    ranked = prefix_sum(counts, ["score"], ["pos", "neg", "n"], keys, mode)
+    ranked = prefix_sum(counts, ["score"], ["pos", "neg", "n"], keys)
     return ranked.select(
         *keys,
         "score",
@@ -50,11 +50,11 @@ def midranks(df: DataFrame, y: str, score: str, keys: Sequence[str] = (), mode:
     )
 
 
-def roc_auc(df: DataFrame, y: str, score: str, keys: Sequence[str] = (), mode: str = "auto"):
+def roc_auc(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()):
     """Rank-sum AUC, ties at half; null when a class is absent."""
     pos, neg = F.col("total_pos").cast("double"), F.col("total_neg").cast("double")
     return (
-        midranks(df, y, score, keys, mode)
+        midranks(df, y, score, keys)
         .groupBy(*keys)
         .agg(
             F.sum(F.col("pos") * F.col("midrank")).alias("r"),
@@ -103,12 +103,11 @@ def roc(
     score: str,
     keys: Sequence[str] = (),
     drop_collinear: bool = True,
-    mode: str = "auto",
 ) -> DataFrame:
     """Points (keys, fpr, tpr, threshold, fps, tps), the (0, 0) point with an infinite threshold."""
     keys = list(keys)
     down = score_counts(df, y, score, keys).withColumn("down", -F.col("score"))
-    walk = prefix_sum(down, ["down"], ["pos", "neg"], keys, mode)
+    walk = prefix_sum(down, ["down"], ["pos", "neg"], keys)
     if drop_collinear:
         same = (F.col("next.pos") == F.col("pos")) & (F.col("next.neg") == F.col("neg"))
         walk = walk.where(F.col("prev").isNull() | F.col("next").isNull() | ~same)
@@ -134,10 +133,10 @@ def roc(
     return points.unionByName(origin)
 
 
-def auc_trapezoid(df: DataFrame, y: str, score: str, keys: Sequence[str] = (), mode: str = "auto"):
+def auc_trapezoid(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()):
     """Area under the ROC points by trapezoids: each tie group adds one trapezoid."""
     down = score_counts(df, y, score, keys).withColumn("down", -F.col("score"))
-    walk = prefix_sum(down, ["down"], ["pos", "neg"], keys, mode)
+    walk = prefix_sum(down, ["down"], ["pos", "neg"], keys)
     area = F.col("neg") * (2 * F.col("cum_pos") - F.col("pos")) / 2.0
     return (
         walk.groupBy(*keys)

@@ -1,21 +1,25 @@
 """Running sums and exact quantiles that never pull an ordered group into one task.
 
 A plain ``Window.orderBy`` puts a whole group in one task. Here rows are first collapsed
-to distinct values (map-side combined), range-partitioned on (keys, value), staged, and
-summed inside each range; the few groups that straddle ranges get the missing part from
-a table whose size is bounded by the number of ranges.
+to distinct values (map-side combined), range-partitioned and sorted by (keys, value), and scanned
+once in Arrow, carrying the sums along; what the scan gives is staged. Groups that straddle ranges
+then get the missing part from a table of fewer than two rows for each range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from scorewright.operators.joins import lookup_join
 from scorewright.session import stage
 
-SMALL_ROWS = 500_000
 EXACT_BUFFER_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -25,7 +29,6 @@ def prefix_sum(
     order: Sequence[str],
     values: Sequence[str],
     keys: Sequence[str] = (),
-    mode: str = "auto",
 ) -> DataFrame:
     """Running sums over ``counts``, which has one row per (keys, order).
 
@@ -34,24 +37,16 @@ def prefix_sum(
     columns (null at the ends).
     """
     keys, order, values = list(keys), list(order), list(values)
-    if mode not in ("auto", "ranges"):
-        raise ValueError(f"unknown mode {mode!r}")
+    ranged = counts.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    local = stage(ranged.mapInArrow(_scanner(keys, order, values), _scan_schema(counts.schema, order, values)))
+    # One row per (range, group) of the groups that touch a range's border; kept are those cut by one.
     neighbour = F.struct(*order, *values)
-    ranged = stage(
-        counts.repartitionByRange(*keys, *order).withColumn("_pid", F.spark_partition_id())
-    )
-    if mode == "auto" and ranged.count() <= SMALL_ROWS:  # counted from the file footers
-        return _within(ranged.drop("_pid"), keys, order, values, neighbour)
-
-    local = _within(ranged, ["_pid", *keys], order, values, neighbour)
-    pieces = ranged.groupBy("_pid", *keys).agg(
-        *[F.sum(v).alias(f"_sum_{v}") for v in values],
+    pieces = local.where("_edge").groupBy("_pid", *keys).agg(
+        *[F.any_value(f"total_{v}").alias(f"_sum_{v}") for v in values],
         F.min_by(neighbour, F.struct(*order)).alias("_first"),
         F.max_by(neighbour, F.struct(*order)).alias("_last"),
     )
-    # One row per (range, group). With no keys that is one row per range; with keys, only
-    # groups cut by a range border are kept: fewer than two rows per range.
-    by_group = Window.partitionBy(*keys)
+    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
     walk = by_group.orderBy("_pid")
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
     pieces = (
@@ -73,20 +68,67 @@ def prefix_sum(
     joined = joined.withColumn("prev", F.coalesce("prev", "_edge_prev"))
     joined = joined.withColumn("next", F.coalesce("next", "_edge_next"))
     extra = [f"{p}_{v}" for v in values for p in ("_off", "_all")]
-    return joined.drop("_pid", "_edge_prev", "_edge_next", *extra)
-
-
-def _within(df, keys, order, values, neighbour) -> DataFrame:
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    walk = group.orderBy(*order)
-    running = walk.rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(
-        "*",
-        *[F.sum(v).over(running).alias(f"cum_{v}") for v in values],
-        *[F.sum(v).over(group).alias(f"total_{v}") for v in values],
-        F.lag(neighbour).over(walk).alias("prev"),
-        F.lead(neighbour).over(walk).alias("next"),
-    )
+    return joined.drop("_pid", "_edge", "_edge_prev", "_edge_next", *extra)
+
+
+def _scan_schema(given: T.StructType, order: list[str], values: list[str]) -> T.StructType:
+    whole = {v: T.LongType() if isinstance(given[v].dataType, T.IntegralType) else T.DoubleType() for v in values}
+    beside = T.StructType([T.StructField(c, given[c].dataType) for c in (*order, *values)])
+    added = [T.StructField(f"{p}_{v}", whole[v]) for p in ("cum", "total") for v in values]
+    added += [T.StructField("prev", beside), T.StructField("next", beside), T.StructField("_pid", T.IntegerType()), T.StructField("_edge", T.BooleanType())]
+    return T.StructType([*given.fields, *added])
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a sorted column differs from the row before; null equals null and NaN equals NaN."""
+    a, b = column[:-1], column[1:]
+    differ = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+    if pa.types.is_floating(column.type):
+        nan = pc.fill_null(pc.is_nan(column), False).to_numpy(zero_copy_only=False)
+        differ = differ & ~(nan[:-1] & nan[1:])
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    return differ | (null[:-1] != null[1:])
+
+
+def _scanner(keys: list[str], order: list[str], values: list[str]):
+    """Sums along a sorted partition, which is a range of bounded size."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        column = {c: table.column(c).chunk(0) for c in table.column_names}
+        n = table.num_rows
+        first = np.ones(n, bool)
+        if n > 1:
+            first[1:] = False
+            for c in keys:
+                first[1:] |= _changes(column[c])
+        group = np.cumsum(first) - 1
+        cums, totals = [], []
+        for v in values:
+            x = pc.fill_null(column[v], 0).to_numpy(zero_copy_only=False)
+            if x.dtype.kind in "iu":
+                run = np.cumsum(x.astype(np.int64))
+                starts = np.flatnonzero(first)
+                cum = run - np.concatenate([[0], run[starts[1:] - 1]])[group]
+            else:
+                cum = pd.Series(x.astype(float)).groupby(group).cumsum().to_numpy()
+            last = np.concatenate([np.flatnonzero(first)[1:] - 1, [n - 1]])
+            cums.append(pa.array(cum))
+            totals.append(pa.array(cum[last][group]))
+        beside = pa.StructArray.from_arrays([column[c] for c in (*order, *values)], [*order, *values])
+        place, final = np.arange(n), np.append(first[1:], True)
+        prev = beside.take(pa.array(np.maximum(place - 1, 0), mask=first))
+        after = beside.take(pa.array(np.minimum(place + 1, n - 1), mask=final))
+        edge = (group == 0) | (group == group[-1])
+        pid = np.full(n, TaskContext.get().partitionId(), np.int32)
+        names = [*table.column_names, *[f"cum_{v}" for v in values], *[f"total_{v}" for v in values], "prev", "next", "_pid", "_edge"]
+        out = pa.Table.from_arrays([*column.values(), *cums, *totals, prev, after, pa.array(pid), pa.array(edge)], names=names)
+        yield from out.to_batches(max_chunksize=100_000)
+
+    return scan
 
 
 def long_form(

@@ -46,17 +46,16 @@ def brute_auc(y, p):
     return np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
 
 
-@pytest.mark.parametrize("mode", ["auto", "ranges"])
 @pytest.mark.parametrize("levels", [3, 10_000])
-def test_auc_under_ties(spark, mode, levels):
+def test_auc_under_ties(spark, levels):
     rng = np.random.default_rng(levels)
     y, p = rng.integers(0, 2, 400), rng.integers(0, levels, 400) / levels
     df = frame(spark, y.tolist(), (p > 0.5).astype(int).tolist(), p.tolist())
     want = brute_auc(y, p)
-    assert M.roc_auc(df, "y", "p", mode=mode).first()[0] == pytest.approx(want)
-    assert M.auc_trapezoid(df, "y", "p", mode=mode).first()[0] == pytest.approx(want)
+    assert M.roc_auc(df, "y", "p").first()[0] == pytest.approx(want)
+    assert M.auc_trapezoid(df, "y", "p").first()[0] == pytest.approx(want)
     for drop in (True, False):
-        pts = M.roc(df, "y", "p", drop_collinear=drop, mode=mode).orderBy(F.desc("threshold")).collect()
+        pts = M.roc(df, "y", "p", drop_collinear=drop).orderBy(F.desc("threshold")).collect()
         assert (pts[0]["fpr"], pts[0]["tpr"]) == (0.0, 0.0) and math.isinf(pts[0]["threshold"])
         assert (pts[-1]["fpr"], pts[-1]["tpr"]) == (1.0, 1.0)
         area = sum((b["fpr"] - a["fpr"]) * (a["tpr"] + b["tpr"]) / 2 for a, b in zip(pts, pts[1:]))

@@ -3,7 +3,7 @@ import statistics
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from scorewright.operators import ordered as O
 
@@ -25,32 +25,46 @@ def by_group(df):
     return out
 
 
-@pytest.mark.parametrize("keys", [["g"], []])
-def test_ranged_sums_equal_plain_sums(numbers, keys):
-    counts = numbers.where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
-    plain = O.prefix_sum(counts, ["v"], ["n"], keys)
-    ranged = O.prefix_sum(counts, ["v"], ["n"], keys, mode="ranges")
-    order = lambda df: sorted((tuple(r[k] for k in [*keys, "v", "n", "cum_n", "total_n", "prev", "next"]) for r in df.collect()), key=str)
-    assert order(plain) == order(ranged)
+def plain_sums(counts, order, values, keys):
+    """The same by one window per group."""
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    walk, beside = group.orderBy(*order), F.struct(*order, *values)
+    run = walk.rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select(
+        "*", *[F.sum(v).over(run).alias(f"cum_{v}") for v in values], *[F.sum(v).over(group).alias(f"total_{v}") for v in values],
+        F.lag(beside).over(walk).alias("prev"), F.lead(beside).over(walk).alias("next"),
+    )
 
 
-def test_ranged_sums_really_use_several_ranges(spark, numbers):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def same_rows(a, b):
+    assert sorted(a.columns) == sorted(b.columns)
+    rows = lambda df: sorted((tuple(r[c] for c in sorted(a.columns)) for r in df.collect()), key=str)
+    assert rows(a) == rows(b)
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_scanned_sums_equal_plain_sums(spark, numbers, keys, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
     try:
-        counts = numbers.where("v IS NOT NULL").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-        ranged = O.prefix_sum(counts, ["v"], ["n"], ["g"], mode="ranges")
-        plain = O.prefix_sum(counts, ["v"], ["n"], ["g"])
-        key = lambda df: sorted((tuple(r[k] for k in ("g", "v", "cum_n", "total_n", "prev", "next")) for r in df.collect()), key=str)
-        assert key(ranged) == key(plain)
-        pids = O.stage(counts.repartitionByRange("g", "v").withColumn("p", F.spark_partition_id()))
-        assert pids.select("p").distinct().count() > 1
+        counts = numbers.where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(0.5)).alias("x"))
+        same_rows(O.prefix_sum(counts, ["v"], ["n", "x"], keys), plain_sums(counts, ["v"], ["n", "x"], keys))
+        if coalesce == "false":
+            pids = O.stage(counts.repartitionByRange(*keys, "v").withColumn("p", F.spark_partition_id()))
+            assert pids.select("p").distinct().count() > 1
+        same_rows(O.prefix_sum(counts.where("false"), ["v"], ["n", "x"], keys), plain_sums(counts.where("false"), ["v"], ["n", "x"], keys))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_unknown_mode(numbers):
-    with pytest.raises(ValueError):
-        O.prefix_sum(numbers, ["v"], ["v"], mode="other")
+def test_scan_tells_null_and_nan_keys_apart(spark):
+    nan = float("nan")
+    rows = [(None, 1.0, 2), (None, 2.0, 3), (nan, 1.0, 5), (nan, 4.0, 7), (0.0, 1.0, 11), (1.0, None, 13), (1.0, 3.0, 17)]
+    counts = spark.createDataFrame(rows, "g double, v double, n long").repartition(3)
+    got = {(str(r["g"]), r["v"]): (r["cum_n"], r["total_n"]) for r in O.prefix_sum(counts, ["v"], ["n"], ["g"]).collect()}
+    assert got == {
+        ("None", 1.0): (2, 5), ("None", 2.0): (5, 5), ("nan", 1.0): (5, 12), ("nan", 4.0): (12, 12), ("0.0", 1.0): (11, 11), ("1.0", None): (13, 30), ("1.0", 3.0): (30, 30),
+    }
 
 
 @pytest.mark.parametrize("accuracy", [10_000, 100])
@@ -112,8 +126,7 @@ def test_null_group_keys(spark, gaps):
     try:
         counts = gaps.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
         cols = ["g", "v", "cum_n", "total_n", "prev", "next"]
-        ranged = O.prefix_sum(counts, ["v"], ["n"], ["g"], mode="ranges")
-        assert order(ranged, cols) == order(O.prefix_sum(counts, ["v"], ["n"], ["g"]), cols)
+        assert order(O.prefix_sum(counts, ["v"], ["n"], ["g"]), cols) == order(plain_sums(counts, ["v"], ["n"], ["g"]), cols)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     near = O.quantiles(gaps, ["v"], (0.5,), ["g"])
