@@ -159,7 +159,7 @@ def batch_survival_rate(spark, sf):
 def coverage(spark, sf):
     labels = table(spark, sf, "labels")
     joined = FB.label_join(prediction_log(spark, sf), labels, "doc_id", "doc_id", "quality", ["quality"])
-    return FB.coverage(joined)
+    return FB.coverage(joined).drop("timestamp", "message")
 
 
 @query(
