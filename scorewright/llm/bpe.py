@@ -18,8 +18,9 @@ from itertools import chain
 
 #: Bytes that a window holds beyond the lookahead.
 WINDOW = 512
-#: Units of text and pieces of them of which a worker remembers the ids; beyond it the memory starts anew.
-CACHED = 700_000
+#: Bytes (about) that one generation of remembered units and pieces may take; two generations are held.
+MEMORY_BYTES = 40 << 20
+ENTRY_BYTES = 200
 TOKENS_PER_CHUNK = 1 << 16
 
 #: The pre-tokenizer's split pattern: contractions, letters, digits, other marks, white space.
@@ -133,19 +134,25 @@ class ByteBpe:
         by_length = sorted(self.special, key=len, reverse=True)
         self.split = re.compile("|".join(map(re.escape, by_length))) if by_length else None
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def _unit(self, unit: str) -> Iterable[int]:
         """White space and the characters after it; these never share a piece with their neighbours."""
         if len(unit) > UNIT_CHARS:
             return chain.from_iterable(self._long(unit))
-        pieces = self.pieces.findall(unit)
-        if len(pieces) == 1:
-            ids = tuple(self.transducer.piece(unit.encode()))
-        else:
-            ids = tuple(chain.from_iterable(self.known.get(p) or self._unit(p) for p in pieces))
-        if len(self.known) >= CACHED:
+        ids = self.before.get(unit)
+        if ids is None:
+            pieces = self.pieces.findall(unit)
+            if len(pieces) == 1:
+                ids = tuple(self.transducer.piece(unit.encode()))
+            else:
+                ids = tuple(chain.from_iterable(self.known.get(p) or self._unit(p) for p in pieces))
+        if self.held > MEMORY_BYTES:  # the young generation becomes the old one; units seen again come back
+            self.before, self.held = dict(self.known), 0
             self.known.clear()
         self.known[unit] = ids
+        self.held += ENTRY_BYTES + 2 * len(unit) + 8 * len(ids)
         return ids
 
     def _long(self, unit: str) -> Iterator[Iterable[int]]:

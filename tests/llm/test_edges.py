@@ -147,6 +147,14 @@ def test_bpe(odd, empty):
     assert bpe_jobs.round_trip(odd, BYTE).count() == 7 and bpe_jobs.round_trip(empty, BYTE).count() == 0
 
 
+def test_bpe_with_little_memory(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 3_000)
+    tokenizer, coder, rng = Tokenizer.from_file(BYTE), bpe.ByteBpe(BYTE), random.Random(10)
+    texts = [" ".join(rng.choice(["the", "tion", "don't", "x" * 50, "日本", "12"]) + str(rng.randrange(60)) for _ in range(80)) for _ in range(40)]
+    assert [list(coder.encode(t)) for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(coder.known) < 60 and len(coder.before) < 60
+
+
 def test_lookahead_of_small_lists():
     ab, bc = (b"a", b"b"), (b"b", b"c")
     assert bpe.sufficient_lookahead([bc, ab]) == 2 and bpe.sufficient_lookahead([]) == 0
