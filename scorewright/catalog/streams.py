@@ -13,6 +13,8 @@ from scorewright.sources.readers import REQUEST_LOG
 from scorewright.streaming import jobs as J, windows as W
 
 CLOSING = "2999-01-01 00:00:00"
+#: Rows of an arriving file, so that no task of a micro-batch reads many more.
+FILE_ROWS = 100_000
 
 
 def table_stream(spark, sf, name):
@@ -114,7 +116,7 @@ def arrivals(rows, ts, cuts, path):
     marks = [None, *[F.lit(f"{c} 00:00:00Z").cast("timestamp") for c in cuts], None]
     for low, high in zip(marks[:-1], marks[1:]):
         here = (F.lit(True) if low is None else F.col(ts) >= low) & (F.lit(True) if high is None else F.col(ts) < high)
-        rows.where(here).write.mode("append").parquet(path)
+        rows.where(here).write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
         yield
 
 
@@ -144,14 +146,14 @@ def stream_label_join(spark, sf):
     one = spark.range(1)
     preds = preds.unionByName(one.select(F.lit(-1).cast("long").alias("event_id"), far.alias("pred_ts"), F.lit(None).cast("double").alias("value")))
     labels = labels.unionByName(one.select(F.lit(-2).cast("long").alias("label_id"), far.alias("label_ts"), F.lit(None).cast("string").alias("label")))
-    cuts = ["2024-01-08", "2024-01-16", "2024-01-24"]
+    cuts, partitions = ["2024-01-08", "2024-01-16", "2024-01-24"], J.state_partitions(spark, events.count())
     for _ in zip(arrivals(preds, "pred_ts", cuts, f"{root}/preds"), arrivals(labels, "label_ts", cuts, f"{root}/labels")):
         joined = W.late_labels(
             spark.readStream.schema(preds.schema).parquet(f"{root}/preds"), spark.readStream.schema(labels.schema).parquet(f"{root}/labels"),
             "event_id", "pred_ts", "label_id", "label_ts", wait="7 days",
         )
         out = joined.select("event_id", "value", "label")
-        J.run_to_table(out, f"{root}/out", f"{root}/checkpoint")
+        J.run_to_table(out, f"{root}/out", f"{root}/checkpoint", partitions=partitions)
     return spark.read.schema(out.schema).parquet(f"{root}/out").where("event_id >= 0")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -46,11 +47,45 @@ def daily_window(
     )
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
+#: Rows (about) of a whole input for each partition of a stream's state, and bytes of files that one task reads.
+STATE_ROWS = 200_000
+SPLIT_BYTES = 16 << 20
+
+
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions of the state for an input of so many rows; every one is a file to commit in each micro-batch."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
+    """The session with other settings, which are put back at the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", partitions: int | None = None):
     """Process everything available into parquet; returns the progress record of every micro-batch.
 
-    A query keeps its last hundred records only, so they are gathered while it runs.
+    ``partitions`` of the state hold from the first run of a checkpoint on (``state_partitions``), and then a task
+    reads ``SPLIT_BYTES`` of files; without it the session's settings hold. A query keeps its last hundred
+    records only, so they are gathered while it runs.
     """
+    sized = {"spark.sql.shuffle.partitions": partitions, "spark.sql.files.maxPartitionBytes": SPLIT_BYTES} if partitions else {}
+    with settings(stream.sparkSession, sized):
+        return _run_to_table(stream, path, checkpoint, mode)
+
+
+def _run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str):
     query = (
         stream.writeStream.outputMode(mode)
         .format("parquet")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -97,9 +96,6 @@ def dedupe(rows: DataFrame, key: Sequence[str], ts: str, within: str = "1 hour",
     return sessions.agg(pick.alias("_row")).select("_row.*")
 
 
-STATE = "pred string, pred_us long, label string, label_us long, waiting string"
-
-
 def late_labels(
     preds: DataFrame,
     labels: DataFrame,
@@ -112,50 +108,32 @@ def late_labels(
 ) -> DataFrame:
     """Every prediction once, with the newest of its labels that lies within ``wait`` after it.
 
-    Per key the state holds the prediction and the newest label, and a timer: when the watermark has
-    passed the end of ``wait``, the pair (or the prediction alone) is emitted and the state dropped. Labels
-    that come before their prediction wait for it until it would be late. Equal times go by the label's
-    columns, so the rows are the same for any batch size and order. A key names one prediction: copies of
-    it are one. Null keys match nothing and are left out; put them aside before.
+    A stream-stream join meets predictions and labels in either order and gives up a prediction without a
+    label when the watermark has passed the end of ``wait``; what it pairs is one row for each prediction: the
+    earliest copy of a key with its newest label, copies being those of which each follows another within
+    ``wait``. Equal times go by the columns, so the rows are the same for any batch size and order. A key
+    names one prediction. Null keys match nothing and are left out, as are rows without an event time; put
+    them aside before.
     """
     wait_us = pd.Timedelta(wait) // pd.Timedelta(1, "us")
-
-    def side(df: DataFrame, kind: int, id_col: str, ts: str) -> DataFrame:
-        near = F.least(F.col(ts), F.lit("2262-01-01 00:00:00Z").cast("timestamp"))  # pandas knows no later time
-        return df.where(F.col(id_col).isNotNull()).withColumn("_ts", near).withWatermark("_ts", late).select(
-            "_ts", F.col(id_col).cast("string").alias("_key"), F.lit(kind).alias("_kind"),
-            F.unix_micros(ts).alias("_us"), F.to_json(F.struct(*df.columns), JSON).alias("_row"),
-        )
-
-    def step(_, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            pred, _, label, *_ = state.get
-            state.remove()
-            if pred is not None:
-                yield pd.DataFrame({"pred": [pred], "label": [label]})
-            return
-        pred, pred_us, label, label_us, waiting = state.get if state.exists else (None,) * 5
-        pending = json.loads(waiting) if waiting else []
-        for frame in frames:
-            for kind, us, row in zip(frame["_kind"].tolist(), frame["_us"].tolist(), frame["_row"].tolist()):
-                if kind:
-                    pending.append([us, row])
-                elif pred is None or (us, row) < (pred_us, pred):
-                    pred, pred_us = row, us
-        if pred is not None:
-            for us, row in pending:
-                if pred_us <= us <= pred_us + wait_us and (label is None or (us, row) > (label_us, label)):
-                    label, label_us = row, us
-            pending, until = [], pred_us + wait_us
-        else:
-            until = max(us for us, _ in pending)
-        state.update((pred, pred_us, label, label_us, json.dumps(pending) if pending else None))
-        state.setTimeoutTimestamp(max(-(-until // 1000), state.getCurrentWatermarkMs() + 1))
-
-    both = side(preds, 0, key, pred_ts).unionByName(side(labels, 1, label_key, label_ts))
-    paired = both.groupBy("_key").applyInPandasWithState(step, "pred string, label string", STATE, "append", "EventTimeTimeout")
-    p, label = (F.from_json(c, T.StructType(df.schema.fields), JSON).alias(c) for c, df in (("pred", preds), ("label", labels)))
-    return paired.select(p, label).select("pred.*", "label.*")
+    # The join's own range adds days by the calendar of the session's zone: a day more covers every clock change.
+    reach = wait_us // 1_000_000 + 1 + (86_400 if wait_us >= 86_400_000_000 else 0)
+
+    def side(df: DataFrame, name: str, id_col: str, ts: str) -> DataFrame:
+        there = df.where(F.col(id_col).isNotNull() & F.col(ts).isNotNull())
+        named = there.select(F.col(id_col).cast("string").alias(f"_{name}_key"), F.col(ts).alias(f"_{name}_at"), F.struct(*df.columns).alias(f"_{name}"))
+        return named.withWatermark(f"_{name}_at", late)
+
+    near = f"_pred_key = _label_key AND _label_at >= _pred_at AND _label_at <= _pred_at + INTERVAL '{reach}' SECOND"
+    within = F.expr(near) & (F.unix_micros("_label_at") <= F.unix_micros("_pred_at") + wait_us)
+    pairs = side(preds, "pred", key, pred_ts).join(side(labels, "label", label_key, label_ts), within, "left")
+    pairs.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    age = -F.unix_micros("_pred_at")
+    earliest = F.min_by("_pred", F.struct("_pred_at", F.to_json("_pred", JSON)))
+    # Copies of one time have the same labels, so the earliest time decides.
+    newest = F.max_by("_label", F.struct(age, "_label_at", F.to_json("_label", JSON)))
+    copies = pairs.groupBy(F.session_window("_pred_at", wait).alias("_session"), "_pred_key")
+    return copies.agg(earliest.alias("_pred"), newest.alias("_label")).select("_pred.*", "_label.*")
 
 
 def part_late(rows: DataFrame, ts: str, late: str, path: str, checkpoint: str) -> None:

@@ -126,3 +126,23 @@ def test_each_window_is_reported_once_from_all_its_batches(spark, tmp_path):
             assert all(g[c] == pytest.approx(w[c]) if isinstance(w[c], float) else g[c] == w[c] for c in w.asDict())
     merged = spark.read.parquet(f"{tmp_path}/counts").where(F.col("window_start") < F.lit(FAR)).agg(F.sum("n")).first()[0]
     assert merged == 2 * len(cur)
+
+
+def test_labels_meet_predictions_in_spark_and_state_is_sized_by_rows(spark, tmp_path):
+    """Keys aren't walked in Python, copies of other times are one prediction, and the state has the partitions asked for."""
+    preds = [("a", at(30), 0.5, "copy"), ("a", at(0), 0.25, "first"), ("b", at(0), 1.0, None), (None, at(0), 1.0, None), ("c", None, 1.0, None)]
+    labels = [("a", at(60 * 24), 1), ("a", at(60 * 24 + 10), 2), ("b", at(60 * 24) + datetime.timedelta(microseconds=1), 3)]
+    spark.createDataFrame([*preds, FAR_PRED], PREDS).write.parquet(f"{tmp_path}/preds")
+    spark.createDataFrame([*labels, FAR_LABEL], LABELS).write.parquet(f"{tmp_path}/labels")
+    joined = W.late_labels(
+        spark.readStream.schema(PREDS).parquet(f"{tmp_path}/preds"), spark.readStream.schema(LABELS).parquet(f"{tmp_path}/labels"),
+        "key", "pred_ts", "label_key", "label_ts", wait="1 day",
+    )
+    assert "InPandas" not in joined._jdf.queryExecution().analyzed().toString()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    progress = J.run_to_table(joined, f"{tmp_path}/out", f"{tmp_path}/cp", partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert {op["numShufflePartitions"] for p in progress for op in p["stateOperators"]} == {3}
+    got = {tuple(r)[:1] + tuple(r)[2:4] + tuple(r)[6:] for r in spark.read.schema(joined.schema).parquet(f"{tmp_path}/out").where("key <> 'far'").collect()}
+    assert got == {("a", 0.25, "first", 1), ("b", 1.0, None, None)}
+    assert J.state_partitions(spark, 10**9) == 5000
