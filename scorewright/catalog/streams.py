@@ -13,8 +13,6 @@ from scorewright.sources.readers import REQUEST_LOG
 from scorewright.streaming import jobs as J, windows as W
 
 CLOSING = "2999-01-01 00:00:00"
-#: Rows of an arriving file, so that no task of a micro-batch reads many more.
-FILE_ROWS = 100_000
 
 
 def table_stream(spark, sf, name):
@@ -116,7 +114,7 @@ def arrivals(rows, ts, cuts, path):
     marks = [None, *[F.lit(f"{c} 00:00:00Z").cast("timestamp") for c in cuts], None]
     for low, high in zip(marks[:-1], marks[1:]):
         here = (F.lit(True) if low is None else F.col(ts) >= low) & (F.lit(True) if high is None else F.col(ts) < high)
-        rows.where(here).write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+        rows.where(here).write.mode("append").option("maxRecordsPerFile", W.FILE_ROWS).parquet(path)
         yield
 
 
@@ -167,10 +165,10 @@ def stream_dedupe(spark, sf):
         "event_id", F.timestamp_micros(F.unix_micros("ts") + F.col("c.after").cast("long") * 60_000_000).alias("ts"),
         "event_type", "value", F.col("c.copy").alias("copy"),
     )
-    rows = rows.unionByName(closing_row(spark, rows))
+    rows, partitions = rows.unionByName(closing_row(spark, rows)), J.state_partitions(spark, 3 * events.count())
     for _ in arrivals(rows, "ts", ["2024-01-10", "2024-01-20"], f"{root}/in"):
         unique = W.dedupe(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), ["event_id"], "ts", within="1 hour")
-        J.run_to_table(unique, f"{root}/out", f"{root}/checkpoint")
+        J.run_to_table(unique, f"{root}/out", f"{root}/checkpoint", partitions=partitions)
     done = spark.read.schema(rows.schema).parquet(f"{root}/out").where("event_id >= 0")
     return done.withColumn("ts", utc_ntz("ts"))
 
@@ -219,12 +217,12 @@ def stream_late_data(spark, sf):
     events = table(spark, sf, "events").select("event_id", instant().alias("ts"))
     no_time = events.where("event_id % 10 = 0").withColumn("ts", F.lit(None).cast("timestamp"))
     for arriving in (events.where(F.col("ts") >= cut), events.where(F.col("ts") < cut).unionByName(no_time)):
-        arriving.write.mode("append").parquet(f"{root}/in")
+        arriving.write.mode("append").option("maxRecordsPerFile", W.FILE_ROWS).parquet(f"{root}/in")
         stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
         W.part_late(stream, "ts", "1 hour", f"{root}/parted", f"{root}/checkpoint")
     closing_row(spark, events).write.parquet(f"{root}/parted/rows/epoch=closing/is_late=false")
     kept = W.dedupe(W.stream_on_time(spark, f"{root}/parted", events.schema), ["event_id"], "ts")
-    progress = J.run_to_table(kept, f"{root}/out", f"{root}/deduped")
+    progress = J.run_to_table(kept, f"{root}/out", f"{root}/deduped", partitions=J.state_partitions(spark, events.count()))
     if J.late_rows_dropped(progress):
         raise RuntimeError("the stateful step dropped rows that were found on time")
     done = spark.read.schema(events.schema).parquet(f"{root}/out").where("event_id >= 0").withColumn("is_late", F.lit(False))

@@ -13,6 +13,9 @@ from scorewright.session import stage
 #: Everything of a row in one string and back, to the microsecond.
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 
+#: Rows of a file that a stream is to read: so the rows that one task of a micro-batch sorts are bounded.
+FILE_ROWS = 100_000
+
 
 def closed_window_counts(
     rows: DataFrame,
@@ -155,7 +158,7 @@ def part_late(rows: DataFrame, ts: str, late: str, path: str, checkpoint: str) -
             border = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {late}")
         behind = F.col(ts).isNull() | F.coalesce(F.col(ts) < border, F.lit(False))
         here = f"{path}/rows/epoch={epoch}"
-        batch.withColumn("is_late", behind).write.mode("overwrite").partitionBy("is_late").parquet(here)
+        batch.withColumn("is_late", behind).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("is_late").parquet(here)
         written = spark.read.schema(batch.schema).parquet(here)
         written.agg(F.max(F.col(ts).cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(f"{path}/marks/epoch={epoch}")
 

@@ -146,3 +146,17 @@ def test_labels_meet_predictions_in_spark_and_state_is_sized_by_rows(spark, tmp_
     got = {tuple(r)[:1] + tuple(r)[2:4] + tuple(r)[6:] for r in spark.read.schema(joined.schema).parquet(f"{tmp_path}/out").where("key <> 'far'").collect()}
     assert got == {("a", 0.25, "first", 1), ("b", 1.0, None, None)}
     assert J.state_partitions(spark, 10**9) == 5000
+
+
+def test_arriving_files_and_state_partitions_follow_the_rows(spark, sf, tmp_path, monkeypatch):
+    from scorewright.catalog import streams as C
+
+    monkeypatch.setattr(W, "FILE_ROWS", 100)
+    rows = spark.range(0, 1000, 1, 1).select("id", F.timestamp_seconds("id").alias("ts"))
+    assert len(list(C.arrivals(rows, "ts", [], f"{tmp_path}/in"))) == 1
+    files = spark.read.parquet(f"{tmp_path}/in").groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 10 and all(r["count"] == 100 for r in files)
+    asked, run = [], J.run_to_table
+    monkeypatch.setattr(J, "STATE_ROWS", 100)
+    monkeypatch.setattr(J, "run_to_table", lambda *a, **k: asked.append(k.get("partitions")) or run(*a, **k))
+    assert C.stream_dedupe(spark, sf).count() == 1000 and asked == [30] * 3
