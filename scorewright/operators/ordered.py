@@ -2,8 +2,8 @@
 
 A plain ``Window.orderBy`` puts a whole group in one task. Here rows are first collapsed
 to distinct values (map-side combined), range-partitioned and sorted by (keys, value), and scanned
-once in Arrow, carrying the sums along; what the scan gives is staged. Groups that straddle ranges
-then get the missing part from a table of fewer than two rows for each range.
+once in Arrow, in small ranges of bounded memory each; what the scan gives is staged. Groups that
+straddle small ranges then get the missing part from a table of at most two rows for each.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from scorewright.session import stage
 
 EXACT_BUFFER_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
+#: Rows and bytes (about) of a small range: what a scanning task holds at once.
+SMALL_ROWS = 100_000
+SMALL_BYTES = 16 << 20
 
 
 def prefix_sum(
@@ -39,7 +42,7 @@ def prefix_sum(
     keys, order, values = list(keys), list(order), list(values)
     ranged = counts.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     local = stage(ranged.mapInArrow(_scanner(keys, order, values), _scan_schema(counts.schema, order, values)))
-    # One row per (range, group) of the groups that touch a range's border; kept are those cut by one.
+    # One row per (small range, group) of the groups that touch its border; kept are those cut by one.
     neighbour = F.struct(*order, *values)
     pieces = local.where("_edge").groupBy("_pid", *keys).agg(
         *[F.any_value(f"total_{v}").alias(f"_sum_{v}") for v in values],
@@ -75,7 +78,7 @@ def _scan_schema(given: T.StructType, order: list[str], values: list[str]) -> T.
     whole = {v: T.LongType() if isinstance(given[v].dataType, T.IntegralType) else T.DoubleType() for v in values}
     beside = T.StructType([T.StructField(c, given[c].dataType) for c in (*order, *values)])
     added = [T.StructField(f"{p}_{v}", whole[v]) for p in ("cum", "total") for v in values]
-    added += [T.StructField("prev", beside), T.StructField("next", beside), T.StructField("_pid", T.IntegerType()), T.StructField("_edge", T.BooleanType())]
+    added += [T.StructField("prev", beside), T.StructField("next", beside), T.StructField("_pid", T.LongType()), T.StructField("_edge", T.BooleanType())]
     return T.StructType([*given.fields, *added])
 
 
@@ -90,14 +93,33 @@ def _changes(column: pa.Array) -> np.ndarray:
     return differ | (null[:-1] != null[1:])
 
 
+def _small_ranges(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[list[pa.RecordBatch]]:
+    """The batches in lists of ``rows`` rows at most, ended after ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    n = used = 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, rows - n)
+            held.append(part)
+            at, n, used = at + part.num_rows, n + part.num_rows, used + part.nbytes
+            if n >= rows or used >= size:
+                yield held
+                held, n, used = [], 0, 0
+    if held:
+        yield held
+
+
 def _scanner(keys: list[str], order: list[str], values: list[str]):
-    """Sums along a sorted partition, which is a range of bounded size."""
+    """Sums along a sorted partition, one small range after another; ``_pid`` numbers these in order."""
+    rows, size = SMALL_ROWS, SMALL_BYTES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
+        base = TaskContext.get().partitionId() << 32
+        for number, held in enumerate(_small_ranges(batches, rows, size)):
+            yield from sums(pa.Table.from_batches(held).combine_chunks(), base + number)
+
+    def sums(table: pa.Table, number: int) -> Iterator[pa.RecordBatch]:
         column = {c: table.column(c).chunk(0) for c in table.column_names}
         n = table.num_rows
         first = np.ones(n, bool)
@@ -123,7 +145,7 @@ def _scanner(keys: list[str], order: list[str], values: list[str]):
         prev = beside.take(pa.array(np.maximum(place - 1, 0), mask=first))
         after = beside.take(pa.array(np.minimum(place + 1, n - 1), mask=final))
         edge = (group == 0) | (group == group[-1])
-        pid = np.full(n, TaskContext.get().partitionId(), np.int32)
+        pid = np.full(n, number, np.int64)
         names = [*table.column_names, *[f"cum_{v}" for v in values], *[f"total_{v}" for v in values], "prev", "next", "_pid", "_edge"]
         out = pa.Table.from_arrays([*column.values(), *cums, *totals, prev, after, pa.array(pid), pa.array(edge)], names=names)
         yield from out.to_batches(max_chunksize=100_000)

@@ -2,6 +2,7 @@ import math
 import statistics
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -138,3 +139,16 @@ def test_null_group_keys(spark, gaps):
     picked = S.split(rows, ["id"], 0.2, 1, ["g"]).where("split = 'test'").groupBy("g").count().collect()
     assert sorted(r["count"] for r in picked) == [200, 200, 200]
     assert D.mean_shift(gaps, gaps, ["v"], ["g"]).count() == 3
+
+
+@pytest.mark.parametrize("limit", [{"SMALL_ROWS": 7}, {"SMALL_BYTES": 1}])
+def test_a_scan_holds_small_ranges_only(spark, numbers, monkeypatch, limit):
+    for name, value in limit.items():
+        monkeypatch.setattr(O, name, value)
+    held = list(O._small_ranges(iter([pa.RecordBatch.from_pydict({"a": list(range(k, k + 10))}) for k in (0, 10, 20)]), O.SMALL_ROWS, O.SMALL_BYTES))
+    assert [x for part in held for b in part for x in b.column("a").to_pylist()] == list(range(30))
+    assert [sum(b.num_rows for b in part) for part in held] == ([7, 7, 7, 7, 2] if "SMALL_ROWS" in limit else [10, 10, 10])
+    counts = numbers.where("v IS NOT NULL").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(0.5)).alias("x")).coalesce(1)
+    for keys in (["g"], []):
+        mine = counts if keys else counts.groupBy("v").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+        same_rows(O.prefix_sum(mine, ["v"], ["n", "x"], keys), plain_sums(mine, ["v"], ["n", "x"], keys))
