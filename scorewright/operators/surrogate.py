@@ -88,27 +88,45 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=64)
+def _counters(n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def uniforms(row: int, n: int, feature: str) -> tuple[np.ndarray, np.ndarray]:
     """Two uniform draws in (0, 1) for each of n samples, from row hash, sample number and feature name."""
     with np.errstate(over="ignore"):
         start = mixed(np.array([row], np.int64).astype(np.uint64) ^ np.uint64(zlib.crc32(feature.encode())))
-        bits = mixed(start + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        bits = mixed(start + _counters(n))
     return ((bits & np.uint64(0xFFFFFFFF)).astype(float) + 0.5) / 2.0**32, ((bits >> np.uint64(32)).astype(float) + 0.5) / 2.0**32
 
 
+#: Steps of the table of normal quantiles.
+STEPS = 2**15
+
+
 @lru_cache(maxsize=1)
 def _normal_table() -> tuple[np.ndarray, np.ndarray]:
-    """Quantiles of the standard normal at 2**15 equal steps of probability."""
-    p = (np.arange(2**15) + 0.5) / 2**15
-    return p, np.array([NormalDist().inv_cdf(x) for x in p])
+    """Quantiles of the standard normal at the middles of equal steps of probability, and their differences."""
+    q = np.array([NormalDist().inv_cdf(x) for x in (np.arange(STEPS) + 0.5) / STEPS])
+    return q, np.append(np.diff(q), 0.0)
 
 
 def _cdf(z: float) -> float:
     return 0.5 * (1.0 + math.erf(z / math.sqrt(2.0)))
 
 
+@lru_cache(maxsize=1024)
+def _bin_tables(background: Background, j: int) -> tuple[np.ndarray, ...]:
+    """Of a feature's bins: upper ends of their shares, then place and width in the normal table, mean, deviation, bounds."""
+    shares, m, s, lo, hi = (np.array(getattr(background, k)[j], float) for k in ("shares", "means", "stds", "lows", "highs"))
+    a, z = (np.array([_cdf(x) for x in (end - m) / s]) for end in (lo, hi))
+    return np.cumsum(shares)[:-1], a * STEPS - 0.5, (z - a) * STEPS, m, s, lo, hi
+
+
 def bins_of(background: Background, j: int, u: np.ndarray) -> np.ndarray:
-    return np.minimum(np.searchsorted(np.cumsum(background.shares[j]), u, side="right"), len(background.shares[j]) - 1)
+    return np.searchsorted(_bin_tables(background, j)[0], u, side="right")
 
 
 def own_bin(background: Background, j: int, value: float | None) -> int:
@@ -118,29 +136,38 @@ def own_bin(background: Background, j: int, value: float | None) -> int:
 
 def draw(background: Background, row: int, values: Sequence[float | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, in the row's own bin) of n samples, both n x features; the first sample is the row itself."""
-    drawn, same = np.empty((n, len(values))), np.empty((n, len(values)), bool)
-    p, q = _normal_table()
+    drawn, same = np.empty((n, len(values)), order="F"), np.empty((n, len(values)), bool, order="F")
+    q, step = _normal_table()
     for j, (c, x) in enumerate(zip(background.features, values)):
         u, v = uniforms(row, n, c)
         bins = bins_of(background, j, u)
-        for b in range(len(background.shares[j])):
-            here = bins == b
-            m, s, lo, hi = (getattr(background, k)[j][b] for k in ("means", "stds", "lows", "highs"))
-            a, z = _cdf((lo - m) / s), _cdf((hi - m) / s)
-            drawn[here, j] = np.clip(np.interp(a + v[here] * (z - a), p, q) * s + m, lo, hi)
+        a, width, m, s, lo, hi = (t[bins] for t in _bin_tables(background, j)[1:])
+        at = np.clip(a + v * width, 0.0, STEPS - 1.0)
+        k = at.astype(np.intp)
+        drawn[:, j] = np.clip((q[k] + (at - k) * step[k]) * s + m, lo, hi)
         same[:, j] = bins == own_bin(background, j, x)
         drawn[0, j], same[0, j] = (np.nan if x is None else x), x is not None and not math.isnan(x)
     return drawn, same
 
 
+def own_bins(background: Background, row: int, values: Sequence[float | None], n: int) -> np.ndarray:
+    """The second part of ``draw`` alone."""
+    same = np.empty((n, len(values)), bool, order="F")
+    for j, (c, x) in enumerate(zip(background.features, values)):
+        same[:, j] = bins_of(background, j, uniforms(row, n, c)[0]) == own_bin(background, j, x)
+        same[0, j] = x is not None and not math.isnan(x)
+    return same
+
+
 def solve(same: np.ndarray, p: np.ndarray, top: int) -> tuple[float, np.ndarray, float]:
     """(intercept, weights, fit): the weighted ridge model of predictions ``p`` on the ``top`` chosen features, NaN
     for the others. Samples without a prediction are left out; fit is the share of variance explained."""
     n, d = same.shape
     width2 = KERNEL_FACTOR**2 * d
-    w = np.sqrt(np.exp(-(d - same.sum(axis=1)) / width2))
-    ok = ~np.isnan(p)
-    x, y, w = same[ok].astype(float), p[ok], w[ok]
+    w = np.sqrt(np.exp(-(d - np.arange(d + 1)) / width2))[same.sum(axis=1)]
+    x, y, ok = same.astype(float), p, ~np.isnan(p)
+    if not ok.all():
+        x, y, w = x[ok], p[ok], w[ok]
     out = np.full(d, np.nan)
     if not len(y):
         return math.nan, out, math.nan
@@ -223,7 +250,7 @@ def local_surrogate(
             found: list[list] = [[] for _ in result]
             take: list[int] = []
             for k, ((row, values), p) in enumerate(zip(rows_of(batch), batch.column("_p"))):
-                same = draw(known, row, values, n_samples)[1]
+                same = own_bins(known, row, values, n_samples)
                 intercept, weights, share = solve(same, p.values.to_numpy(zero_copy_only=False), top)
                 for j in np.flatnonzero(~np.isnan(weights)):
                     b = own_bin(known, j, values[j])

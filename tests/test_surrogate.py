@@ -122,3 +122,15 @@ def test_the_feature_that_matters_has_the_weight(table):
     by = {(r["id"], r["feature"]): abs(r["weight"]) for r in got}
     for i, _ in itertools.groupby(sorted(k[0] for k in by)):
         assert by[i, "a"] > 0.2 and by[i, "b"] < 0.1 and by[i, "c"] < 0.1
+
+
+def test_own_bins_are_those_of_the_draws_without_drawing_values(spark, table, monkeypatch):
+    known = SG.fit_background(table, ["a", "b", "c"])
+    for values in ([0.5, 0.2, 1.0], [None, float("nan"), 2.0]):
+        assert (SG.own_bins(known, 5, values, 3000) == SG.draw(known, 5, values, 3000)[1]).all()
+    at = np.random.default_rng(1).random(3000)
+    q, step = SG._normal_table()
+    p = (np.arange(SG.STEPS) + 0.5) / SG.STEPS
+    place = np.clip(at * SG.STEPS - 0.5, 0.0, SG.STEPS - 1.0)
+    k = place.astype(int)
+    assert np.allclose(q[k] + (place - k) * step[k], np.interp(at, p, q), rtol=1e-12, atol=1e-12)
