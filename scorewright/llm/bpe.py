@@ -14,7 +14,7 @@ import codecs
 import json
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 #: Bytes that a window holds beyond the lookahead.
 WINDOW = 512
@@ -29,6 +29,8 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 WHITE = r"\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 UNIT_CHARS = 4096
+#: The ids of a text of so many characters may be held as one list.
+LIST_CHARS = 1 << 18
 
 
 def byte_letters() -> dict[str, int]:
@@ -67,20 +69,22 @@ class Transducer:
             self.rule.setdefault(ids[left] << self.shift | ids[right], rank << self.shift | ids[left + right])
         self.none = len(merges) << self.shift
         self.mask = (1 << self.shift) - 1
+        #: What ``rule`` says of two bytes.
+        self.first = [[self.none if None in (a, b) else self.rule.get(a << self.shift | b, self.none) for b in self.start] for a in self.start]
 
     def merge(self, piece: bytes) -> list[int]:
         """All merges over one window: the lowest rank first, the leftmost of equal ranks first."""
-        parts = [self.start[b] for b in piece]
+        parts = list(map(self.start.__getitem__, piece))
         find, none, shift, mask = self.rule.get, self.none, self.shift, self.mask
-        found = [find(a << shift | b, none) for a, b in zip(parts, parts[1:])]
+        found = [after[b] for after, b in zip(map(self.first.__getitem__, piece), piece[1:])]
         while found:
             least = min(found)
             if least == none:
                 break
             i = found.index(least)
             made = least & mask
-            parts[i : i + 2] = [made]
-            del found[i]
+            parts[i] = made
+            del parts[i + 1], found[i]
             if i:
                 found[i - 1] = find(parts[i - 1] << shift | made, none)
             if i < len(found):
@@ -147,7 +151,15 @@ class ByteBpe:
             if len(pieces) == 1:
                 ids = tuple(self.transducer.piece(unit.encode()))
             else:
-                ids = tuple(chain.from_iterable(self.known.get(p) or self._unit(p) for p in pieces))
+                ids = tuple(chain.from_iterable(self.known.get(p) or self._piece(p) for p in pieces))
+        return self._keep(unit, ids)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        """One of a unit's several pieces."""
+        ids = self.before.get(piece)
+        return self._keep(piece, tuple(self.transducer.piece(piece.encode())) if ids is None else ids)
+
+    def _keep(self, unit: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if self.held > MEMORY_BYTES:  # the young generation becomes the old one; units seen again come back
             self.before, self.held = dict(self.known), 0
             self.known.clear()
@@ -182,9 +194,15 @@ class ByteBpe:
 
     def encode_chunks(self, text: str) -> Iterator[list[int]]:
         """Ids in lists of bounded length."""
-        from itertools import islice
-
-        ids = self.encode(text) if self.split and self.split.search(text) else chain.from_iterable(self._plain(text))
+        special = self.split and self.split.search(text)
+        if not special and len(text) <= LIST_CHARS:  # no more ids than bytes
+            whole: list[int] = []
+            get, unit, add = self.known.get, self._unit, whole.extend
+            for u in UNIT.findall(text):
+                add(get(u) or unit(u))
+            yield from (whole[i : i + TOKENS_PER_CHUNK] for i in range(0, len(whole), TOKENS_PER_CHUNK))
+            return
+        ids = self.encode(text) if special else chain.from_iterable(self._plain(text))
         while part := list(islice(ids, TOKENS_PER_CHUNK)):
             yield part
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -18,7 +19,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, text_col: str = "text", ids: s
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = byte_bpe(tokenizer)
         for batch in texts:
-            yield pd.Series([list(coder.encode(t or "")) for t in batch], index=batch.index, dtype=object)
+            yield pd.Series([list(chain.from_iterable(coder.encode_chunks(t or ""))) for t in batch], index=batch.index, dtype=object)
 
     return docs.withColumn(ids, encode(F.col(text_col)))
 

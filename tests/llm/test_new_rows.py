@@ -190,3 +190,26 @@ def test_files_of_one_id(spark):
     assert max(p[1] for p in files.parts) < 2000
     ids = [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])]
     assert ids == sorted(ids, key=lambda i: (i is not None, i))
+
+
+def test_lists_of_ids_equal_the_library_and_the_stream_of_ids(monkeypatch):
+    """Short texts' ids come as one list, longer ones' as a stream; both are the library's."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from scorewright.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, coder = Tokenizer.from_file(path), bpe.ByteBpe(path)
+    library.no_truncation()
+    library.no_padding()
+    assert coder.transducer.first[ord("t")][ord("h")] == coder.transducer.rule[coder.transducer.start[ord("t")] << coder.transducer.shift | coder.transducer.start[ord("h")]]
+    texts = ["", " ", "a  b\n\n c", "Reonier oucheaué,\nHehend's 12,5 &&&### x", "l'été — ofansttionor… 東京\x85　 ", "thear " * 300 + "x" * 5000]
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).ids
+        for limit, chunk in ((1 << 18, 1 << 16), (0, 1 << 16), (1 << 18, 3)):
+            monkeypatch.setattr(bpe, "LIST_CHARS", limit)
+            monkeypatch.setattr(bpe, "TOKENS_PER_CHUNK", chunk)
+            parts = list(coder.encode_chunks(text))
+            assert sum(parts, []) == want and all(0 < len(p) <= chunk for p in parts)
+        assert list(coder.encode(text)) == want
