@@ -167,3 +167,24 @@ def test_search_and_surrogate_queries_run_the_whole_job(spark, sf, monkeypatch):
     for name in (evaluation.local_surrogate, plugins.predict_fn):
         assert name(spark, sf).count() == 6
     assert asked == [50, 50, 5000, 5000]
+
+
+def test_objective_reads_the_class_means_once_for_all_trials(spark, sf, monkeypatch):
+    from scorewright.catalog import plugins
+
+    class Counted:
+        def __init__(self, df):
+            self.df, self.calls = df, 0
+
+        def groupBy(self, *names):
+            self.calls += 1
+            return self.df.groupBy(*names)
+
+    def search(train, valid, features, label, fit_one):
+        counted = Counted(train)
+        fits = [fit_one(counted, t) for t in plugins.ML.draw_trials(3)]
+        return counted.calls, fits
+
+    monkeypatch.setattr(plugins.ML, "search", search)
+    calls, fits = plugins.objective(spark, sf)
+    assert calls == 1 and len({f.weights for f in fits}) == 3
