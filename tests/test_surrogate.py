@@ -134,3 +134,32 @@ def test_own_bins_are_those_of_the_draws_without_drawing_values(spark, table, mo
     place = np.clip(at * SG.STEPS - 0.5, 0.0, SG.STEPS - 1.0)
     k = place.astype(int)
     assert np.allclose(q[k] + (place - k) * step[k], np.interp(at, p, q), rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("d,top", [(2, 8), (3, 2), (9, 8)])
+def test_blocks_of_rows_are_drawn_scored_and_solved_as_single_rows(spark, d, top):
+    """Samples are scored in generated code, not by a function over an array, and rows are solved together."""
+    rng = np.random.default_rng(d)
+    names, n = [f"f{j}" for j in range(d)], 137  # no multiple of a stretch
+    data = [[None if rng.random() < 0.1 else float(x) for x in rng.normal(1, 2, d)] for _ in range(900)]
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], ", ".join(["id long", *[f"{c} double" for c in names]])).coalesce(2)
+    known = SG.fit_background(rows, names)
+    curve = lambda z: F.when(z["f0"] > 1.0, z["f1"] * 0.3).otherwise(z["f1"] * z["f0"])
+    out = SG.local_surrogate(rows, curve, names, ["id"], n_samples=n, top=top, background=known)
+    assert "transform(_z" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["id"], {})[names.index(r["feature"])] = r
+    hashes = {r[0]: r[1] for r in rows.select("id", F.xxhash64(key_text(["id", 42]))).collect()}
+    assert sorted(got) == sorted(hashes)
+    for i in (0, 1, 364, 365, 366, 449, 450, 730, 899):
+        values, same = SG.draw(known, hashes[i], data[i], n)
+        with np.errstate(invalid="ignore"):
+            p = np.where(values[:, 0] > 1.0, values[:, 1] * 0.3, values[:, 1] * values[:, 0])
+        intercept, weights, share = SG.solve(same, p, top)
+        want = brute_solve(same[~np.isnan(p)], p[~np.isnan(p)], top)
+        assert intercept == pytest.approx(want[0]) and share == pytest.approx(want[2])
+        assert {j: r["weight"] for j, r in got[i].items()} == pytest.approx({j: w for j, w in enumerate(weights) if not np.isnan(w)})
+        assert all(r["intercept"] == pytest.approx(intercept) and r["fit"] == pytest.approx(share) for r in got[i].values())
+    nothing = SG.solve_block(np.zeros((2, 3), np.uint8), np.array([[np.nan] * 3, [0.1] * 3]), 1, 1)
+    assert np.isnan(nothing[0][0]) and nothing[0][1] == pytest.approx(0.1) and nothing[2][1] == 1.0
