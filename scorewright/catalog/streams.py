@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewright.catalog.base import CHAMPION, KEY_SQL, fresh_dir, key_column, probability_sql, query, table
 from scorewright.catalog.monitoring import chi2_sql, ecdf_sql
+from scorewright.session import stage
 from scorewright.sources.readers import REQUEST_LOG
 from scorewright.streaming import jobs as J, windows as W
 
@@ -127,7 +128,7 @@ def stream_label_join(spark, sf):
     """Labels come after two hours; every third is overridden two days later, in another batch; one of
     every five is sent twice. Labels after the wait change nothing."""
     root = fresh_dir(spark, "labels")
-    events = table(spark, sf, "events").select("event_id", instant().alias("ts"), "event_type", "value")
+    events = stage(table(spark, sf, "events").select("event_id", instant().alias("ts"), "event_type", "value"))
     preds = events.select("event_id", F.col("ts").alias("pred_ts"), "value")
     labelled = events.where(F.col("event_type").isin("click", "purchase"))
 

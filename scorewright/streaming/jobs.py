@@ -51,6 +51,20 @@ def daily_window(
 STATE_ROWS = 200_000
 SPLIT_BYTES = 16 << 20
 
+#: State in files of RocksDB on the executor's disk: buffers and blocks of all stores of an executor share a bounded
+#: memory. Rows aren't counted, for that would read each key before it is written; files are compacted with each commit,
+#: because looking for a key among removed ones passes them one by one; both sides of a join are in one store.
+STATE_MB = 300
+_ROCKS = "spark.sql.streaming.stateStore.rocksdb"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKS}.boundedMemoryUsage": "true",
+    f"{_ROCKS}.maxMemoryUsageMB": STATE_MB,
+    f"{_ROCKS}.trackTotalNumberOfRows": "false",
+    f"{_ROCKS}.compactOnCommit": "true",
+    "spark.sql.streaming.join.stateFormatVersion": 3,
+}
+
 
 def state_partitions(spark: SparkSession, rows: int) -> int:
     """Partitions of the state for an input of so many rows; every one is a file to commit in each micro-batch."""
@@ -80,7 +94,7 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     reads ``SPLIT_BYTES`` of files; without it the session's settings hold. A query keeps its last hundred
     records only, so they are gathered while it runs.
     """
-    sized = {"spark.sql.shuffle.partitions": partitions, "spark.sql.files.maxPartitionBytes": SPLIT_BYTES} if partitions else {}
+    sized = {"spark.sql.shuffle.partitions": partitions, "spark.sql.files.maxPartitionBytes": SPLIT_BYTES, **STATE_STORE} if partitions else {}
     with settings(stream.sparkSession, sized):
         return _run_to_table(stream, path, checkpoint, mode)
 

@@ -160,3 +160,29 @@ def test_arriving_files_and_state_partitions_follow_the_rows(spark, sf, tmp_path
     monkeypatch.setattr(J, "STATE_ROWS", 100)
     monkeypatch.setattr(J, "run_to_table", lambda *a, **k: asked.append(k.get("partitions")) or run(*a, **k))
     assert C.stream_dedupe(spark, sf).count() == 1000 and asked == [30] * 3
+
+
+def test_state_lies_in_files_whose_memory_is_bounded(spark, tmp_path):
+    """State of a sized run isn't on the heap, a key is found after many others were removed, and the session is left as it was."""
+    many = 20_000
+    preds = spark.range(many).select(F.concat(F.lit("k"), "id").alias("key"), F.timestamp_seconds(F.unix_seconds(F.lit(at(0))) + F.col("id") % 2 * 86400 * 3).alias("pred_ts"), F.lit(0.5).alias("p"), F.lit("x").alias("note"))
+    labels = preds.select(F.col("key").alias("label_key"), (F.col("pred_ts") + F.expr("INTERVAL 1 HOUR")).alias("label_ts"), F.lit(1).alias("label"))
+    far = (spark.createDataFrame([FAR_PRED], PREDS), spark.createDataFrame([FAR_LABEL], LABELS))
+    late = F.lit(at(60 * 24))
+    steps = [(preds.where(F.col("pred_ts") < late), labels.where(F.col("label_ts") < late)), (preds.where(F.col("pred_ts") >= late), labels.where(F.col("label_ts") >= late)), far]
+    before = {k: spark.conf.get(k, None) for k in J.STATE_STORE}
+    progress = []
+    for some_preds, some_labels in steps:
+        some_preds.write.mode("append").parquet(f"{tmp_path}/preds")
+        some_labels.write.mode("append").parquet(f"{tmp_path}/labels")
+        joined = W.late_labels(
+            spark.readStream.schema(PREDS).parquet(f"{tmp_path}/preds"), spark.readStream.schema(LABELS).parquet(f"{tmp_path}/labels"),
+            "key", "pred_ts", "label_key", "label_ts", wait="1 day",
+        )
+        progress += J.run_to_table(joined, f"{tmp_path}/out", f"{tmp_path}/cp", partitions=2)
+    operators = [op for p in progress for op in p["stateOperators"]]
+    assert operators and all(any(m.startswith("rocksdb") for m in op["customMetrics"]) for op in operators)
+    assert {op["numStateStoreInstances"] for op in operators} == {2}
+    assert {k: spark.conf.get(k, None) for k in J.STATE_STORE} == before
+    got = spark.read.schema(joined.schema).parquet(f"{tmp_path}/out").where("key <> 'far'")
+    assert got.agg(F.count("label"), F.count_distinct("key"), F.count(F.lit(1))).first()[:] == (many, many, many)
